@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from concordat.functions.text import squeeze
 
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-# Accepted layouts after ISO, tried in this order (day first).
-LAYOUTS = ("d/M/yyyy", "d-M-yyyy", "yyyy/M/d", "d.M.yyyy", "yyyyMMdd")
+# Accepted layouts after ISO (day first), each with the shape that selects it,
+# so that a layout is only tried on text it can read.
+LAYOUTS = {
+    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "d.M.yyyy": r"^\d{1,2}\.\d{1,2}\.\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+    "yyyy-MM-dd": ISO_PATTERN,
+}
 
 
 def iso_date(col: Column) -> Column:
@@ -20,12 +28,10 @@ def iso_date(col: Column) -> Column:
     """
     text = squeeze(col)
     day = F.regexp_replace(text, r"[T ]\d{1,2}:\d{2}.*$", "")
-    parsed = F.coalesce(*[F.try_to_date(day, layout) for layout in LAYOUTS])
-    return (
-        F.when(text.rlike(ISO_PATTERN), text)
-        .when(day.rlike(ISO_PATTERN), F.coalesce(F.try_to_date(day, "yyyy-MM-dd").cast("string"), F.lit("")))
-        .otherwise(F.coalesce(parsed.cast("string"), F.lit("")))
-    )
+    out = F.when(text.rlike(ISO_PATTERN), text)
+    for layout, shape in LAYOUTS.items():
+        out = out.when(day.rlike(shape), F.try_to_date(day, layout).cast("string"))
+    return F.coalesce(out, F.lit(""))
 
 
 def date_or_null(iso_text: Column) -> Column:

@@ -91,11 +91,9 @@ def extract_emails(col: Column) -> Column:
     """
     text = squeeze(col)
     found = F.regexp_extract_all(text, F.lit(EMAIL_SEARCH), F.lit(0))
-    whole = F.when(text.contains("@"), F.array(text)).otherwise(F.array().cast("array<string>"))
-    values = F.when(F.size(found) > 0, found).otherwise(whole)
-    cleaned = F.transform(values, lambda v: F.lower(v))
-    cleaned = F.filter(cleaned, lambda v: (v != "") & ~v.isin(*NULL_WORDS))
-    return F.when(col.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(cleaned))
+    values = F.transform(F.when(F.size(found) > 0, found).otherwise(F.array(text)), lambda v: F.lower(v))
+    cleaned = F.array_distinct(F.filter(values, lambda v: ~v.isin("", *NULL_WORDS)))
+    return F.when(col.contains("@"), cleaned).otherwise(F.array().cast("array<string>"))
 
 
 def is_valid_email(col: Column) -> Column:

@@ -27,16 +27,8 @@ def is_real_kpep(col):
     return ~F.coalesce(col, F.lit("")).isin("", "NULL", "null")
 
 
-def _keys(step: int, group: str, values):
-    """Array of (step, group, key) structs for an array of key values."""
-    return F.transform(
-        values, lambda v: F.struct(F.lit(step).alias("step"), F.lit(group).alias("grp"), v.alias("key"))
-    )
-
-
-def _one(value):
-    """One-element array, empty for NULL."""
-    return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(F.array(value))
+def _key(step: int, group: str, value):
+    return F.struct(F.lit(step).alias("step"), F.lit(group).alias("grp"), value.alias("key"))
 
 
 def candidate_keys(member: DataFrame) -> DataFrame:
@@ -46,72 +38,78 @@ def candidate_keys(member: DataFrame) -> DataFrame:
     form a hot key.
     """
     last, first, birth = F.col("last_name"), F.col("first_name"), F.col("birth_date")
-    full, inverted = identity_key(last, first, birth), identity_key(first, last, birth)
-    name_birth = _one(identity_key(last, birth))
-    kpep = F.when(is_real_kpep(F.col("kpep")), F.col("kpep"))
-    nothing = F.array(
-        F.struct(F.lit(_NO_STEP).alias("step"), F.lit("-").alias("grp"), F.lit("").alias("key"))
+    rows = member.where(F.coalesce(F.col("person_id"), F.lit("")) != "").select(
+        "person_id",
+        extract_emails(F.col("email")).alias("mails"),
+        extract_emails(F.col("contact_email")).alias("contacts"),
+        F.when(is_real_kpep(F.col("kpep")), F.col("kpep")).alias("kpep"),
+        identity_key(last, first, birth).alias("direct"),
+        identity_key(first, last, birth).alias("inverted"),
+        identity_key(last, birth).alias("name_birth"),
     )
     keys = F.concat(
-        _keys(1, "EMAIL", extract_emails(F.col("email"))),
-        _keys(2, "EMAIL", extract_emails(F.col("contact_email"))),
-        _keys(3, "KPEP", _one(kpep)),
-        _keys(4, "IDENTITY", _one(full)),
-        _keys(5, "IDENTITY", _one(inverted)),
-        _keys(6, "LAST", name_birth),
-        _keys(7, "MIDDLE", name_birth),
-        nothing,
+        F.transform("mails", lambda v: _key(1, "EMAIL", v)),
+        F.transform("contacts", lambda v: _key(2, "EMAIL", v)),
+        F.array(
+            _key(3, "KPEP", F.col("kpep")),
+            _key(4, "IDENTITY", F.col("direct")),
+            _key(5, "IDENTITY", F.col("inverted")),
+            _key(6, "LAST", F.col("name_birth")),
+            _key(7, "MIDDLE", F.col("name_birth")),
+            _key(_NO_STEP, "-", F.lit("")),
+        ),
     )
-    return (
-        member.where(F.coalesce(F.col("person_id"), F.lit("")) != "")
-        .select("person_id", F.inline(keys))
-        .distinct()
+    return rows.select("person_id", F.inline(keys)).where("key is not null").distinct()
+
+
+def _entry(group: str, part: int, value):
+    return F.struct(F.lit(group).alias("grp"), F.lit(part).alias("part"), value.alias("key"))
+
+
+def account_entries(accounts: DataFrame, *groups: str) -> DataFrame:
+    """Every ``(grp, key)`` an account can be found by, from one pass over the accounts.
+
+    Groups: EMAIL (main addresses come before other ones), KPEP, IDENTITY, and
+    LAST or MIDDLE for the accounts of a name search.
+    """
+    rows = accounts.select(
+        "src_rank",
+        "seq",
+        "id",
+        "idkpep",
+        "identity",
+        "name_birth",
+        *([extract_emails(F.col(c)).alias(c) for c in ("email", "email_other")] if "EMAIL" in groups else []),
     )
+    single = {"KPEP": "idkpep", "IDENTITY": "identity", "LAST": "name_birth", "MIDDLE": "name_birth"}
+    entries = [F.array(*[_entry(g, 1, F.col(c)) for g, c in single.items() if g in groups])] if set(groups) & set(single) else []
+    if "EMAIL" in groups:
+        entries.append(F.transform("email", lambda v: _entry("EMAIL", 1, v)))
+        entries.append(F.transform("email_other", lambda v: _entry("EMAIL", 2, v)))
+    return rows.select("src_rank", "seq", "id", F.inline(F.concat(*entries))).where("coalesce(key, '') <> ''")
+
+
+_ENTRY_ORDER = ("part", "src_rank", "seq", "id")
 
 
 def email_entries(accounts: DataFrame) -> DataFrame:
-    """Every e-mail of every account: main addresses come before other ones."""
-    main = accounts.select(
-        F.lit(1).alias("part"), "src_rank", "seq", "id", F.explode(extract_emails(F.col("email"))).alias("email")
-    )
-    other = accounts.select(
-        F.lit(2).alias("part"), "src_rank", "seq", "id", F.explode(extract_emails(F.col("email_other"))).alias("email")
-    )
-    return main.unionByName(other)
+    """Every e-mail of every account."""
+    return account_entries(accounts, "EMAIL").drop("grp").withColumnRenamed("key", "email")
 
 
 def email_index(accounts: DataFrame) -> DataFrame:
     """First account of every e-mail."""
-    entries = email_entries(accounts)
-    order = [F.col("part"), F.col("src_rank"), F.col("seq"), F.col("id")]
-    return first_row(entries, ["email"], order).select("email", "id")
+    return first_row(email_entries(accounts), ["email"], [F.col(c) for c in _ENTRY_ORDER]).select("email", "id")
 
 
 def account_index(accounts: DataFrame, last: DataFrame | None = None, middle: DataFrame | None = None) -> DataFrame:
     """First account of every ``(grp, key)``."""
-
-    def entries(df: DataFrame, group: str, key) -> DataFrame:
-        return df.select(
-            F.lit(group).alias("grp"),
-            key.alias("key"),
-            F.lit(1).alias("part"),
-            "src_rank",
-            "seq",
-            "id",
-        ).where(F.coalesce(F.col("key"), F.lit("")) != "")
-
-    mails = email_entries(accounts).select(
-        F.lit("EMAIL").alias("grp"), F.col("email").alias("key"), "part", "src_rank", "seq", "id"
-    )
-    index = mails.unionByName(entries(accounts, "KPEP", F.col("idkpep"))).unionByName(
-        entries(accounts, "IDENTITY", F.col("identity"))
-    )
-    if last is not None:
-        index = index.unionByName(entries(last, "LAST", F.col("name_birth")))
-    if middle is not None:
-        index = index.unionByName(entries(middle, "MIDDLE", F.col("name_birth")))
-    order = [F.col("part"), F.col("src_rank"), F.col("seq"), F.col("id")]
-    return first_row(index, ["grp", "key"], order).select("grp", "key", F.col("id").alias("account_id"))
+    index = account_entries(accounts, "EMAIL", "KPEP", "IDENTITY")
+    for search, group in ((last, "LAST"), (middle, "MIDDLE")):
+        if search is not None:
+            index = index.unionByName(account_entries(search, group))
+    best = first_row(index, ["grp", "key"], [F.col(c) for c in _ENTRY_ORDER])
+    return best.select("grp", "key", F.col("id").alias("account_id"))
 
 
 def match_cascade(

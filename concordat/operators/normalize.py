@@ -70,9 +70,8 @@ def normalize_member(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFr
 
 def _account_columns(raw: DataFrame, source: str, rank: int) -> DataFrame:
     df = resolve_columns(raw, ACCOUNT_ALIASES, keep=("seq",))
-    last, first = normalize_text(F.col("last_name")), normalize_text(F.col("first_name"))
-    birth = iso_date(F.col("birthdate"))
-    return df.select(
+    # Two steps: the keys read the normalised columns instead of repeating them.
+    rows = df.select(
         _text(F.col("id")).alias("id"),
         F.col("realm_id"),
         _text(F.col("idkpep")).alias("idkpep"),
@@ -83,15 +82,17 @@ def _account_columns(raw: DataFrame, source: str, rank: int) -> DataFrame:
         F.col("middlename"),
         F.col("birthdate").alias("raw_birthdate"),
         F.col("phonenumber"),
-        last.alias("last_norm"),
-        first.alias("first_norm"),
-        birth.alias("birth_iso"),
-        identity_key(last, first, birth).alias("identity"),
-        identity_key(last, birth).alias("name_birth"),
+        normalize_text(F.col("last_name")).alias("last_norm"),
+        normalize_text(F.col("first_name")).alias("first_norm"),
+        iso_date(F.col("birthdate")).alias("birth_iso"),
         F.lit(source).alias("source"),
         F.lit(rank).alias("src_rank"),
         F.col("seq").cast("bigint").alias("seq"),
     )
+    last, first, birth = F.col("last_norm"), F.col("first_norm"), F.col("birth_iso")
+    return rows.select(
+        "*", identity_key(last, first, birth).alias("identity"), identity_key(last, birth).alias("name_birth")
+    )
 
 
 def normalize_account(by_key: DataFrame, by_email: DataFrame | None = None) -> DataFrame:

@@ -13,39 +13,60 @@ from concordat.operators.common import first_row, lookup_join
 from concordat.workload.registry import Frames
 
 
+def _plan(fn):
+    """Build each canonical plan once per data folder."""
+
+    def wrapped(f: Frames) -> DataFrame:
+        key = "canon." + fn.__name__
+        if key not in f.plans:
+            f.plans[key] = fn(f)
+        return f.plans[key]
+
+    return wrapped
+
+
+@_plan
 def member(f: Frames) -> DataFrame:
     return nz.normalize_member(f.member_raw)
 
 
+@_plan
 def member_base(f: Frames) -> DataFrame:
     """Contracts without the effect date: spares the scan of the claim lines."""
     return nz.normalize_member(f.member_base_raw)
 
 
+@_plan
 def insured(f: Frames) -> DataFrame:
     return member_base(f).where(nz.is_insured(F.col("member_type")))
 
 
+@_plan
 def accounts(f: Frames) -> DataFrame:
     return nz.normalize_account(f.ck_raw, f.cm_raw)
 
 
+@_plan
 def last_accounts(f: Frames) -> DataFrame:
     return nz.normalize_search(f.last_raw, "LAST", 3)
 
 
+@_plan
 def middle_accounts(f: Frames) -> DataFrame:
     return nz.normalize_search(f.middle_raw, "MIDDLE", 4)
 
 
+@_plan
 def account_ref(f: Frames) -> DataFrame:
     return nz.account_reference(accounts(f))
 
 
+@_plan
 def match(f: Frames) -> DataFrame:
     return mt.match_cascade(insured(f), accounts(f), last_accounts(f), middle_accounts(f))
 
 
+@_plan
 def matched(f: Frames) -> DataFrame:
     """Matched persons with the attributes of their account."""
     return with_account(match(f), account_ref(f))
@@ -56,21 +77,25 @@ def with_account(match_rows: DataFrame, ref: DataFrame) -> DataFrame:
     return lookup_join(hit, ref.withColumnRenamed("id", "matched_id"), ["matched_id"])
 
 
+@_plan
 def registry(f: Frames) -> DataFrame:
     """Registry rows of the people in the snapshot, with their person key."""
     ids = member_base(f).select(F.col("person_id").alias("refperboccn"))
     return rg.registry_self_join(f.registry_raw, ids)
 
 
+@_plan
 def registry_first(f: Frames) -> DataFrame:
     return first_row(registry(f), ["refperboccn"], [F.col("seq")])
 
 
+@_plan
 def propagated(f: Frames) -> DataFrame:
     """Insured contracts with the person's match and the account attributes."""
     return mt.match_propagate(insured(f), match(f), accounts(f), last_accounts(f), middle_accounts(f))
 
 
+@_plan
 def user_events(f: Frames) -> DataFrame:
     """Directory event log in epoch milliseconds."""
     kind = F.when(F.col("event_type") == "click", "LOGIN").when(F.col("event_type") == "purchase", "UPDATE_PROFILE")

@@ -249,10 +249,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived frame (or given table)."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    text = RAW[name]
-    parts = {part: raw(spark, sf_dir, part) for part in sorted(set(_NAME.findall(text)))}
-    return spark.sql(text, **parts)
+def raw(spark: SparkSession, sf_dir: str, name: str, plans: dict[str, DataFrame]) -> DataFrame:
+    """One derived frame (or given table); ``plans`` keeps the plans already built."""
+    if name not in plans:
+        if name in TABLES:
+            plans[name] = table(spark, sf_dir, name)
+        else:
+            text = RAW[name]
+            parts = {part: raw(spark, sf_dir, part, plans) for part in sorted(set(_NAME.findall(text)))}
+            plans[name] = spark.sql(text, **parts)
+    return plans[name]

@@ -17,9 +17,10 @@ class Frames:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.plans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return frames.raw(self.spark, self.sf_dir, name)
+        return frames.raw(self.spark, self.sf_dir, name, self.plans)
 
 
 def query(key: str, sql: str | None = None):
