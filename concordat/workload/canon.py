@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.operators import activity as av
+from concordat.operators import card as cd
+from concordat.operators import lookups as lk
 from concordat.operators import matching as mt
 from concordat.operators import normalize as nz
 from concordat.operators import registry as rg
@@ -106,3 +108,22 @@ def user_events(f: Frames) -> DataFrame:
         F.concat(F.lit("app-"), F.col("event_type")).alias("client_id"),
         av.to_epoch_ms(F.col("ts")).alias("event_time"),
     )
+
+
+CURRENT_RUN = "31122001"
+
+
+@_plan
+def person_card(f: Frames) -> DataFrame:
+    return cd.person_card(member(f))
+
+
+@_plan
+def snapshots(f: Frames) -> DataFrame:
+    """All runs of the snapshot: one per year of adhesion."""
+    return nz.normalize_member(f.member_raw, keep=("seq", "flux_id"))
+
+
+@_plan
+def ko_labelled(f: Frames) -> DataFrame:
+    return lk.attribute_by_source_priority(f.ko_ledger, snapshots(f), CURRENT_RUN)

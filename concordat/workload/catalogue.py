@@ -2,6 +2,7 @@
 
 from concordat.workload import (  # noqa: F401
     q_matching,
+    q_quality,
     q_scalars,
 )
 from concordat.workload.registry import ORACLES, QUERIES  # noqa: F401

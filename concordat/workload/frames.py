@@ -80,7 +80,8 @@ _MEMBER_COLUMNS = """
   {effect} AS date_effet_adhesion,
   CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'
        THEN cast(cast(cast(o_orderdate AS date) + interval '365' day AS date) AS string) END AS dateradassure,
-  o_orderkey AS seq
+  o_orderkey AS seq,
+  concat('3112', cast(year(o_orderdate) AS string)) AS flux_id
 """
 _EFFECT = (
     "substr(cast(ship_day AS string), 9, 2) || '/' || substr(cast(ship_day AS string), 6, 2) || '/' || "
@@ -192,6 +193,26 @@ UNION ALL
 SELECT kpep, '', '', 'FORCE_NON_RAPPROCHE', 'derniere', k + 4000000000000 FROM {persona} WHERE bal >= 2400 AND bal < 2500
 """
 
+# Retry ledger: one row per person of an earlier run; attributes partly missing.
+RAW["ko_ledger"] = """
+SELECT concat('3112', CASE seg WHEN 'BUILDING' THEN '1996' WHEN 'AUTOMOBILE' THEN '1997' WHEN 'MACHINERY' THEN '1998'
+         WHEN 'HOUSEHOLD' THEN '1999' ELSE '2000' END, '_IEHE_KO.csv') AS source_file,
+  cast(k AS string) AS person_id,
+  CASE WHEN bal < 3000 THEN NULL WHEN nat < 5 THEN 'CONJOI' ELSE 'ASSPRI' END AS member_type,
+  CASE WHEN bal < 3500 THEN '' WHEN nat = 20 THEN 'MEPMAS001' ELSE 'MESMEN001' END AS offer,
+  CASE WHEN bal < 4000 THEN NULL ELSE company END AS company,
+  CASE WHEN bal < 4500 THEN NULL ELSE concat('2000-01-', lpad(cast(nat + 1 AS string), 2, '0')) END AS adhesion_date,
+  CASE WHEN bal < 4800 THEN NULL ELSE concat('2000-02-', lpad(cast(k % 28 + 1 AS string), 2, '0')) END AS effect_date,
+  CASE WHEN nat < 5 THEN 'N' WHEN nat < 20 THEN 'O' ELSE '' END AS eligible,
+  CASE WHEN bal > 8000 THEN 'Futur' ELSE '' END AS card_value,
+  CASE WHEN bal > 9000 THEN 'OK' WHEN bal > 8800 THEN ' ok' ELSE 'KO' END AS statut_retry,
+  CASE WHEN bal > 9000 THEN '2001-02-01' WHEN bal > 0 THEN '2001-01-15' END AS date_derniere_verif,
+  CASE WHEN bal > 9000 THEN mail ELSE '' END AS mail_iehe,
+  CASE WHEN bal > 9000 THEN kpep ELSE '' END AS kpep_iehe,
+  k AS seq
+FROM {persona}
+"""
+
 # Claims: one row per operation on a dossier.
 _ORIGIN = """CASE o_orderpriority
     WHEN '1-URGENT' THEN CASE o_orderstatus WHEN 'F' THEN 'NMASS' WHEN 'O' THEN 'LUMAS' ELSE 'OXA' END

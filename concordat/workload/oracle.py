@@ -108,7 +108,7 @@ SELECT {strip('num_personne')} AS person_id, {strip('num_ctr_indiv')} AS contrac
  {norm_text('nom_long')} AS last_name, {norm_text('prenom')} AS first_name, {iso('date_naissance')} AS birth_date,
  {norm_email('mailciam')} AS email, {contact('valeur_coordonnee')} AS contact_email,
  coalesce({strip('idkpep')}, '') AS kpep, {iso('date_adhesion')} AS adhesion_date,
- {iso('date_effet_adhesion')} AS effect_date, {iso('dateradassure')} AS cancel_date, seq,
+ {iso('date_effet_adhesion')} AS effect_date, {iso('dateradassure')} AS cancel_date, seq, flux_id,
  type_assure IN {INSURED} AS insured, contains(type_assure, 'CONJ') AS spouse
 FROM {raw}"""
 
@@ -228,6 +228,27 @@ DOC_REASON = (
     "WHEN company = '073' THEN 'Société exclue (073)' ELSE '' END"
 )
 
+_ATTRS = ("member_type", "offer", "company", "adhesion_date", "effect_date")
+CTES["history"] = """
+SELECT person_id, flux_id, member_type, offer, company, adhesion_date, effect_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY strptime(flux_id, '%d%m%Y') DESC, seq) AS rn
+  FROM member WHERE flux_id <> '31122001' AND coalesce(person_id, '') <> '') h WHERE rn = 1"""
+CTES["same_run"] = """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY flux_id, person_id ORDER BY seq) AS rn FROM member) h WHERE rn = 1"""
+CTES["ko_filled"] = f"""
+SELECT l.source_file, l.person_id, l.eligible, l.card_value, l.statut_retry, l.date_derniere_verif, l.mail_iehe, l.kpep_iehe, l.seq,
+ coalesce(l.member_type, '') <> '' AS typed, {', '.join(
+    f"coalesce(nullif(trim(l.{c}), ''), nullif(s.{c}, ''), nullif(n.{c}, ''), nullif(h.{c}, ''), '') AS {c}" for c in _ATTRS)}
+FROM ko_ledger l LEFT JOIN same_run s ON s.flux_id = substr(l.source_file, 1, 8) AND s.person_id = l.person_id
+LEFT JOIN same_run n ON n.flux_id = '31122001' AND n.person_id = l.person_id
+LEFT JOIN history h ON h.person_id = l.person_id"""
+CTES["ko_labelled"] = f"""
+SELECT * EXCLUDE (typed, member_type), CASE WHEN member_type = '' THEN 'INCONNU' ELSE member_type END AS member_type,
+ CASE WHEN typed AND eligible = 'N' THEN 'Hors_Perimetre_TP' WHEN typed AND eligible = 'O' AND card_value = 'Futur' THEN 'Future_TP'
+   WHEN typed AND eligible = 'O' THEN CASE WHEN {DELTA} <= 21 THEN 'Eligible_TP' ELSE 'Future_TP' END
+   WHEN member_type NOT IN {INSURED} OR {CARD_EXCLUDED} THEN 'Hors_Perimetre_TP'
+   WHEN {DELTA} <= 21 THEN 'Eligible_TP' ELSE 'Future_TP' END AS label FROM ko_filled"""
+
 _WORD = re.compile(r"(?i)\b(?:FROM|JOIN)\s+([a-z_0-9]+)")
 
 
