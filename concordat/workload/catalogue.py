@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from concordat.workload import (  # noqa: F401
+    q_claims,
     q_matching,
     q_quality,
     q_scalars,
