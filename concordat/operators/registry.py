@@ -58,11 +58,7 @@ def retry_registry(ledger: DataFrame, registry: DataFrame, today: str) -> DataFr
     A person found becomes OK with mail and key; every open row gets the check
     date; rows already OK stay untouched.
     """
-    hit = lookup_join(
-        registry.where("idrpp is not null or adrmailctc is not null or refperboccn is not null"),
-        person_keys(registry),
-        ["idrpp"],
-    )
+    hit = lookup_join(registry.where("refperboccn is not null"), person_keys(registry), ["idrpp"])
     hit = first_row(hit, ["refperboccn"], [F.col("seq")]).select(
         squeeze(F.col("refperboccn")).alias("person_id"),
         F.coalesce("adrmailctc", F.lit("")).alias("__mail"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from concordat.operators import activity as av
 from concordat.operators import card as cd
+from concordat.operators import documents as dc
 from concordat.operators import lookups as lk
 from concordat.operators import matching as mt
 from concordat.operators import normalize as nz
@@ -127,3 +128,27 @@ def snapshots(f: Frames) -> DataFrame:
 @_plan
 def ko_labelled(f: Frames) -> DataFrame:
     return lk.attribute_by_source_priority(f.ko_ledger, snapshots(f), CURRENT_RUN)
+
+
+@_plan
+def eligible(f: Frames) -> DataFrame:
+    """Contracts eligible for the document control."""
+    return dc.document_eligibility(member_base(f)).where("reason = ''").drop("reason", "eligible")
+
+
+@_plan
+def document_detail(f: Frames) -> DataFrame:
+    return dc.document_control(member_base(f), registry(f), f.document_keys, f.corrections)
+
+
+@_plan
+def offer_mapping(f: Frames) -> DataFrame:
+    """Offer dimension read off the snapshot; one offer is left unmapped."""
+    o = F.col("offre")
+    nature = (
+        F.when(F.lower(o).startswith("mesmen"), "MEN").when(o.startswith("MESMEAE"), "MEAE").when(o.startswith("MESLAD"), "MSOL")
+        .when(o == "INPPREVIND", "PREV_INDIV").when(o == "INPCULT002", "PREV_CULTURE").otherwise("MSP")
+    )
+    societe = F.when(o.startswith("MES"), "010").when(o.startswith("IN"), "044").otherwise("052")
+    rows = f.member_base_raw.where("offre is not null and offre <> 'INDSANTE1'")
+    return rows.select(F.upper(F.btrim(o)).alias("code"), nature.alias("nature"), societe.alias("societe")).distinct()
