@@ -125,6 +125,12 @@ def snapshots(f: Frames) -> DataFrame:
     return nz.normalize_member(f.member_raw, keep=("seq", "flux_id"))
 
 
+@_plan
+def snapshots_base(f: Frames) -> DataFrame:
+    """All runs without the effect date."""
+    return nz.normalize_member(f.member_base_raw, keep=("seq", "flux_id"))
+
+
 @_plan
 def ko_labelled(f: Frames) -> DataFrame:
     return lk.attribute_by_source_priority(f.ko_ledger, snapshots(f), CURRENT_RUN)

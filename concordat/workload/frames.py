@@ -262,6 +262,90 @@ UNION ALL SELECT concat('U', cast(k AS string)), 'phoneNumber', '0102030405' FRO
 UNION ALL SELECT concat('U', cast(k AS string)), 'locale', 'fr' FROM {persona}
 """
 
+# Portfolio blocks: counts per offer, company and type or age band; terminations.
+RAW["block_type"] = """
+SELECT coalesce(upper(trim(offre)), 'OFFSUP') AS offer,
+  CASE WHEN substr(code_soc_appart, 1, 1) = '0' THEN substr(code_soc_appart, 2) ELSE code_soc_appart END AS company,
+  CASE WHEN type_assure = 'CONJOI' THEN 'CONJOINT' WHEN type_assure = 'ENFANT' THEN 'ENFANT' ELSE 'Assure' END AS member_type,
+  count(CASE WHEN dateradassure IS NULL THEN 1 END) AS current, count(*) AS base
+FROM {member_base_raw} GROUP BY 1, 2, 3
+"""
+RAW["block_age"] = """
+SELECT CASE WHEN substr(company, 1, 1) = '0' THEN substr(company, 2) ELSE company END AS company,
+  CASE WHEN birth < '1950' THEN '70+' WHEN birth < '1965' THEN '55-69' WHEN birth < '1980' THEN '40-54' ELSE '0-39' END AS age_band,
+  count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS current, count(*) AS base
+FROM {orders} JOIN {persona} ON k = o_custkey GROUP BY 1, 2
+"""
+RAW["block_term"] = """
+SELECT company, CASE WHEN o_orderpriority = '1-URGENT' THEN 'DECES' WHEN o_orderpriority = '2-HIGH' THEN ' DEM'
+    WHEN o_orderpriority = '3-MEDIUM' THEN CASE WHEN seg = 'BUILDING' THEN NULL ELSE '' END
+    WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'CODEINCONNU' ELSE CASE WHEN nat < 10 THEN 'COT+' ELSE 'IMP' END END AS reason,
+  count(*) AS n
+FROM {orders} JOIN {persona} ON k = o_custkey WHERE o_orderstatus = 'P' GROUP BY 1, 2
+"""
+# Persons holding several contracts of one kind.
+RAW["block_multi"] = """
+SELECT coalesce(last_name, '') AS last_name, first_name, cast(k AS string) AS insee, birth AS birth_date,
+  CASE WHEN substr(company, 1, 1) = '0' THEN substr(company, 2) ELSE company END AS company,
+  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'sante' WHEN o_orderpriority = '3-MEDIUM' THEN ' PREV' ELSE 'EPARGNE' END AS kind,
+  count(*) AS n
+FROM {orders} JOIN {persona} ON k = o_custkey GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) > 1
+"""
+# Benefit volumes per day, offer, origin and state.
+RAW["benefit_rows"] = """
+SELECT replace(date_adhesion, '-', '') AS date_arrivee, coalesce(upper(trim(offre)), '__SANS_OFFRE__') AS offer,
+  c.origin, CASE c.state WHEN 'F' THEN 'PA' WHEN 'O' THEN 'AC' ELSE 'RJ' END AS state, count(*) AS nb
+FROM {member_base_raw} JOIN {claim_heads} c ON cast(c.dossier_id AS string) = num_ctr_indiv GROUP BY 1, 2, 3, 4
+"""
+# Support tickets and their history sheet.
+RAW["tickets"] = """
+SELECT o_orderkey AS ticket_id, cast(cast(o_orderdate AS date) AS string) AS opened, cast(ship_day AS string) AS closed,
+  CASE WHEN o_orderstatus = 'P' AND seg = 'BUILDING' THEN 'n/a' ELSE substr(o_orderpriority, 1, 1) END AS priority,
+  CASE WHEN o_totalprice > 400000 THEN '12:30:00' WHEN o_totalprice > 300000 THEN ' 00:00:00' WHEN o_totalprice > 200000 THEN '' END AS late_time,
+  CASE o_orderstatus WHEN 'F' THEN 'Clos' WHEN 'O' THEN 'Ouvert' END AS state,
+  seg AS theme, company AS region, split_part(mail, '@', 2) AS brand, last_name AS solver
+FROM {orders} JOIN {persona} ON k = o_custkey LEFT JOIN {first_ship} ON ship_order = o_orderkey
+"""
+RAW["ticket_history"] = """
+SELECT o_orderkey AS ticket_id,
+  CASE WHEN o_orderstatus = 'P' THEN 'inconnu' WHEN seg = 'BUILDING' THEN '-3' ELSE cast(cast(floor(o_totalprice / 20000) AS bigint) AS string) END AS duration,
+  CASE WHEN o_orderstatus = 'F' THEN cast(34700 + o_orderkey % 2400 AS string) ELSE cast(cast(o_orderdate AS date) AS string) END AS opened,
+  CASE WHEN o_orderstatus = 'F' THEN cast(34710 + o_orderkey % 2400 AS string) WHEN o_orderstatus = 'O' THEN 'en cours' END AS closed,
+  substr(o_orderpriority, 1, 1) AS priority, CASE o_orderstatus WHEN 'F' THEN 'Clos' WHEN 'O' THEN 'Ouvert' END AS state,
+  seg AS theme, company AS subject
+FROM {orders} JOIN {persona} ON k = o_custkey
+"""
+
+# Runs: one per month of orders, with the counts their indicators are made of.
+RAW["run_counts"] = """
+SELECT concat('01', substr(m, 6, 2), substr(m, 1, 4)) AS flux_id, cast(max(d) AS string) AS last_day, count(*) AS n,
+  count(DISTINCT o_custkey) AS persons, count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS target,
+  count(CASE WHEN o_totalprice > 485000 THEN 1 END) AS lost, count(CASE WHEN o_totalprice < 12000 THEN 1 END) AS bad,
+  count(CASE WHEN o_totalprice > 250000 AND o_totalprice < 252000 THEN 1 END) AS missing,
+  count(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 END) AS eligible,
+  count(CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' AND o_totalprice > 150000 THEN 1 END) AS found
+FROM (SELECT *, cast(o_orderdate AS date) AS d, substr(cast(cast(o_orderdate AS date) AS string), 1, 7) AS m FROM {orders}) t GROUP BY m
+"""
+# Free text of support tickets: labelled personal data of a customer.
+RAW["descriptions"] = """
+SELECT k AS doc_id, concat('NomDURAND Prénom', substr('Jean-Pierre', 1, 4), ' ', kpep, ' Adresse ', mail, ' tel 06 12 34 56 78 ou +33 6.12.34.56.78 nir 1 85 05 78 006 084 36 fin') AS text
+FROM {persona}
+"""
+
+# Tracking table of an earlier day, and snapshots of keys that arrive later.
+RAW["tracking_old"] = """
+SELECT '31122000' AS flux_id, upper(kpep) AS kpep, CASE WHEN bal > 5000 THEN DATE '2001-01-05' END AS date_found,
+  CASE WHEN nat = 3 THEN 'ancien' END AS motif FROM {persona} WHERE bal > 3000
+UNION ALL SELECT '01022000', upper(kpep), CASE WHEN bal > 8000 THEN DATE '2000-02-05' END, NULL FROM {persona} WHERE bal > 1000
+"""
+RAW["arrivals"] = """
+SELECT '01022000' AS flux_id, 'ELIGIBLE' AS kind, kpep, CASE WHEN nat = 3 THEN 'non rapproché iehe' END AS motif FROM {persona} WHERE bal > 0
+UNION ALL SELECT '01022000', 'FOUND', kpep, NULL FROM {persona} WHERE bal > 6000
+UNION ALL SELECT '31012000', 'ELIGIBLE', kpep, NULL FROM {persona} WHERE bal > 5000
+UNION ALL SELECT '15032000', 'ELIGIBLE', kpep, CASE WHEN nat = 4 THEN 'non rapproché iehe' END FROM {persona} WHERE bal > 2000
+UNION ALL SELECT '15032000', 'FOUND', concat(' ', kpep), NULL FROM {persona} WHERE bal > 3000 AND bal < 7000
+"""
+
 _NAME = re.compile(r"\{(\w+)\}")
 
 
