@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +39,16 @@ def candidate_keys(member: DataFrame) -> DataFrame:
     Blank keys are dropped here, before any join, so that missing values never
     form a hot key.
     """
+    columns, keys = _candidate_expressions()
+    rows = member.where("coalesce(person_id, '') <> ''").select(*columns)
+    return rows.select("person_id", keys).where("key is not null").distinct()
+
+
+@lru_cache
+def _candidate_expressions():
     last, first, birth = F.col("last_name"), F.col("first_name"), F.col("birth_date")
-    rows = member.where(F.coalesce(F.col("person_id"), F.lit("")) != "").select(
-        "person_id",
+    columns = (
+        F.col("person_id"),
         extract_emails(F.col("email")).alias("mails"),
         extract_emails(F.col("contact_email")).alias("contacts"),
         F.when(is_real_kpep(F.col("kpep")), F.col("kpep")).alias("kpep"),
@@ -59,7 +68,7 @@ def candidate_keys(member: DataFrame) -> DataFrame:
             _key(_NO_STEP, "-", F.lit("")),
         ),
     )
-    return rows.select("person_id", F.inline(keys)).where("key is not null").distinct()
+    return columns, F.inline(keys)
 
 
 def _entry(group: str, part: int, value):
@@ -72,21 +81,21 @@ def account_entries(accounts: DataFrame, *groups: str) -> DataFrame:
     Groups: EMAIL (main addresses come before other ones), KPEP, IDENTITY, and
     LAST or MIDDLE for the accounts of a name search.
     """
-    rows = accounts.select(
-        "src_rank",
-        "seq",
-        "id",
-        "idkpep",
-        "identity",
-        "name_birth",
-        *([extract_emails(F.col(c)).alias(c) for c in ("email", "email_other")] if "EMAIL" in groups else []),
-    )
+    columns, entries = _entry_expressions(groups)
+    rows = accounts.select(*columns)
+    return rows.select("src_rank", "seq", "id", entries).where("coalesce(key, '') <> ''")
+
+
+@lru_cache
+def _entry_expressions(groups: tuple[str, ...]):
+    mails = [extract_emails(F.col(c)).alias(c) for c in ("email", "email_other")] if "EMAIL" in groups else []
+    columns = [F.col(c) for c in ("src_rank", "seq", "id", "idkpep", "identity", "name_birth")] + mails
     single = {"KPEP": "idkpep", "IDENTITY": "identity", "LAST": "name_birth", "MIDDLE": "name_birth"}
     entries = [F.array(*[_entry(g, 1, F.col(c)) for g, c in single.items() if g in groups])] if set(groups) & set(single) else []
     if "EMAIL" in groups:
         entries.append(F.transform("email", lambda v: _entry("EMAIL", 1, v)))
         entries.append(F.transform("email_other", lambda v: _entry("EMAIL", 2, v)))
-    return rows.select("src_rank", "seq", "id", F.inline(F.concat(*entries))).where("coalesce(key, '') <> ''")
+    return columns, F.inline(F.concat(*entries))
 
 
 _ENTRY_ORDER = ("part", "src_rank", "seq", "id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,15 +48,19 @@ def normalize_member(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFr
         clean_header(a) for a in MEMBER_ALIASES["effect_date"]
     }
     df = resolve_columns(raw, MEMBER_ALIASES, keep=keep)
+    return df.select(*_member_columns(bool(has_effect)), *[F.col(k) for k in keep if k in df.columns])
+
+
+@lru_cache
+def _member_columns(has_effect: bool) -> tuple[Column, ...]:
+    """Expressions of the canonical contract columns; built once, they depend on names only."""
     adhesion = iso_date(F.col("adhesion_date"))
-    offer = F.upper(squeeze(F.col("offer")))
-    company = squeeze(F.col("company"))
-    return df.select(
+    return (
         squeeze(F.col("person_id")).alias("person_id"),
         squeeze(F.col("contract_id")).alias("contract_id"),
         squeeze(F.col("member_type")).alias("member_type"),
-        F.coalesce(company, F.lit(UNKNOWN_COMPANY)).alias("company"),
-        F.coalesce(offer, F.lit(UNKNOWN_OFFER)).alias("offer"),
+        F.coalesce(squeeze(F.col("company")), F.lit(UNKNOWN_COMPANY)).alias("company"),
+        F.coalesce(F.upper(squeeze(F.col("offer"))), F.lit(UNKNOWN_OFFER)).alias("offer"),
         normalize_text(F.col("last_name")).alias("last_name"),
         normalize_text(F.col("first_name")).alias("first_name"),
         iso_date(F.col("birth_date")).alias("birth_date"),
@@ -64,14 +70,13 @@ def normalize_member(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFr
         adhesion.alias("adhesion_date"),
         (iso_date(F.col("effect_date")) if has_effect else adhesion).alias("effect_date"),
         iso_date(F.col("cancel_date")).alias("cancel_date"),
-        *[F.col(k) for k in keep if k in df.columns],
     )
 
 
-def _account_columns(raw: DataFrame, source: str, rank: int) -> DataFrame:
-    df = resolve_columns(raw, ACCOUNT_ALIASES, keep=("seq",))
-    # Two steps: the keys read the normalised columns instead of repeating them.
-    rows = df.select(
+@lru_cache
+def _account_expressions() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
+    """Expressions of the canonical account columns, then of the keys read off them."""
+    base = (
         _text(F.col("id")).alias("id"),
         F.col("realm_id"),
         _text(F.col("idkpep")).alias("idkpep"),
@@ -85,14 +90,18 @@ def _account_columns(raw: DataFrame, source: str, rank: int) -> DataFrame:
         normalize_text(F.col("last_name")).alias("last_norm"),
         normalize_text(F.col("first_name")).alias("first_norm"),
         iso_date(F.col("birthdate")).alias("birth_iso"),
-        F.lit(source).alias("source"),
-        F.lit(rank).alias("src_rank"),
-        F.col("seq").cast("bigint").alias("seq"),
     )
     last, first, birth = F.col("last_norm"), F.col("first_norm"), F.col("birth_iso")
-    return rows.select(
-        "*", identity_key(last, first, birth).alias("identity"), identity_key(last, birth).alias("name_birth")
-    )
+    keys = (F.col("*"), identity_key(last, first, birth).alias("identity"), identity_key(last, birth).alias("name_birth"))
+    return base, keys
+
+
+def _account_columns(raw: DataFrame, source: str, rank: int) -> DataFrame:
+    df = resolve_columns(raw, ACCOUNT_ALIASES, keep=("seq",))
+    base, keys = _account_expressions()
+    tags = (F.lit(source).alias("source"), F.lit(rank).alias("src_rank"), F.col("seq").cast("bigint").alias("seq"))
+    # Two steps: the keys read the normalised columns instead of repeating them.
+    return df.select(*base, *tags).select(*keys)
 
 
 def normalize_account(by_key: DataFrame, by_email: DataFrame | None = None) -> DataFrame:

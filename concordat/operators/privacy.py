@@ -51,10 +51,9 @@ def redact_text(text: Column) -> Column:
 
 
 def _seeds(text: Column, width: int) -> Column:
-    """Distinct substrings of a fixed width of the whole text."""
-    last = F.length(text) - F.lit(width) + F.lit(1)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(text, i, F.lit(width)))
-    return F.array_distinct(F.when(last >= 1, grams).otherwise(F.array().cast("array<string>")))
+    """Distinct substrings of a fixed width of the whole text, in one linear scan."""
+    at_every_place = F.lit("(?s)(?=(.{%d}))" % width)
+    return F.array_distinct(F.regexp_extract_all(text, at_every_place, F.lit(1)))
 
 
 def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str) -> DataFrame:
@@ -101,9 +100,11 @@ def redact_known_names(texts: DataFrame, names: DataFrame, text_id: str, text: s
 def redaction_stats(texts: DataFrame, text: str) -> DataFrame:
     """Matches and distinct values per class of personal data."""
     classes = {"emails": (EMAIL, 0), "telephones": (PHONE, 0), "nir": (NIR, 0), "kpep": (KPEP, 2)}
-    cells = F.flatten(F.array(*[
-        F.transform(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(g)), lambda v, n=name: F.struct(F.lit(n).alias("kind"), F.lower(v).alias("value")))
-        for name, (p, g) in classes.items()
-    ]))
+
+    def found(name: str, pattern: str, group: int) -> Column:
+        values = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group))
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("kind"), F.lower(v).alias("value")))
+
+    cells = F.flatten(F.array(*[found(name, p, g) for name, (p, g) in classes.items()]))
     pairs = texts.select(F.inline(cells)).groupBy("kind", "value").agg(F.count("*").alias("n"))
     return pairs.groupBy("kind").agg(F.count("*").alias("unique_values"), F.sum("n").cast("bigint").alias("matches"))

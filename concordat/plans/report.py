@@ -102,6 +102,7 @@ def highlights(facts: DataFrame) -> DataFrame:
 
 def kpi_thematic(facts: DataFrame) -> DataFrame:
     """Facts of each published document, tagged with its name."""
+    facts = materialize(facts)  # a few hundred rows, read by every theme
     every = facts.unionByName(highlights(facts))
     out = None
     for theme, sections in THEMES.items():
@@ -116,7 +117,8 @@ def to_document(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     levels = ("section", "block", "indicator", "measure")
     rows, value = facts, F.col("value")
     for i in range(len(levels) - 1, -1, -1):
-        entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(levels[i]).alias("k"), value.alias("v")))))
+        pairs = F.collect_list(F.struct(F.col(levels[i]).alias("k"), value.alias("v")))
+        entries = F.map_from_entries(F.array_sort(pairs, lambda a, b: F.when(a["k"] < b["k"], -1).otherwise(1)))
         rows = rows.groupBy(*keys, *levels[:i]).agg(entries.alias("doc"))
         value = F.col("doc")
     return rows.select(*keys, F.to_json("doc").alias("payload"))

@@ -108,7 +108,12 @@ def previous_run_delta(series: DataFrame, thresholds: DataFrame) -> DataFrame:
 def kpi_period_average(series: DataFrame, runs: int = 30) -> DataFrame:
     """Value against the mean of the last ``runs`` runs up to it."""
     frame = _by_run().rowsBetween(-(runs - 1), 0)
-    return series.select("flux_id", "kpi", "value", F.round(F.avg("value").over(frame), 2).alias("average"))
+    # Indicators have two decimals at most: whole hundredths keep the mean exact.
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    twice = F.sum(cents).over(frame) * 2 + F.count(cents).over(frame)
+    n2 = F.nullif(F.count(cents).over(frame) * 2, F.lit(0))
+    average = ((twice - F.pmod(twice, n2)) / n2) / F.lit(100.0)
+    return series.select("flux_id", "kpi", "value", average.alias("average"))
 
 
 def kpi_alerts(series: DataFrame, thresholds: DataFrame, now: str) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture per column expression dominates the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

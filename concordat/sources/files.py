@@ -11,7 +11,6 @@ from concordat.functions import run_date
 
 SEPARATORS = ("\t", ";", ",")
 ENCODINGS = ("utf-8", "iso-8859-1")
-REPLACEMENT = "�"
 
 
 def _head(spark: SparkSession, path: str, encoding: str, lines: int = 3) -> list[str]:
@@ -21,11 +20,14 @@ def _head(spark: SparkSession, path: str, encoding: str, lines: int = 3) -> list
 
 
 def probe_format(spark: SparkSession, path: str, preamble: int = 0) -> tuple[str, str]:
-    """Separator and encoding of an extract, judged on its header lines."""
-    encoding, head = ENCODINGS[0], _head(spark, path, ENCODINGS[0], preamble + 1)
-    if any(REPLACEMENT in line for line in head):
-        encoding = ENCODINGS[1]
-        head = _head(spark, path, encoding, preamble + 1)
+    """Separator (from the header line) and encoding of an extract.
+
+    The encoding is UTF-8 unless some line anywhere does not decode; callers
+    that know it should pass it and spare this scan.
+    """
+    undecoded = spark.read.text(path).where(~F.is_valid_utf8("value"))
+    encoding = ENCODINGS[0] if undecoded.isEmpty() else ENCODINGS[1]
+    head = _head(spark, path, encoding, preamble + 1)
     header = head[preamble] if len(head) > preamble else ""
     return next((s for s in SEPARATORS if s in header), SEPARATORS[-1]), encoding
 

@@ -53,7 +53,9 @@ def previous_run_delta(f):
 
 
 @query("kpi_period_average", oracle(
-    "SELECT flux_id, kpi, value, round(avg(value) OVER (PARTITION BY kpi ORDER BY rd ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 2) AS average FROM ser", ser=_SER))
+    "SELECT flux_id, kpi, value, CASE WHEN n > 0 THEN cast((2 * s + n) // (2 * n) AS double) / 100.0 END AS average FROM (SELECT flux_id, kpi, value, "
+    "cast(sum(cast(round(value * 100) AS bigint)) OVER w AS bigint) AS s, count(value) OVER w AS n FROM ser "
+    "WINDOW w AS (PARTITION BY kpi ORDER BY rd ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) t", ser=_SER))
 def kpi_period_average(f):
     return sv.kpi_period_average(sv.kpi_series(history(f)), 30)
 
