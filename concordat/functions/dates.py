@@ -36,7 +36,7 @@ def iso_date(col: Column) -> Column:
 
 def date_or_null(iso_text: Column) -> Column:
     """DATE from canonical ISO text; NULL when blank or no calendar day."""
-    return F.try_to_date(squeeze(iso_text), "yyyy-MM-dd")
+    return iso_text.try_cast("date")
 
 
 def date_of(col: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions import date_or_null, day_delta, pct2
-from concordat.operators.common import count_where, first_row, lookup_join
+from concordat.operators.common import count_where, first_row, lookup_join, views
 from concordat.operators.normalize import INSURED_TYPES, SPOUSE_MARK
 
 # Scope and waiting time.
@@ -100,15 +100,10 @@ def card_kpis(persons: DataFrame) -> DataFrame:
     month = F.when(date_or_null(F.col("effect_date")).isNotNull(), month)
     # One pass: the finest grouping is small, the three views roll it up.
     base = persons.groupBy(month.alias("month"), "company", "offer", "member_type").agg(*both)
-    sums = [F.sum("eligible").cast("bigint").alias("eligible"), F.sum("future").cast("bigint").alias("future")]
-    label = F.concat_ws(" | ", "company", "offer", "member_type")
-    views = (
-        base.groupBy(F.lit("TOTAL").alias("view"), F.lit("").alias("label")).agg(*sums)
-        .unionByName(base.where("month is not null").groupBy(F.lit("MOIS").alias("view"), F.col("month").alias("label")).agg(*sums))
-        .unionByName(base.groupBy(F.lit("DETAIL").alias("view"), label.alias("label")).agg(*sums))
-    )
+    labels = {"TOTAL": F.lit(""), "MOIS": F.col("month"), "DETAIL": F.concat_ws(" | ", "company", "offer", "member_type")}
+    rows = views(base, labels, ["eligible", "future"])
     total = F.col("eligible") + F.col("future")
-    return views.select("*", total.alias("base"), pct2(F.col("eligible"), total).alias("rate_eligible"), pct2(F.col("future"), total).alias("rate_future"))
+    return rows.select("*", total.alias("base"), pct2(F.col("eligible"), total).alias("rate_eligible"), pct2(F.col("future"), total).alias("rate_future"))
 
 
 def card_by_company(persons: DataFrame) -> DataFrame:

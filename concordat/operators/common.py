@@ -76,3 +76,14 @@ def spread(values: Sequence[str], on: Column, measure: Column, lower: bool = Fal
         name = value.lower() if lower else value
         out.append(F.sum(F.when(on == value, measure).otherwise(F.lit(0))).cast("bigint").alias(name))
     return out
+
+
+def views(base: DataFrame, labels: Mapping[str, Column], measures: Sequence[str]) -> DataFrame:
+    """Several roll-ups of one small aggregate as ``(view, label, measures)`` rows.
+
+    Each base row is handed to every view whose label it has (NULL leaves it
+    out), then summed once, so the input of ``base`` is computed a single time.
+    """
+    cells = F.array(*[F.struct(F.lit(v).alias("view"), c.cast("string").alias("label")) for v, c in labels.items()])
+    rows = base.select(F.inline(cells), *measures).where("label is not null")
+    return rows.groupBy("view", "label").agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])

@@ -189,14 +189,15 @@ def multi_contract_report(block: DataFrame, top: int = 10) -> DataFrame:
     # One small table by (company, kind, count) feeds the five counting views.
     cube = rows.groupBy("company", "kind", "n").agg(F.count("*").alias("a"), F.sum("n").alias("c"))
 
-    def view(section: str, k1: Column, k2: Column) -> DataFrame:
-        return cube.groupBy(F.lit(section).alias("section"), k1.cast("string").alias("k1"), k2.cast("string").alias("k2")).agg(
-            F.sum("a").cast("bigint").alias("nb_assures"), F.sum("c").cast("bigint").alias("nb_contrats")
-        )
-
     none = F.lit("")
-    out = view("TOTAL", none, none).unionByName(view("TYPE", F.col("kind"), none)).unionByName(view("SOCIETE", F.col("company"), none))
-    out = out.unionByName(view("CROISE", F.col("company"), F.col("kind"))).unionByName(view("DISTRIBUTION", F.col("n"), none))
+    keys = {
+        "TOTAL": (none, none), "TYPE": (F.col("kind"), none), "SOCIETE": (F.col("company"), none),
+        "CROISE": (F.col("company"), F.col("kind")), "DISTRIBUTION": (F.col("n").cast("string"), none),
+    }
+    cells = F.array(*[F.struct(F.lit(v).alias("section"), a.alias("k1"), b.alias("k2")) for v, (a, b) in keys.items()])
+    out = cube.select(F.inline(cells), "a", "c").groupBy("section", "k1", "k2").agg(
+        F.sum("a").cast("bigint").alias("nb_assures"), F.sum("c").cast("bigint").alias("nb_contrats")
+    )
     person = ("last_name", "first_name", "insee", "birth_date")
     best = rows.orderBy(F.col("n").desc(), *person, "company", "kind").limit(top)
     best = best.select(F.lit("TOP").alias("section"), F.concat_ws("|", *person).alias("k1"), F.concat_ws("|", "company", "kind").alias("k2"),

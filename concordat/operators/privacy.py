@@ -18,6 +18,7 @@ FIRST_NAME = r"(Prénom)([A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{
 KPEP = r"(KPEP)(\d{10,20})"
 MIN_NAME = 3
 BROADCAST_NAMES = 200_000
+FEW_NAMES = 2_000
 _SHORT, _LONG = 3, 8
 _SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
 
@@ -65,11 +66,16 @@ def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str)
     """
     clean = names.select(squeeze(F.col(names.columns[0])).alias("name")).where(F.length("name") >= MIN_NAME)
     clean = clean.select(F.lower("name").alias("name")).distinct()
-    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
+    size = clean.limit(BROADCAST_NAMES + 1).count()
+    # Few names share few seeds, so short seeds will do; many need longer ones.
+    long = _SHORT if size <= FEW_NAMES else _LONG
+    width = F.when(F.length("name") >= _LONG, long).otherwise(_SHORT)
     keyed = clean.select("name", F.substr(F.col("name"), F.lit(1), width).alias("seed"))
     low = texts.select(text_id, F.lower(text).alias("__low"))
-    seeds = F.concat(_seeds(F.col("__low"), _SHORT), _seeds(F.col("__low"), _LONG))
-    if keyed.limit(BROADCAST_NAMES + 1).count() <= BROADCAST_NAMES:
+    seeds = _seeds(F.col("__low"), _SHORT)
+    if long != _SHORT:
+        seeds = F.concat(seeds, _seeds(F.col("__low"), long))
+    if size <= BROADCAST_NAMES:
         # Few names: the texts stay where they are and only hits leave the scan.
         rows = low.select(text_id, "__low", F.explode(seeds).alias("seed")).join(F.broadcast(keyed), "seed")
     else:

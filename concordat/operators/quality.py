@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.functions import (
@@ -16,7 +16,7 @@ from concordat.functions import (
     squeeze,
 )
 from concordat.operators.card import card_scope, person_card
-from concordat.operators.common import any_where, count_where, facts, first_row, lookup_join
+from concordat.operators.common import any_where, count_where, facts, first_row, lookup_join, views
 from concordat.operators.matching import MATCHED, candidate_keys, is_real_kpep
 from concordat.operators.normalize import UNKNOWN_COMPANY, is_insured, is_spouse
 from concordat.operators.registry import registry_presence
@@ -246,19 +246,23 @@ def match_totals(match: DataFrame) -> DataFrame:
     ).otherwise("Standard_CK_CM")
     base = match.groupBy("match_status", "match_method").agg(F.count("*").alias("n"))
     hit = F.col("match_status") == MATCHED
-    row = base.agg(
-        F.sum("n").alias("cible"),
-        F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("rapproches"),
-        F.sum(F.when(~hit, F.col("n")).otherwise(0)).alias("non_rapproches"),
-    )
-    totals = facts(row, {"cible": "cible", "rapproches": ("rapproches", "cible"), "non_rapproches": ("non_rapproches", "cible")})
-    totals = totals.select(F.lit("GLOBAL").alias("view"), F.col("indicator").alias("label"), "nombre", "pct")
-    none = F.lit(None).cast("double").alias("pct")
-    by_method = base.where(hit).select(F.lit("METHODE").alias("view"), method.alias("label"), F.col("n").alias("nombre"), none)
-    by_source = (
-        base.where(hit).groupBy(F.lit("SOURCE").alias("view"), source.alias("label")).agg(F.sum("n").alias("nombre")).select("*", none)
+    side = F.when(hit, F.col("n")).otherwise(0)
+
+    def cell(view: str, label: Column, n: Column) -> Column:
+        return F.struct(F.lit(view).alias("view"), label.alias("label"), n.cast("bigint").alias("n"))
+
+    cells = F.array(
+        cell("GLOBAL", F.lit("cible"), F.col("n")),
+        cell("GLOBAL", F.lit("rapproches"), side),
+        cell("GLOBAL", F.lit("non_rapproches"), F.col("n") - side),
+        cell("METHODE", F.when(hit, method), F.col("n")),
+        cell("SOURCE", F.when(hit, source), F.col("n")),
     )
-    return totals.unionByName(by_method).unionByName(by_source)
+    rows = base.select(F.inline(cells)).where("label is not null").groupBy("view", "label").agg(F.sum("n").alias("nombre"))
+    # A dozen rows by now: the target is read from its neighbour row.
+    target = F.max(F.when(F.col("label") == "cible", F.col("nombre"))).over(Window.partitionBy("view"))
+    shared = (F.col("view") == "GLOBAL") & (F.col("label") != "cible")
+    return rows.select("view", "label", "nombre", F.when(shared, pct2(F.col("nombre"), target)).alias("pct"))
 
 
 def first_per_person(member: DataFrame, columns: list[str], unknown: str = UNKNOWN_COMPANY) -> DataFrame:
@@ -274,14 +278,9 @@ def match_by_segment(match: DataFrame, insured: DataFrame) -> DataFrame:
     """Totals and coverage by member type and by company."""
     rows = match.join(first_per_person(insured, ["member_type", "company"]), "person_id", "left")
     hit = F.col("match_status") == MATCHED
-    base = rows.groupBy("member_type", "company").agg(F.count("*").alias("n"), count_where(hit).alias("m"))
-    views = None
-    for view, col in (("TYPE", "member_type"), ("SOCIETE", "company")):
-        part = base.groupBy(F.lit(view).alias("view"), F.coalesce(col, F.lit(UNKNOWN_COMPANY)).alias("label")).agg(
-            F.sum("n").alias("total"), F.sum("m").alias("rapproches")
-        )
-        views = part if views is None else views.unionByName(part)
-    return views.select(
+    base = rows.groupBy("member_type", "company").agg(F.count("*").alias("total"), count_where(hit).alias("rapproches"))
+    labels = {"TYPE": F.coalesce("member_type", F.lit(UNKNOWN_COMPANY)), "SOCIETE": F.coalesce("company", F.lit(UNKNOWN_COMPANY))}
+    return views(base, labels, ["total", "rapproches"]).select(
         "*", (F.col("total") - F.col("rapproches")).alias("non_rapproches"), pct2(F.col("rapproches"), F.col("total")).alias("taux")
     )
 
@@ -347,12 +346,13 @@ def matched_email_empty(insured: DataFrame, matched: DataFrame) -> DataFrame:
 
 def _kpep_facts(insured: DataFrame, matched: DataFrame) -> DataFrame:
     """Per matched person: has own keys, account key, and whether they agree (upper case)."""
-    account = matched.select("person_id", F.coalesce("idkpep", F.lit("")).alias("acc_kpep"))
+    account = matched.select("person_id", F.coalesce("idkpep", F.lit("")).alias("acc_kpep"), "birth_iso", "email")
     own = insured.select("person_id", F.when(is_real_kpep(F.col("kpep")), F.col("kpep")).alias("kpep"))
     rows = lookup_join(own, account, ["person_id"], "inner")
     return rows.groupBy("person_id").agg(
         any_where(F.col("kpep").isNotNull()).alias("has_key"),
-        F.max("acc_kpep").alias("acc_kpep"),
+        # One account per person: any aggregate carries its attributes along.
+        *[F.max(c).alias(c) for c in ("acc_kpep", "birth_iso", "email")],
         any_where(F.col("kpep") == F.col("acc_kpep")).alias("same"),
         any_where(F.upper("kpep") == F.upper("acc_kpep")).alias("same_upper"),
     )
@@ -450,10 +450,13 @@ def email_quality(sources: dict[str, DataFrame], top: int = 10) -> DataFrame:
     )
 
 
+# Reasons of a KO person.
+KO_REASONS = ("Prospect_CIAM", "KPEP_NS_diff_CIAM", "Email_CIAM_invalide", "Email_CIAM_risque")
+
+
 def quality_reasons(insured: DataFrame, matched: DataFrame) -> DataFrame:
     """Matched persons with the array of reasons that make them KO."""
-    acc = matched.select("person_id", "birth_iso", "email")
-    rows = _kpep_facts(insured, matched).join(acc, "person_id")
+    rows = _kpep_facts(insured, matched)
     mail = F.coalesce("email", F.lit(""))
     return rows.select(
         "person_id",
@@ -472,19 +475,13 @@ def quality_reasons(insured: DataFrame, matched: DataFrame) -> DataFrame:
 def quality_score(insured: DataFrame, matched: DataFrame) -> DataFrame:
     """Matched persons OK and KO, and how often each reason occurs."""
     rows = quality_reasons(insured, matched)
-    base = rows.groupBy("reasons").agg(F.count("*").alias("n"))
-    row = base.agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.size("reasons") == 0, F.col("n")).otherwise(0)).alias("ok"),
-        F.sum(F.when(F.size("reasons") > 0, F.col("n")).otherwise(0)).alias("ko"),
-    )
-    totals = facts(row, {"DATA_QUALITY_OK": ("ok", "n"), "DATA_QUALITY_KO": ("ko", "n")})
-    per_reason = base.select(F.explode("reasons").alias("indicator"), "n").groupBy("indicator").agg(F.sum("n").alias("nombre"))
-    ko = row.select(F.col("ko").alias("base"))
-    reasons = per_reason.crossJoin(F.broadcast(ko))  # one row
-    return totals.unionByName(
-        reasons.select("indicator", "nombre", pct2(F.col("nombre"), F.col("base")).alias("pct"), "base")
+    bad = F.size("reasons") > 0
+    row = rows.agg(
+        F.count("*").alias("n"), count_where(~bad).alias("ok"), count_where(bad).alias("ko"),
+        *[count_where(F.array_contains("reasons", r)).alias(r) for r in KO_REASONS],
     )
+    out = facts(row, {"DATA_QUALITY_OK": ("ok", "n"), "DATA_QUALITY_KO": ("ko", "n"), **{r: (r, "ko") for r in KO_REASONS}})
+    return out.where(F.col("indicator").startswith("DATA_QUALITY") | (F.col("nombre") > 0))
 
 
 def account_quality(account_ref: DataFrame) -> DataFrame:

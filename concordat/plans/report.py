@@ -49,12 +49,12 @@ def kpi_report(
 ) -> DataFrame:
     """All blocks of a run as ``(section, block, indicator, measure, value)``.
 
-    The match feeds a dozen blocks: it is written once to the checkpoint
-    folder and shared.  Every other block is one aggregate over its input.
+    The match and its accounts feed a dozen blocks: they are written once to the
+    checkpoint folder and shared.  Every other block is one aggregate over its input.
     """
     match = materialize(match)
     insured = member.where(ql.is_insured(F.col("member_type")))
-    matched = with_account(match, account_ref)
+    matched = materialize(with_account(match, account_ref))
     name = F.col("indicator")
     totals = ql.match_totals(match)
     parts = [

@@ -223,9 +223,7 @@ _ORIGIN = """CASE o_orderpriority
 RAW["claim_ops"] = f"""
 SELECT l_orderkey AS dossier_id, l_linenumber AS op_no,
   concat(cast(cast(l_shipdate AS date) AS string), '|', lpad(cast(l_partkey AS string), 12, '0'), '|',
-    lpad(cast(l_suppkey AS string), 12, '0'), '|', lpad(cast(cast(l_quantity AS decimal(12, 2)) AS string), 15, '0'), '|',
-    lpad(cast(cast(l_extendedprice AS decimal(14, 2)) AS string), 17, '0'), '|', cast(cast(l_discount AS decimal(6, 2)) AS string), '|',
-    cast(cast(l_tax AS decimal(6, 2)) AS string), '|', l_returnflag, l_linestatus) AS op_ref,
+    lpad(cast(l_suppkey AS string), 12, '0'), '|', lpad(cast(cast(l_extendedprice AS decimal(14, 2)) AS string), 17, '0')) AS op_ref,
   cast(l_shipdate AS date) AS op_date, cast(o_orderdate AS date) AS created,
   CASE l_returnflag WHEN 'R' THEN 'RJ' WHEN 'A' THEN CASE l_linestatus WHEN 'O' THEN 'PA' ELSE 'RL' END
        ELSE CASE l_linestatus WHEN 'O' THEN 'AC' ELSE 'VA' END END AS state,

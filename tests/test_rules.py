@@ -125,8 +125,9 @@ def test_known_names_against_brute_force(rows, monkeypatch):
     docs = rows("id long, text string", *enumerate(texts))
     listed = rows("name string", *[(n,) for n in names])
     want_hits = {i: rx.findall(t) for i, t in enumerate(texts)}
-    for limit in (200_000, 0):  # broadcast path, then shuffle path
+    for limit, few in ((200_000, 2_000), (200_000, 0), (0, 0)):  # short seeds, both widths, shuffle path
         monkeypatch.setattr(pv, "BROADCAST_NAMES", limit)
+        monkeypatch.setattr(pv, "FEW_NAMES", few)
         got = {r["id"]: r["text"] for r in pv.redact_known_names(docs, listed, "id", "text", "k").collect()}
         for i, text in enumerate(texts):
             marks = re.findall(r"P-[0-9a-f]{16}", got[i])
