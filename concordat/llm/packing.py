@@ -6,7 +6,9 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,7 +28,7 @@ PIECES = T.StructType(
 #: A blank after white space: there the blank does not start a new match of the vocabulary's pattern.
 DOUBLE_GAP = re.compile(r"\s ")
 #: Words kept with their ids in one worker; beyond that the memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 
 class Encoder:
@@ -34,8 +36,9 @@ class Encoder:
 
     A blank that follows a non-blank always starts a new match of the byte-level pattern, so a
     text's ids are the ids of its blank-led words one after the other; each worker encodes a word
-    once and remembers it.  Texts with a blank after other white space are encoded whole.  Strings
-    of special tokens inside a text are ordinary text.
+    once and remembers it.  New words are encoded together: only the first token of a blank-led
+    word starts with a blank, which tells the words' ids apart.  Texts with a blank after other
+    white space are encoded whole.  Strings of special tokens inside a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -44,27 +47,42 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.heads: dict[str, bytes] = {}
+        blank = self.tokenizer.id_to_token(self._ids(" ")[0])
+        led = [t for t, i in self.tokenizer.get_vocab().items() if t.startswith(blank)]
+        self.leads = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.leads[[self.tokenizer.token_to_id(t) for t in led]] = True
         self.words: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], new: list[str], lead: str) -> None:
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            found = self.tokenizer.encode_batch_fast([lead + w for w in part], add_special_tokens=False)
-            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+    def _ids(self, text: str) -> list[int]:
+        # Without offsets, which nothing here needs.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, new: list[str]) -> None:
+        alone = [w for w in new if not w or w[-1].isspace()]
+        self.words.update((w, array("I", self._ids(" " + w)).tobytes()) for w in alone)
+        together = [w for w in new if w and not w[-1].isspace()]
+        if together:
+            ids = np.array(self._ids(" " + " ".join(together)), "<u4")
+            at = (4 * np.flatnonzero(self.leads[ids])).tolist() + [4 * len(ids)]
+            data = ids.tobytes()
+            self.words.update((w, data[lo:hi]) for w, lo, hi in zip(together, at[:-1], at[1:], strict=True))
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         if len(self.words) > REMEMBERED:
-            self.heads, self.words = {}, {}
-        for lo in range(0, len(texts), 500):
-            split = [None if DOUBLE_GAP.search(t) else t.split(" ") for t in (x or "" for x in texts[lo : lo + 500])]
-            self._learn(self.heads, list({s[0] for s in split if s} - self.heads.keys()), "")
-            self._learn(self.words, list({w for s in split if s for w in s[1:]} - self.words.keys()), " ")
-            for text, s in zip(texts[lo : lo + 500], split, strict=True):
+            self.words = {}
+        for lo in range(0, len(texts), 64):
+            part = [t or "" for t in texts[lo : lo + 64]]
+            split = [None if DOUBLE_GAP.search(t) else t.split(" ") for t in part]
+            known, new = self.words.__contains__, set()
+            for s in split:
+                if s:
+                    new.update(filterfalse(known, s[1:]))
+            self._learn(list(new))
+            for text, s in zip(part, split, strict=True):
                 if s is None:
-                    yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+                    yield array("I", self._ids(text)).tobytes()
                 else:
-                    yield self.heads[s[0]] + b"".join(map(self.words.__getitem__, s[1:]))
+                    yield array("I", self._ids(s[0])).tobytes() + b"".join(map(self.words.__getitem__, s[1:]))
 
 
 _encoders: dict[str, Encoder] = {}
