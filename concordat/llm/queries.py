@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import byte_bpe, chat_format, packing, quality_rules
+from concordat.llm import byte_bpe, chat_format, html_extract, packing, quality_classifier, quality_rules, spot_signatures
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +39,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document for quality."""
+    return quality_classifier.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text, and compare them."""
+    found = spot_signatures.fingerprint(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spot_signatures.as_text(F.col("found")).alias("fingerprint"),
+        spot_signatures.as_text(F.col("edited_found")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format every conversation and conversation -7, read the turns back from the output."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -90,6 +115,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_extract": op5_html_extract,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op8_spot_signatures": op8_spot_signatures,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
