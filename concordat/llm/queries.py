@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import byte_bpe, chat_format, html_extract, packing, quality_classifier, quality_rules, spot_signatures
+from concordat.llm import byte_bpe, chat_format, html_extract, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every word of a 50-word window that starts in an earlier document too."""
+    found = substring_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 49), ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)
+),
+least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+rep AS (SELECT doc_id, i FROM win JOIN least USING (h) WHERE doc_id > m),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS k FROM d),
+judged AS (
+  SELECT w.doc_id, w.w, w.k, rep.i IS NOT NULL AND w.k - rep.i < 50 AS gone
+  FROM w ASOF LEFT JOIN rep ON w.doc_id = rep.doc_id AND w.k >= rep.i
+),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(w, ' ' ORDER BY k) FILTER (NOT gone) AS t FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids, return counts and digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +140,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extract": op5_html_extract,
@@ -121,4 +149,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op9_chat_format": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op9_chat_format": OP9_SQL}
