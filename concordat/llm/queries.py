@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import byte_bpe, chat_format, html_extract, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
+from concordat.llm import byte_bpe, chat_format, html_extract, line_dedup, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,46 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove lines that are similar to an earlier line of the corpus."""
+    found = line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i
+  FROM documents
+),
+filled AS (
+  SELECT doc_id, i, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS s
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+),
+sets AS (SELECT s, min({'d': doc_id, 'i': i}) AS f, len(s) AS n, row_number() OVER () AS k FROM filled GROUP BY s),
+tok AS (SELECT k, n, f, unnest(s) AS w FROM sets),
+df AS (SELECT w, count(*) AS c FROM tok GROUP BY w),
+ranked AS (SELECT k, n, f, w, row_number() OVER (PARTITION BY k ORDER BY c, w) AS r FROM tok JOIN df USING (w)),
+pre AS (SELECT * FROM ranked WHERE r <= n - ceil(0.8 * n - 1e-9) + 1),
+pairs AS (
+  SELECT DISTINCT a.k AS ak, b.k AS bk FROM pre a JOIN pre b ON a.w = b.w
+  WHERE a.f < b.f AND a.n >= 0.8 * b.n - 1e-9 AND b.n >= 0.8 * a.n - 1e-9
+),
+gone AS (
+  SELECT DISTINCT bk AS k FROM (
+    SELECT bk, a.n AS an, b.n AS bn, len(list_intersect(a.s, b.s)) AS o FROM pairs JOIN sets a ON a.k = ak JOIN sets b ON b.k = bk
+  ) WHERE o >= 0.8 * (an + bn - o) - 1e-9
+),
+firsts AS (SELECT f.d AS doc_id, f.i AS i FROM sets WHERE k NOT IN (SELECT k FROM gone)),
+judged AS (
+  SELECT l.doc_id, l.i, l.line, regexp_matches(l.line, '[^\x20\x09-\x0D]') AS has_word, firsts.i IS NOT NULL AS first
+  FROM l LEFT JOIN firsts ON l.doc_id = firsts.doc_id AND l.i = firsts.i
+)
+SELECT doc_id, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (has_word AND NOT first) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first OR NOT has_word), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak supervision over quality rules for every document."""
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
@@ -142,6 +182,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extract": op5_html_extract,
     "op6_quality_classifier": op6_quality_classifier,
@@ -149,4 +190,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op9_chat_format": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL}

@@ -13,36 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concordat.llm.wordvec import from_planes, planes, window_hashes, word_hashes
+from concordat.llm.wordvec import LAST, from_planes, pack_places, planes, prime_from, unpack_places, window_hashes, word_hashes
 
 WINDOW = 50
 #: Text bytes that a task hashes at once, and text bytes to a bucket of window hashes.
 FLUSH, BUCKET = 16 << 20, 4 << 20
-LAST = np.iinfo(np.int64).max
 #: What hashing tasks send to buckets, and buckets to the slots of documents.
 _SHIPPED = "bucket int, hashes binary, ids binary, ties binary, counts binary, steps binary, known boolean"
 _FOUND = "slot int, ids binary, ties binary, counts binary, steps binary"
 
 
-def _pack(ids: np.ndarray, ties: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> list[bytes]:
-    """Window starts by document: ids, ties, starts of each, steps from one start to the next."""
-    new = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    steps = np.diff(starts, prepend=0)
-    steps[new] = starts[new]
-    docs = rows[new]
-    counts = np.diff(np.append(new, len(rows)))
-    return [planes(ids[docs]), planes(ties[docs]), planes(counts.astype("<u4")), planes(steps.astype("<u4"))]
-
-
-def _unpack(ids: bytes, ties: bytes, counts: bytes, steps: bytes) -> tuple[np.ndarray, ...]:
-    """Documents' ids and ties, the number of each start's document, and the starts."""
-    n, step = from_planes(counts, "<u4").astype(np.int64), from_planes(steps, "<u4").astype(np.int64)
-    first = np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64)
-    total = np.cumsum(step)
-    before = np.repeat(total[first] - step[first], n) if len(n) else total
-    return from_planes(ids, "<i8"), from_planes(ties, "<u4"), np.repeat(np.arange(len(n)), n), total - before
-
-
 def _hash_tasks(bits: int, window: int):
     """Task that hashes every window and sends each bucket what it has for it.
 
@@ -67,7 +47,7 @@ def _hash_tasks(bits: int, window: int):
         repeated = np.zeros(len(hashes), bool)
         repeated[order] = owner > owner[np.flatnonzero(new)][np.cumsum(new) - 1]
         if repeated.any():
-            yield (int(hashes[0]) & ((1 << bits) - 1), b"", *_pack(ids, ties, row[repeated], start[repeated]), True)
+            yield (int(hashes[0]) & ((1 << bits) - 1), b"", *pack_places(ids, ties, row[repeated], start[repeated]), True)
         hashes, row, start = hashes[~repeated], row[~repeated], start[~repeated]
         bucket = (hashes >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
         order = np.argsort(bucket, kind="stable")
@@ -76,7 +56,7 @@ def _hash_tasks(bits: int, window: int):
         spare = bits // 8  # leading bytes that the bucket tells
         for b, lo, hi in zip(found.tolist(), first, np.append(first, len(hashes))[1:], strict=True):
             kept = planes(hashes[lo:hi])[: (8 - spare) * (hi - lo)]
-            yield (b, kept, *_pack(ids, ties, row[lo:hi], start[lo:hi]), False)
+            yield (b, kept, *pack_places(ids, ties, row[lo:hi], start[lo:hi]), False)
 
     kinds = [pa.int32()] + [pa.binary()] * 5 + [pa.bool_()]
     names = ["bucket", "hashes", "ids", "ties", "counts", "steps", "known"]
@@ -108,7 +88,7 @@ def _bucket_task(bits: int, slots: int):
         spare = bits // 8
         ids, ties, starts, fresh, hashes, own = [], [], [], [], [], []
         for r in table.to_pylist():
-            doc_ids, doc_ties, row, start = _unpack(r["ids"], r["ties"], r["counts"], r["steps"])
+            doc_ids, doc_ties, row, start = unpack_places(r["ids"], r["ties"], r["counts"], r["steps"])
             ids.append(doc_ids[row])
             ties.append(doc_ties[row])
             starts.append(start)
@@ -135,7 +115,7 @@ def _bucket_task(bits: int, slots: int):
         found, at = np.unique(slot, return_index=True)
         out = []
         for s, lo, hi in zip(found.tolist(), at, np.append(at, len(slot))[1:], strict=True):
-            out.append((s, *_pack(ids[doc], ties[doc], row[lo:hi], starts[lo:hi])))
+            out.append((s, *pack_places(ids[doc], ties[doc], row[lo:hi], starts[lo:hi])))
         columns = list(zip(*out, strict=True)) or [()] * 5
         kinds = [pa.int32()] + [pa.binary()] * 4
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["slot", "ids", "ties", "counts", "steps"])
@@ -143,12 +123,6 @@ def _bucket_task(bits: int, slots: int):
     return run
 
 
-def _prime(n: int) -> int:
-    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
-        n += 1
-    return n
-
-
 def removed_words(n_words: int, starts: np.ndarray, window: int) -> np.ndarray:
     """Which words the windows at ``starts`` cover; overlapping windows merge into one interval."""
     steps = np.zeros(n_words + 1, np.int64)
@@ -163,7 +137,7 @@ def _apply_task(window: int, kind: T.StructType):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         starts: dict[tuple[int, int], list[np.ndarray]] = {}
         for r in found.to_pylist():
-            ids, ties, row, start = _unpack(r["ids"], r["ties"], r["counts"], r["steps"])
+            ids, ties, row, start = unpack_places(r["ids"], r["ties"], r["counts"], r["steps"])
             for k, part in enumerate(np.split(start, np.flatnonzero(np.diff(row)) + 1)):
                 starts.setdefault((int(ids[k]), int(ties[k])), []).append(part)
         texts, totals, gone = [], [], []
@@ -201,7 +175,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(6, int(size // BUCKET).bit_length())
-    slots = _prime(max(64, int(size // BUCKET)))
+    slots = prime_from(max(64, int(size // BUCKET)))
     shipped = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_hash_tasks(bits, window), _SHIPPED)
     found = shipped.groupBy("bucket").applyInArrow(_bucket_task(bits, slots), _FOUND)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))

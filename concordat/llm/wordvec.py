@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
+#: Stands for a missing id: it is larger than every other.
+LAST = np.iinfo(np.int64).max
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
@@ -100,3 +102,29 @@ def from_planes(data: bytes, kind) -> np.ndarray:
         return np.zeros(0, kind)
     flat = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
     return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def pack_places(ids: np.ndarray, ties: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """Window starts by document: ids, ties, starts of each, steps from one start to the next."""
+    new = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    steps = np.diff(starts, prepend=0)
+    steps[new] = starts[new]
+    docs = rows[new]
+    counts = np.diff(np.append(new, len(rows)))
+    return [planes(ids[docs]), planes(ties[docs]), planes(counts.astype("<u4")), planes(steps.astype("<u4"))]
+
+
+def unpack_places(ids: bytes, ties: bytes, counts: bytes, steps: bytes) -> tuple[np.ndarray, ...]:
+    """Documents' ids and ties, the number of each start's document, and the starts."""
+    n, step = from_planes(counts, "<u4").astype(np.int64), from_planes(steps, "<u4").astype(np.int64)
+    first = np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64)
+    total = np.cumsum(step)
+    before = np.repeat(total[first] - step[first], n) if len(n) else total
+    return from_planes(ids, "<i8"), from_planes(ties, "<u4"), np.repeat(np.arange(len(n)), n), total - before
+
+
+def prime_from(n: int) -> int:
+    """The first prime that is not below ``n``."""
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
