@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import byte_bpe, chat_format, html_extract, line_dedup, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
+from concordat.llm import byte_bpe, chat_format, html_extract, line_dedup, near_dedup, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -117,6 +117,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return near_dedup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every document and its edited text, and compare them."""
     found = spot_signatures.fingerprint(_table(spark, sf_dir, "documents"))
@@ -186,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extract": op5_html_extract,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_near_dedup": op7_near_dedup,
     "op8_spot_signatures": op8_spot_signatures,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
