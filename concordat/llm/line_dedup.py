@@ -18,14 +18,18 @@ from concordat.llm.shared import saved
 from concordat.llm.wordvec import LAST, U64, from_planes, mix, pack_places, planes, prime_from, unpack_places, word_hashes
 
 SIMILARITY = 0.8
-FLUSH, BUCKET = 16 << 20, 4 << 20
+FLUSH, BUCKET = 6 << 20, 4 << 20
 #: Bits of a token; the others of 64 number the lines of a chunk.
 TOKEN_BITS, CHUNK = 49, 1 << 15
 #: Partners that one token's list gives a line at first, nearest first.
 NEAREST = 2
 _PARTS = ("ids", "ties", "counts", "lines", "tokens", "sigs", "bits0", "bits1", "sizes", "ranks")
+#: Sets up to this size have a parity of 64 bits, larger ones of 128.
+WIDE = 64
 _SHIPPED = "bucket int, firsts boolean, " + ", ".join(f"{c} binary" for c in _PARTS)
-_FOUND = "slot int, ids binary, ties binary, counts binary, steps binary, a long, b long, b_id long, b_tie long, b_line long, more boolean"
+_PLACES = "slot int, ids binary, ties binary, counts binary, steps binary"
+_NAMES = ["a_id", "a_tie", "a_line", "b_id", "b_tie", "b_line"]
+_FOUND = _PLACES + ", " + ", ".join(f"{c} long" for c in _NAMES) + ", more boolean"
 
 
 @dataclass
@@ -46,23 +50,28 @@ class Lines:
         return np.diff(self.bounds)
 
 
-def _token_sets(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct tokens of each line."""
-    tokens, sizes = [], []
-    for lo in range(0, len(lines), CHUNK):
-        part = lines[lo : lo + CHUNK]
-        hashes, bounds = word_hashes(part)
-        both = (np.repeat(np.arange(len(part), dtype=U64), np.diff(bounds)) << U64(TOKEN_BITS)) | (hashes >> U64(64 - TOKEN_BITS))
+def _sets(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct tokens of lines whose words are ``hashes``, and their numbers."""
+    tokens, sizes = [], [np.zeros(1, np.int64)]
+    for lo in range(0, len(bounds) - 1, CHUNK):
+        ends = bounds[lo : lo + CHUNK + 1]
+        line = np.repeat(np.arange(len(ends) - 1, dtype=U64), np.diff(ends))
+        both = (line << U64(TOKEN_BITS)) | (hashes[ends[0] : ends[-1]] >> U64(64 - TOKEN_BITS))
         both.sort()
-        both = both[np.concatenate(([True], both[1:] != both[:-1]))] if len(both) else both
-        sizes.append(np.bincount((both >> U64(TOKEN_BITS)).astype(np.int64), minlength=len(part)))
+        both = both[np.concatenate(([True], both[1:] != both[:-1]))[: len(both)]]
+        sizes.append(np.bincount((both >> U64(TOKEN_BITS)).astype(np.int64), minlength=len(ends) - 1))
         tokens.append(both & U64((1 << TOKEN_BITS) - 1))
-    if not tokens:
-        return np.zeros(0, U64), np.zeros(1, np.int64)
-    return np.concatenate(tokens), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    return np.concatenate(tokens) if tokens else np.zeros(0, U64), np.cumsum(np.concatenate(sizes))
 
 
-def _first_lines(rows: list[tuple[int, int, bytes]]) -> Lines:
+def _picked(values: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of some of the groups that ``bounds`` cut."""
+    sizes = np.diff(bounds)
+    return values[np.repeat(which, sizes)], np.concatenate(([0], np.cumsum(sizes[which])))
+
+
+def _first_lines(rows: list[tuple[int, int, bytes]], among: np.ndarray | None = None) -> Lines:
+    """``among``: only lines with a token of this table of bits."""
     rows.sort(key=lambda r: r[:2])
     lines, row, number = [], [], []
     for k, (_, _, data) in enumerate(rows):
@@ -71,10 +80,14 @@ def _first_lines(rows: list[tuple[int, int, bytes]]) -> Lines:
                 lines.append(line)
                 row.append(k)
                 number.append(i)
-    tokens, bounds = _token_sets(lines)
+    hashes, bounds = word_hashes(lines)
     ids, ties = np.array([r[0] for r in rows], "<i8"), np.array([r[1] for r in rows], "<u4")
     row, number = np.array(row, np.int64), np.array(number, np.int64)
-    if not lines:
+    if among is not None and lines:
+        named = np.logical_or.reduceat(sketch.has_bits(among, _key(hashes)), bounds[:-1])
+        (hashes, bounds), row, number = _picked(hashes, bounds, named), row[named], number[named]
+    tokens, bounds = _sets(hashes, bounds)
+    if not len(row):
         return Lines(ids, ties, row, number, tokens, tokens, tokens, bounds)
     mixed = mix(tokens)
     sig = np.add.reduceat(mixed, bounds[:-1])
@@ -82,15 +95,18 @@ def _first_lines(rows: list[tuple[int, int, bytes]]) -> Lines:
     sig = mix(sig ^ (sig2 * U64(0x9E3779B97F4A7C15)))
     order = np.lexsort((sig2, sig))
     new = np.concatenate(([True], (sig[order][1:] != sig[order][:-1]) | (sig2[order][1:] != sig2[order][:-1])))
-    first = np.zeros(len(lines), bool)
+    first = np.zeros(len(row), bool)
     first[order[new]] = True
-    sizes = np.diff(bounds)
-    return Lines(
-        ids, ties, row[first], number[first], sig[first], sig2[first], tokens[np.repeat(first, sizes)], np.concatenate(([0], np.cumsum(sizes[first])))
-    )
+    return Lines(ids, ties, row[first], number[first], sig[first], sig2[first], *_picked(tokens, bounds, first))
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Lines]:
+def _key(hashes: np.ndarray) -> np.ndarray:
+    """Tokens of word hashes as 64-bit keys of a table of bits."""
+    return (hashes >> U64(64 - TOKEN_BITS)) << U64(64 - TOKEN_BITS)
+
+
+def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Documents of about ``FLUSH`` bytes at a time: id, checksum, text."""
     rows, held = [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -98,9 +114,9 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Lines]:
             rows.append((LAST if doc_id is None else doc_id, zlib.crc32(data), data))
             held += len(data)
             if held >= FLUSH:
-                yield _first_lines(rows)
+                yield rows
                 rows, held = [], 0
-    yield _first_lines(rows)
+    yield rows
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -108,21 +124,18 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """How many lines hold the tokens of each cell, over all documents.
+    """How often the tokens of each cell occur, over all documents.
 
-    Lines whose token set came before in the same flush are left out.  A cell that counts one holds
-    a token of one line only.
+    A cell that counts one holds a token of one line only.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines in _flushes(batches):
-            cells, counts = np.unique(_cells(lines.tokens), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts)], ["cell", "n"])
+    def fill(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for rows in _flushes(batches):
+            hashes, _ = word_hashes([r[2] for r in rows])
+            at, counts = np.unique(_cells(hashes >> U64(64 - TOKEN_BITS)), return_counts=True)
+            cells[at] += counts.astype("<u4")
 
-    def fill(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        cells[np.asarray(batch.column("cell"))] += np.asarray(batch.column("n")).astype("<u4")
-
-    return sketch.merged(sketch.tables(docs.mapInArrow(run, "cell long, n long"), fill))
+    return sketch.merged(sketch.tables(docs, fill))
 
 
 def required(a, b, similarity: float = SIMILARITY):
@@ -130,8 +143,24 @@ def required(a, b, similarity: float = SIMILARITY):
     return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
 
 
-def _shipping_task(bits: int, counted, similarity: float):
-    """Task that sends every line's set to its bucket, and its prefix tokens to theirs."""
+def _prefixes(tokens: np.ndarray, bounds: np.ndarray, seen: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """Tokens ordered by rarity within each line, their lines and ranks, and which are in a prefix.
+
+    A token that is counted once is in no other line and finds nothing.
+    """
+    sizes = np.diff(bounds)
+    of, counts = np.repeat(np.arange(len(sizes)), sizes), seen[_cells(tokens)]
+    order = np.argsort((of.astype(U64) << U64(32)) | counts, kind="stable")
+    rank = np.arange(len(tokens)) - np.repeat(bounds[:-1], sizes)
+    n = sizes[of]
+    return tokens[order], of, rank, (rank < n - np.ceil(similarity * n - 1e-9) + 1) & (counts[order] > 1)
+
+
+def _shipping_task(bits: int, counted, similarity: float, among=None):
+    """Task that sends every line's set to its bucket, and its prefix tokens to theirs.
+
+    ``among``: only the prefix tokens in this table of bits, and no sets.
+    """
     kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * len(_PARTS)
 
     def dealt(lines: Lines, which: np.ndarray, bucket: np.ndarray, firsts: bool, **values: np.ndarray) -> Iterator[tuple]:
@@ -146,31 +175,27 @@ def _shipping_task(bits: int, counted, similarity: float):
             yield (b, firsts, *[fields.get(c) for c in _PARTS])
 
     def flush(lines: Lines, seen: np.ndarray) -> Iterator[tuple]:
-        every = np.arange(len(lines.row))
-        place = (lines.sig >> U64(64 - bits)).astype(np.int64)
-        yield from dealt(lines, every, place, True, sigs=lines.sig, bits0=lines.sig2)
+        if among is None:
+            place = (lines.sig >> U64(64 - bits)).astype(np.int64)
+            yield from dealt(lines, np.arange(len(lines.row)), place, True, sigs=lines.sig, bits0=lines.sig2)
         sizes = lines.sizes
-        of = np.repeat(every, sizes)
-        tokens, counts = lines.tokens, seen[_cells(lines.tokens)]
-        order = np.argsort((of.astype(U64) << U64(32)) | counts, kind="stable")
-        rank = np.arange(len(tokens)) - np.repeat(lines.bounds[:-1], sizes)
-        tokens, counts = tokens[order], counts[order]
-        n = sizes[of]
-        prefix = n - np.ceil(similarity * n - 1e-9) + 1
-        used = (rank < prefix) & (counts > 1)
+        tokens, of, rank, used = _prefixes(lines.tokens, lines.bounds, seen, similarity)
+        if among is not None:
+            used &= sketch.has_bits(among.value, tokens << U64(64 - TOKEN_BITS))
         one = U64(1) << (lines.tokens & U64(63))
-        upper = (lines.tokens >> U64(6)) & U64(1) == 1
+        upper = ((lines.tokens >> U64(6)) & U64(1) == 1) & (sizes[of] > WIDE)
         bits0 = np.bitwise_xor.reduceat(np.where(upper, U64(0), one), lines.bounds[:-1])
         bits1 = np.bitwise_xor.reduceat(np.where(upper, one, U64(0)), lines.bounds[:-1])
         which = of[used]
-        values = {"tokens": tokens[used], "sigs": lines.sig[which], "bits0": bits0[which], "bits1": bits1[which]}
+        values = {"tokens": tokens[used], "sigs": lines.sig[which].astype("<u4"), "bits0": bits0[which], "bits1": bits1[which]}
         values |= {"sizes": sizes[which].astype("<u4"), "ranks": rank[used].astype("<u4")}
         yield from dealt(lines, which, (tokens[used] >> U64(TOKEN_BITS - bits)).astype(np.int64), False, **values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines in _flushes(batches):
+        for rows in _flushes(batches):
+            lines = _first_lines(rows, among.value if among is not None else None)
             if len(lines.row):
-                columns = zip(*flush(lines, counted.value), strict=True)
+                columns = list(zip(*flush(lines, counted.value), strict=True)) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "firsts", *_PARTS])
 
     return run
@@ -230,17 +255,20 @@ def _nearest(b: np.ndarray, a: np.ndarray, apart: np.ndarray, more: np.ndarray,
 
 
 def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> list[tuple]:
-    """Pairs of lines that share a prefix token and pass the length, positional and bit filters."""
+    """Pairs of lines that share a prefix token and pass the length, positional and parity filters.
+
+    A wide parity is folded to 64 bits to meet a narrow one.
+    """
     ids, ties, lines = _places(parts)
-    token, sig = _joined(parts, "tokens", "<u8"), _joined(parts, "sigs", "<u8")
+    token, sig = _joined(parts, "tokens", "<u8"), _joined(parts, "sigs", "<u4")
     bits0, bits1 = _joined(parts, "bits0", "<u8"), _joined(parts, "bits1", "<u8")
     size, rank = _joined(parts, "sizes", "<u4").astype(np.int64), _joined(parts, "ranks", "<u4").astype(np.int64)
-    order = np.lexsort((lines, ties, ids, sig, size, token))
-    token, sig = token[order], sig[order]
-    kept = order[np.concatenate(([True], (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])))]
-    token = np.concatenate([from_planes(p["tokens"] or b"", "<u8") for p in parts])[kept]
-    ids, ties, lines, bits0, bits1, size, rank = (x[kept] for x in (ids, ties, lines, bits0, bits1, size, rank))
-    sig = _joined(parts, "sigs", "<u8")[kept]
+    # Equal sets, told by a 32-bit hash, the parity and the size, are one: the first of them.
+    order = np.lexsort((lines, ties, ids, sig, bits0, size, token))
+    same = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in (token, size, bits0, bits1, sig)])
+    kept = order[np.concatenate(([True], ~same))]
+    ids, ties, lines, token, bits0, bits1, size, rank = (x[kept] for x in (ids, ties, lines, token, bits0, bits1, size, rank))
+    wide = size > WIDE
     when = np.empty(len(kept), np.int64)
     when[np.lexsort((lines, ties, ids))] = np.arange(len(kept))
     none = np.zeros(0, np.int64)
@@ -257,7 +285,10 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> li
         left, right = left[alive], right[alive]
         need = required(size[left], size[right], similarity)
         reach = 1 + np.minimum(size[left] - rank[left], size[right] - rank[right]) - 1
-        apart = np.bitwise_count(bits0[left] ^ bits0[right]).astype(np.int64) + np.bitwise_count(bits1[left] ^ bits1[right])
+        apart0, apart1 = bits0[left] ^ bits0[right], bits1[left] ^ bits1[right]
+        apart0 = np.where(wide[left] == wide[right], apart0, apart0 ^ apart1)
+        apart1 = np.where(wide[left] & wide[right], apart1, U64(0))
+        apart = np.bitwise_count(apart0).astype(np.int64) + np.bitwise_count(apart1)
         good = (reach >= need) & (apart <= size[left] + size[right] - 2 * need)
         x, y = left[good], right[good]
         later = when[x] > when[y]
@@ -267,18 +298,17 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> li
             held = list(_nearest(*[np.concatenate([h, *[f[k] for f in fresh]]) for k, h in enumerate(held)], nearest))
             fresh, waiting = [], 0
     b, a, _, more = held
-    as_long = sig.view("<i8")
-    return list(zip(as_long[a].tolist(), as_long[b].tolist(), ids[b].tolist(), ties[b].tolist(), lines[b].tolist(), more.tolist(), strict=True))
+    return list(zip(*[x[k].tolist() for k in (a, b) for x in (ids, ties, lines)], more.tolist(), strict=True))
 
 
 def _bucket_task(slots: int, similarity: float, nearest: int | None):
-    kinds = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 5 + [pa.bool_()]
-    names = ["slot", "ids", "ties", "counts", "steps", "a", "b", "b_id", "b_tie", "b_line", "more"]
+    kinds = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 6 + [pa.bool_()]
+    names = ["slot", "ids", "ties", "counts", "steps", *_NAMES, "more"]
 
     def run(table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         firsts, others = [p for p in parts if p["firsts"]], [p for p in parts if not p["firsts"]]
-        rows = [(*r, *[None] * 6) for r in _first_places(firsts, slots)] if firsts and nearest is not None else []
+        rows = [(*r, *[None] * 7) for r in _first_places(firsts, slots)] if firsts else []
         rows += [(*[None] * 5, *r) for r in _candidates(others, similarity, nearest)] if others else []
         columns = list(zip(*rows, strict=True)) or [()] * len(names)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -286,16 +316,45 @@ def _bucket_task(slots: int, similarity: float, nearest: int | None):
     return run
 
 
+def _doc_keys(ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+    return mix(mix(ids.astype("<i8").view(U64)) + ties.astype(U64))
+
+
+def _line_keys(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """64-bit keys of lines, from their document's key and their number."""
+    return mix(docs + (lines.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
+
+
 def _sets_task(wanted):
-    """Task that sends the token sets of lines that a pair may name."""
+    """Task that sends the token sets of the lines that a pair names; others are not looked into."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _flushes(batches):
+            docs = _doc_keys(np.array([r[0] for r in rows], "<i8"), np.array([r[1] for r in rows], np.int64))
+            lines, keys = [], []
+            for k in np.flatnonzero(sketch.has_bits(wanted.value, docs)).tolist():
+                parts = rows[k][2].split(b"\n")
+                own = _line_keys(docs[k], np.arange(len(parts)))
+                for i in np.flatnonzero(sketch.has_bits(wanted.value, own)).tolist():
+                    lines.append(parts[i])
+                    keys.append(own[i])
+            tokens, bounds = _sets(*word_hashes(lines))
+            sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view("<i8")))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, U64).view("<i8")), sets], ["line", "tokens"])
+
+    return run
+
+
+def _keyed():
+    """Task that adds the keys of both lines to pairs of places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines in _flushes(batches):
-            named = sketch.has_bits(wanted.value, lines.sig)
-            sizes = lines.sizes
-            ends = np.concatenate(([0], np.cumsum(sizes[named]))).astype(np.int32)
-            sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(lines.tokens[np.repeat(named, sizes)].view("<i8")))
-            yield pa.RecordBatch.from_arrays([pa.array(lines.sig[named].view("<i8")), sets], ["sig", "tokens"])
+        for batch in batches:
+            keys = []
+            for x in ("a", "b"):
+                ids, ties, lines = (np.asarray(batch.column(f"{x}_{c}")) for c in ("id", "tie", "line"))
+                keys.append(pa.array(_line_keys(_doc_keys(ids, ties), lines).view("<i8")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *keys], [*batch.schema.names, "a", "b"])
 
     return run
 
@@ -303,18 +362,24 @@ def _sets_task(wanted):
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Pairs with ``alike``: whether the Jaccard similarity of the whole sets is high enough."""
 
-    def mark(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        for name in ("a", "b"):
-            sketch.add_bits(cells, np.asarray(batch.column(name)).view("<u8"))
+    def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for batch in batches:
+            for x in ("a", "b"):
+                ids, ties, lines = (np.asarray(batch.column(f"{x}_{c}")) for c in ("id", "tie", "line"))
+                docs = _doc_keys(ids, ties)
+                sketch.add_bits(cells, docs)
+                sketch.add_bits(cells, _line_keys(docs, lines))
 
     spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(sketch.merged(sketch.tables(pairs.select("a", "b"), mark), np.bitwise_or))
-    sets = docs.mapInArrow(_sets_task(wanted), "sig long, tokens array<long>").groupBy("sig").agg(F.first("tokens").alias("tokens"))
-    whole = pairs.join(sets.select(F.col("sig").alias("a"), F.col("tokens").alias("a_set")), "a").join(
-        sets.select(F.col("sig").alias("b"), F.col("tokens").alias("b_set")), "b"
+    wanted = spark.sparkContext.broadcast(sketch.merged(sketch.tables(pairs, mark), np.bitwise_or))
+    sets = docs.mapInArrow(_sets_task(wanted), "line long, tokens array<long>").groupBy("line").agg(F.first("tokens").alias("tokens"))
+    keyed = pairs.mapInArrow(_keyed(), ", ".join(f"{n} long" for n in _NAMES) + ", more boolean, a long, b long")
+    whole = keyed.join(sets.select(F.col("line").alias("a"), F.col("tokens").alias("a_set")), "a").join(
+        sets.select(F.col("line").alias("b"), F.col("tokens").alias("b_set")), "b"
     )
     shared = F.size(F.array_intersect("a_set", "b_set"))
-    return whole.withColumn("alike", shared >= (F.size("a_set") + F.size("b_set") - shared) * similarity - 1e-9).drop("a_set", "b_set")
+    alike = shared >= (F.size("a_set") + F.size("b_set") - shared) * similarity - 1e-9
+    return whole.withColumn("alike", alike).drop("a", "a_set")
 
 
 def _slot_rows(slots: int):
@@ -357,6 +422,28 @@ def _apply_task(kind: T.StructType):
     return run
 
 
+def _joined_again(docs: DataFrame, doubtful: DataFrame, counted, bits: int, slots: int, similarity: float) -> DataFrame:
+    """Lines of ``doubtful`` that any of all their candidates confirms.
+
+    Only the lists of these lines' prefix tokens are made again, this time with every pair.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for batch in batches:
+            sets = batch.column("b_set")
+            tokens = np.asarray(sets.flatten()).view(U64)
+            ordered, _, _, used = _prefixes(tokens, np.asarray(sets.offsets).astype(np.int64) - sets.offsets[0].as_py(), counted.value, similarity)
+            sketch.add_bits(cells, ordered[used] << U64(64 - TOKEN_BITS))
+
+    spark = docs.sparkSession
+    among = spark.sparkContext.broadcast(sketch.merged(sketch.tables(doubtful.select("b_set"), mark), np.bitwise_or))
+    shipped = docs.mapInArrow(_shipping_task(bits, counted, similarity, among), _SHIPPED)
+    every = shipped.groupBy("bucket").applyInArrow(_bucket_task(slots, similarity, None), _FOUND)
+    later = ["b_id", "b_tie", "b_line"]
+    pairs = every.join(doubtful.select(*later), later, "left_semi").select(*_NAMES, "more").distinct()
+    return _verified(docs, saved(pairs), similarity).where("alike").select(*later)
+
+
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Remove every line that is similar to an earlier one, over the whole corpus.
 
@@ -383,19 +470,18 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     counted = spark.sparkContext.broadcast(rarity(thin))
     shipped = thin.mapInArrow(_shipping_task(bits, counted, similarity), _SHIPPED)
     found = saved(shipped.groupBy("bucket").applyInArrow(_bucket_task(slots, similarity, NEAREST), _FOUND))
-    named = ["a", "b", "b_id", "b_tie", "b_line"]
-    pairs = found.where("b is not null").groupBy(*named).agg(F.max("more").alias("more"))
+    later = ["b_id", "b_tie", "b_line"]
+    pairs = found.where("b_id is not null").groupBy(*_NAMES).agg(F.max("more").alias("more"))
     judged = saved(_verified(thin, pairs, similarity))
-    gone = judged.where("alike").select("b_id", "b_tie", "b_line")
-    open_ = judged.groupBy("b").agg(F.max("more").alias("more"), F.max("alike").alias("alike")).where("more and not alike").select("b")
-    if open_.limit(1).count():
-        every = shipped.where("not firsts").groupBy("bucket").applyInArrow(_bucket_task(slots, similarity, None), _FOUND)
-        again = every.join(open_, "b", "left_semi").select(*named).distinct()
-        gone = gone.unionByName(_verified(thin, saved(again), similarity).where("alike").select("b_id", "b_tie", "b_line"))
+    gone = judged.where("alike").select(*later)
+    doubtful = judged.groupBy(*later).agg(F.max("more").alias("more"), F.max("alike").alias("alike"), F.first("b_set").alias("b_set"))
+    doubtful = saved(doubtful.where("more and not alike").drop("more", "alike"))
+    if doubtful.limit(1).count():
+        gone = gone.unionByName(_joined_again(thin, doubtful, counted, bits, slots, similarity))
     places = (
         found.where("slot is not null")
         .select("slot", "ids", "ties", "counts", "steps", F.lit(True).alias("first"))
-        .unionByName(gone.distinct().mapInArrow(_slot_rows(slots), "slot int, ids binary, ties binary, counts binary, steps binary").withColumn("first", F.lit(False)))
+        .unionByName(gone.distinct().mapInArrow(_slot_rows(slots), _PLACES).withColumn("first", F.lit(False)))
     )
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
     keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.pmod(key, F.lit(slots)).cast("int").alias("slot"))

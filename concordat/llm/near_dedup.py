@@ -21,7 +21,7 @@ BANDS, ROWS = 10, 3
 #: What the rarest shingle weighs more than the commonest.  Copies make their own shingles common, so a
 #: wide range would let every edit of a much-copied text outweigh what it shares with the others.
 RARITY_SHARE = 0.125
-FLUSH, CHUNK, TOKEN_BITS = 16 << 20, 1 << 15, 49
+FLUSH, CHUNK, TOKEN_BITS = 6 << 20, 1 << 15, 49
 #: Bins of the one-permutation sketch that rules out pairs before texts are fetched, and its slack:
 #: four standard deviations below the similarity.
 BINS, SLACK = 128, 0.14
@@ -92,15 +92,12 @@ def _flushes(batches: Iterator[pa.RecordBatch], size: int = FLUSH) -> Iterator[t
 def frequencies(docs: DataFrame) -> np.ndarray:
     """How many documents hold the shingles of each cell; all documents count, copies too."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fill(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
         for _, texts in _flushes(batches):
-            cells, counts = np.unique(_cells(shingles(texts).tokens), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts)], ["cell", "n"])
-
-    def fill(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        cells[np.asarray(batch.column("cell"))] += np.asarray(batch.column("n")).astype("<u4")
+            at, counts = np.unique(_cells(shingles(texts).tokens), return_counts=True)
+            cells[at] += counts.astype("<u4")
 
-    return sketch.merged(sketch.tables(docs.mapInArrow(run, "cell long, n long"), fill))
+    return sketch.merged(sketch.tables(docs, fill))
 
 
 def weights(found: Shingles, counted: np.ndarray, n_docs: int) -> np.ndarray:
@@ -210,14 +207,15 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, counted, n_do
     spark = docs.sparkSession
     likely = saved(_likely(pairs, sketches, similarity))
 
-    def mark(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        for name in ("a", "b"):
-            sketch.add_bits(cells, np.frombuffer(b"".join(x[:8] for x in batch.column(name).to_pylist()), "<u8"))
+    def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for batch in batches:
+            for name in ("a", "b"):
+                sketch.add_bits(cells, np.frombuffer(b"".join(x[:8] for x in batch.column(name).to_pylist()), "<u8"))
 
     wanted = spark.sparkContext.broadcast(sketch.merged(sketch.tables(likely, mark), np.bitwise_or))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _flushes(batches, FLUSH // 4):
+        for _, texts in _flushes(batches):
             nodes = {_node(t): t for t in texts}
             keys = np.frombuffer(b"".join(n[:8] for n in nodes), "<u8")
             kept = [x for x, there in zip(nodes.items(), sketch.has_bits(wanted.value, keys).tolist(), strict=True) if there]

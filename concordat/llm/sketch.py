@@ -19,15 +19,12 @@ CELLS, BLOCK = 1 << BITS, 1 << 16
 _SCHEMA = "block int, cells binary"
 
 
-def tables(df: DataFrame, fill: Callable[[pa.RecordBatch, np.ndarray], None], last: Callable[[np.ndarray], None] | None = None) -> DataFrame:
-    """Blocks of the tables of all tasks: ``fill`` puts a batch into its task's table."""
+def tables(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndarray], None]) -> DataFrame:
+    """Blocks of the tables of all tasks: ``fill`` puts a task's batches into its table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, "<u4")
-        for batch in batches:
-            fill(batch, cells)
-        if last:
-            last(cells)
+        fill(batches, cells)
         blocks = [b for b in range(CELLS // BLOCK) if cells[b * BLOCK : (b + 1) * BLOCK].any()]
         found = [planes(cells[b * BLOCK : (b + 1) * BLOCK]) for b in blocks]
         yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(found, pa.binary())], ["block", "cells"])
