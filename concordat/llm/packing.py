@@ -99,7 +99,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """Cut ``n`` tokens into pieces ``(length, k)``, each exactly a ``k``-th of the capacity.
 
     Full sequences come first.  A rest of ``r`` tokens gives the largest ``capacity // k`` that it
-    holds; what then remains is below ``capacity / (k * (k - 1))``, so two or three cuts are enough.
+    holds; what then remains is below ``capacity / (k * (k - 1))``, so few cuts are enough.
     """
     pieces = [(capacity, 1)] * (n // capacity)
     rest = n % capacity
