@@ -34,14 +34,16 @@ def _key(step: int, group: str, value):
 
 
 def candidate_keys(member: DataFrame) -> DataFrame:
-    """Distinct ``(person_id, step, grp, key)`` rows, plus one row per person without key.
+    """``(person_id, step, grp, key)`` rows, one for each key of a contract row.
 
-    Blank keys are dropped here, before any join, so that missing values never
-    form a hot key.
+    Blank keys are dropped here, before any join.  Only a contract row without
+    any key gives a row of step 99, whose key is the person itself: the person
+    stays in the result and missing values never form a hot key.  A key may
+    come again with another contract row of the person.
     """
     columns, keys = _candidate_expressions()
     rows = member.where("coalesce(person_id, '') <> ''").select(*columns)
-    return rows.select("person_id", keys).where("key is not null").distinct()
+    return rows.select("person_id", keys)
 
 
 @lru_cache
@@ -65,10 +67,10 @@ def _candidate_expressions():
             _key(5, "IDENTITY", F.col("inverted")),
             _key(6, "LAST", F.col("name_birth")),
             _key(7, "MIDDLE", F.col("name_birth")),
-            _key(_NO_STEP, "-", F.lit("")),
         ),
     )
-    return columns, F.inline(keys)
+    filled = F.filter(keys, lambda k: k["key"].isNotNull())
+    return columns, F.inline(F.when(F.size(filled) > 0, filled).otherwise(F.array(_key(_NO_STEP, "-", F.col("person_id")))))
 
 
 def _entry(group: str, part: int, value):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions import squeeze
+from concordat.operators.common import lookup_join
 
 # Patterns of personal data in free text.
 EMAIL = r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"
@@ -17,8 +18,6 @@ LAST_NAME = r"(Nom)([A-ZÀÉÈÊËÏÎÔÙÛÜ]+)(?=Prénom|KPEP|Adresse|\s|$)"
 FIRST_NAME = r"(Prénom)([A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30}(?:-[A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30})*)"
 KPEP = r"(KPEP)(\d{10,20})"
 MIN_NAME = 3
-BROADCAST_NAMES = 200_000
-FEW_NAMES = 2_000
 _SHORT, _LONG = 3, 8
 _SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
 
@@ -26,7 +25,7 @@ _SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
 def surrogate(value: Column, key: str, mark: str) -> Column:
     """Stable stand-in of a value: keyed hash of its stripped lower-case form."""
     clean = F.lower(squeeze(value))
-    return F.concat(F.lit(mark + "-"), F.substring(F.sha2(F.concat(F.lit(key), clean), 256), 1, 16))
+    return F.concat(F.lit(mark + "-"), F.sha2(F.concat(F.lit(key), clean), 256))
 
 
 def pseudonymize_columns(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -60,27 +59,19 @@ def _seeds(text: Column, width: int) -> Column:
 def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str) -> DataFrame:
     """Known names occurring in each text, as ``(text_id, names)`` with the longest first.
 
-    A name is looked up by its first characters: texts and names meet in an
-    equi-join on that seed and the full name is then checked.  A name table of
-    checked size is broadcast, a larger one is shuffled; both are exact.
+    A name is looked up by its first characters, eight of a long name and three
+    of another.  Only ids and seeds meet the names; the text is joined back for
+    the hits that are left, and the whole name is then checked.  How the sides
+    are joined is left to adaptive execution.
     """
     clean = names.select(squeeze(F.col(names.columns[0])).alias("name")).where(F.length("name") >= MIN_NAME)
     clean = clean.select(F.lower("name").alias("name")).distinct()
-    size = clean.limit(BROADCAST_NAMES + 1).count()
-    # Few names share few seeds, so short seeds will do; many need longer ones.
-    long = _SHORT if size <= FEW_NAMES else _LONG
-    width = F.when(F.length("name") >= _LONG, long).otherwise(_SHORT)
+    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
     keyed = clean.select("name", F.substr(F.col("name"), F.lit(1), width).alias("seed"))
     low = texts.select(text_id, F.lower(text).alias("__low"))
-    seeds = _seeds(F.col("__low"), _SHORT)
-    if long != _SHORT:
-        seeds = F.concat(seeds, _seeds(F.col("__low"), long))
-    if size <= BROADCAST_NAMES:
-        # Few names: the texts stay where they are and only hits leave the scan.
-        rows = low.select(text_id, "__low", F.explode(seeds).alias("seed")).join(F.broadcast(keyed), "seed")
-    else:
-        # Many names: only ids and seeds travel, then the text joins back per hit.
-        rows = low.select(text_id, F.explode(seeds).alias("seed")).join(keyed, "seed").select(text_id, "name").distinct().join(low, text_id)
+    seeds = F.concat(_seeds(F.col("__low"), _SHORT), _seeds(F.col("__low"), _LONG))
+    found = low.select(text_id, F.explode(seeds).alias("seed")).join(keyed, "seed").select(text_id, "name").distinct()
+    rows = lookup_join(found, low, [text_id], "inner")
     checked = rows.where(F.contains("__low", "name")).select(text_id, "name").distinct()
     order = lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)
     return checked.groupBy(text_id).agg(F.array_sort(F.collect_set("name"), order).alias("names"))

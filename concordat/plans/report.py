@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.operators import card as cd
-from concordat.operators import documents as dc
-from concordat.operators import quality as ql
+from concordat.plans.supervision import KPI_PATHS
 from concordat.session import materialize
 
 FIELDS = ("section", "block", "indicator", "measure", "value")
@@ -23,17 +22,89 @@ THEMES = {
 }
 # Indicators repeated at the head of the synthesis.
 HIGHLIGHTS = {
-    "CIAM_Taux_Couverture": ("5_CIAM", "Matching_Global", "rapproches", "Pct"),
+    "CIAM_Taux_Couverture": KPI_PATHS["taux_matching_ciam"],
     "CIAM_Rapproches": ("5_CIAM", "Matching_Global", "rapproches", "Nombre"),
-    "CIAM_Non_Rapproches": ("5_CIAM", "Matching_Global", "non_rapproches", "Nombre"),
-    "IEHE_Taux_Presence": ("6_IEHE", "Presence_Globale", "(tous)", "Taux_Presents"),
-    "IEHE_Manquants": ("6_IEHE", "Presence_Globale", "(tous)", "Manquants"),
-    "TP_Taux_Eligible": ("7_Carte_TP", "Eligibilite_Globale", "TOTAL", "Taux_Eligible"),
-    "Score_Data_Quality_OK_Pct": ("5_CIAM", "Score_Qualite_Donnees", "DATA_QUALITY_OK", "Pct"),
+    "CIAM_Non_Rapproches": KPI_PATHS["non_rapproches"],
+    "IEHE_Taux_Presence": KPI_PATHS["taux_presence_iehe"],
+    "IEHE_Manquants": KPI_PATHS["manquants_iehe"],
+    "TP_Taux_Eligible": KPI_PATHS["taux_eligibilite_tp"],
+    "Score_Data_Quality_OK_Pct": KPI_PATHS["score_qualite"],
     "Score_Data_Quality_KO_Nombre": ("5_CIAM", "Score_Qualite_Donnees", "DATA_QUALITY_KO", "Nombre"),
 }
 
 
+class Block(NamedTuple):
+    """Where the rows of an operator's result stand in the document."""
+
+    result: str
+    section: str
+    name: str
+    indicator: str
+    measures: dict[str, str]
+    where: str = "true"
+
+
+def _by(*columns: str) -> str:
+    return f"concat_ws(' / ', {', '.join(columns)})"
+
+
+_FACTS = {"Nombre": "nombre", "Pct": "pct"}
+_LINES = {"Lignes": "lignes", "Personnes": "personnes", "Delta": "delta"}
+_CARD = {"Base": "base", "Eligible": "eligible", "Future": "future", "Taux_Eligible": "rate_eligible"}
+_MATCH = {"Total": "total", "Rapproches": "rapproches", "Non_Rapproches": "non_rapproches", "Taux": "taux"}
+# Sections and names of the published blocks.
+BLOCKS = (
+    Block("volume_raw", "2_Volumetrie_Brute", "Resultats", "indicator", _FACTS),
+    Block("population_unique", "3_Population_Unique", "Resultats", "indicator", _FACTS),
+    Block("cross_role_ids", "4_Qualite_Donnees", "Doublons", "indicator", _FACTS),
+    Block("duplicate_contracts", "4_Qualite_Donnees", "Contrats_Multiples", _by("kind", "member_type"), {"Personnes": "persons"}),
+    Block("multi_key_persons", "4_Qualite_Donnees", "Detail_KPEP", "bucket", {"Total": "total", "Dont_Assures": "insured"}),
+    Block("completeness_keys", "4_Qualite_Donnees", "Completude_Cles", "indicator", _FACTS),
+    Block("completeness_fields", "4_Qualite_Donnees", "Completude_Champs", "indicator", _FACTS),
+    Block("cancel_rate", "4_Qualite_Donnees", "Radiations", "indicator", _FACTS),
+    Block("placeholder_births", "4_Qualite_Donnees", "Naissances_Par_Defaut", "indicator", _FACTS),
+    Block("match_totals", "5_CIAM", "Matching_Global", "label", _FACTS, "view = 'GLOBAL'"),
+    Block("match_totals", "5_CIAM", "Par_Methode", "label", {"Nombre": "nombre"}, "view = 'METHODE'"),
+    Block("match_by_segment", "5_CIAM", "Matching_Par_Societe", "label", _MATCH, "view = 'SOCIETE'"),
+    Block("match_by_segment", "5_CIAM", "Matching_Par_Segment", _by("view", "label"), _MATCH, "view <> 'SOCIETE'"),
+    Block("match_method_by_company", "5_CIAM", "Methodes_Par_Societe", _by("match_method", "company"), {"Personnes": "persons"}),
+    Block("unmatched_breakdown", "5_CIAM", "Non_Rapproches", "indicator", _FACTS),
+    Block("matched_email_empty", "5_CIAM", "Emails_Des_Comptes", "indicator", _FACTS),
+    Block("email_consistency", "5_CIAM", "Coherence_Emails", "indicator", _FACTS),
+    Block("email_quality", "5_CIAM", "Qualite_Emails", _by("source", "view", "label"), _FACTS),
+    Block("account_quality", "5_CIAM", "Qualite_Comptes_CIAM", "indicator", _FACTS),
+    Block("key_coherence_two", "5_CIAM", "Coherence_KPEP_2_Sources", "indicator", _FACTS),
+    Block("key_coherence_three", "5_CIAM", "Coherence_KPEP_3_Sources", "indicator", _FACTS),
+    Block("quality_score", "5_CIAM", "Score_Qualite_Donnees", "indicator", _FACTS),
+    Block(
+        "registry_presence_by_type", "6_IEHE", "Presence_Globale", "member_type",
+        {"Reference": "reference", "Presents": "presents", "Manquants": "manquants", "Taux_Presents": "taux_presents"},
+    ),
+    Block("lines_vs_persons", "6_IEHE", "Lignes_Et_Personnes", _by("scope", "member_type"), _LINES),
+    Block("registry_email_quality", "6_IEHE", "Qualite_Emails", "indicator", _FACTS),
+    Block("registry_email_concordance", "6_IEHE", "Concordance_Email", "indicator", _FACTS),
+    Block("registry_company_concordance", "6_IEHE", "Concordance_Societe", "indicator", _FACTS),
+    Block("card_kpis", "7_Carte_TP", "Eligibilite_Globale", "view", _CARD, "view = 'TOTAL'"),
+    Block("card_kpis", "7_Carte_TP", "Eligibilite_Detail", _by("view", "label"), _CARD, "view <> 'TOTAL'"),
+    Block("card_by_company", "7_Carte_TP", "Eligibilite_Par_Societe", "company", {"Eligible": "eligible", "Future": "future"}),
+    Block(
+        "card_delay", "7_Carte_TP", "Delai", "'carte'",
+        {"Population": "population", "Moyenne": "mean_days", "Mediane": "median_days", "Minimum": "min_days", "Maximum": "max_days", "Plus_30": "gt30",
+         "Plus_60": "gt60", "Plus_90": "gt90"},
+    ),
+    Block(
+        "card_unmatched", "7_Carte_TP", "Non_Rapproches", "'carte'",
+        {"Eligibles": "eligible", "Non_Rapproches": "unmatched", "Eligibles_Non_Rapproches": "eligible_unmatched", "Taux": "pct_unmatched"},
+    ),
+    Block("card_registry_correlation", "7_Carte_TP", "Correlation_IEHE", _by("scope", "member_type", "status"), _LINES),
+    Block(
+        "document_kpis", "7_Carte_TP", "Controle_GED_Quotidien", "company",
+        {"Population_Eligible": "eligible", "Trouves_GED": "found", "Non_Trouves_GED": "not_found", "Taux_GED": "rate_found", "Rapproche_Final": "matched_final"},
+    ),
+    Block("oldest_reject_per_box", "8_Prestations", "Plus_Anciens_Rejets", _by("groupe", "box"), {"Age_Jours": "age_jours_max"}),
+)
+
+
 def block(df: DataFrame, section: str, name: str, indicator: Column, measures: dict[str, str]) -> DataFrame:
     """Long facts of one result: a row per indicator and measure."""
     cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(c).cast("double").alias("value")) for m, c in measures.items()])
@@ -41,54 +112,16 @@ def block(df: DataFrame, section: str, name: str, indicator: Column, measures: d
     return rows.where("value is not null")
 
 
-_FACTS = {"Nombre": "nombre", "Pct": "pct"}
-
-
-def kpi_report(
-    member: DataFrame, match: DataFrame, account_ref: DataFrame, with_account, registry: DataFrame, registry_first: DataFrame, detail: DataFrame
-) -> DataFrame:
+def kpi_report(results: Mapping[str, DataFrame]) -> DataFrame:
     """All blocks of a run as ``(section, block, indicator, measure, value)``.
 
-    The match and its accounts feed a dozen blocks: they are written once to the
-    checkpoint folder and shared.  Every other block is one aggregate over its input.
+    ``results`` holds the operators' results by name; every entry of ``BLOCKS``
+    places the rows of one of them.  Each block is small: a row per indicator.
     """
-    match = materialize(match)
-    insured = member.where(ql.is_insured(F.col("member_type")))
-    matched = materialize(with_account(match, account_ref))
-    name = F.col("indicator")
-    totals = ql.match_totals(match)
-    parts = [
-        block(ql.volume_raw(member), "2_Volumetrie_Brute", "Resultats", name, _FACTS),
-        block(ql.population_unique(member), "3_Population_Unique", "Resultats", name, _FACTS),
-        block(ql.cross_role_ids(member), "4_Qualite_Donnees", "Doublons", name, _FACTS),
-        block(ql.multi_key_persons(member), "4_Qualite_Donnees", "Detail_KPEP", F.col("bucket"), {"Total": "total", "Dont_Assures": "insured"}),
-        block(totals.where("view = 'GLOBAL'"), "5_CIAM", "Matching_Global", F.col("label"), _FACTS),
-        block(totals.where("view = 'METHODE'"), "5_CIAM", "Par_Methode", F.col("label"), {"Nombre": "nombre"}),
-        block(
-            ql.match_by_segment(match, insured).where("view = 'SOCIETE'"), "5_CIAM", "Matching_Par_Societe", F.col("label"),
-            {"Total": "total", "Rapproches": "rapproches", "Non_Rapproches": "non_rapproches", "Taux": "taux"},
-        ),
-        block(ql.email_consistency(member), "5_CIAM", "Coherence_Emails", name, _FACTS),
-        block(ql.account_quality(account_ref), "5_CIAM", "Qualite_Comptes_CIAM", name, _FACTS),
-        block(ql.key_coherence_three(insured, matched, registry), "5_CIAM", "Coherence_KPEP_3_Sources", name, _FACTS),
-        block(ql.quality_score(insured, matched), "5_CIAM", "Score_Qualite_Donnees", name, _FACTS),
-        block(
-            ql.registry_presence_by_type(member, registry), "6_IEHE", "Presence_Globale", F.col("member_type"),
-            {"Reference": "reference", "Presents": "presents", "Manquants": "manquants", "Taux_Presents": "taux_presents"},
-        ),
-        block(ql.registry_email_concordance(matched, registry_first), "6_IEHE", "Concordance_Email", name, _FACTS),
-        block(
-            cd.card_kpis(cd.person_card(member)).where("view = 'TOTAL'"), "7_Carte_TP", "Eligibilite_Globale", F.col("view"),
-            {"Base": "base", "Eligible": "eligible", "Future": "future", "Taux_Eligible": "rate_eligible"},
-        ),
-        block(
-            dc.document_kpis(detail), "7_Carte_TP", "Controle_GED_Quotidien", F.col("company"),
-            {"Population_Eligible": "eligible", "Trouves_GED": "found", "Taux_GED": "rate_found", "Rapproche_Final": "matched_final"},
-        ),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = None
+    for b in BLOCKS:
+        part = block(results[b.result].where(b.where), b.section, b.name, F.expr(b.indicator), b.measures)
+        out = part if out is None else out.unionByName(part)
     return out
 
 

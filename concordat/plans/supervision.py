@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 from concordat.functions import run_date
 from concordat.sources.state import flatten_payload
 
-# Where each followed indicator sits in the document.
+# Where each followed indicator sits in the published document, as
+# (section, block, indicator, measure).  The report, its head indicators and the
+# series of runs all read this table.
 KPI_PATHS = {
-    "volume_flux": ("2_Volumetrie_Brute", "Resultats", "Total_Lignes"),
-    "personnes_uniques": ("3_Population_Unique", "Global_Personnes"),
-    "cible_ciam": ("3_Population_Unique", "Cible_CIAM_Assures"),
-    "taux_matching_ciam": ("5_CIAM", "Matching_Global", "Global", "Taux_Couverture"),
-    "non_rapproches": ("5_CIAM", "Matching_Global", "Global", "Non_Rapproches"),
+    "volume_flux": ("2_Volumetrie_Brute", "Resultats", "lignes", "Nombre"),
+    "personnes_uniques": ("3_Population_Unique", "Resultats", "personnes", "Nombre"),
+    "cible_ciam": ("5_CIAM", "Matching_Global", "cible", "Nombre"),
+    "taux_matching_ciam": ("5_CIAM", "Matching_Global", "rapproches", "Pct"),
+    "non_rapproches": ("5_CIAM", "Matching_Global", "non_rapproches", "Nombre"),
     "score_qualite": ("5_CIAM", "Score_Qualite_Donnees", "DATA_QUALITY_OK", "Pct"),
-    "taux_presence_iehe": ("6_IEHE", "Presence_Globale", "Presents_IEHE", "Taux"),
-    "manquants_iehe": ("6_IEHE", "Presence_Globale", "Manquants_IEHE", "Nombre"),
-    "taux_eligibilite_tp": ("7_Carte_TP", "Eligibilite_Globale", "Population_Eligible", "Taux"),
-    "eligibles_tp": ("7_Carte_TP", "Eligibilite_Globale", "Population_Eligible", "Nombre"),
-    "taux_ged": ("7_Carte_TP", "Controle_GED_Quotidien", "Trouves_GED", "Taux"),
-    "ged_trouves": ("7_Carte_TP", "Controle_GED_Quotidien", "Trouves_GED", "Nombre"),
-    "ged_ko": ("7_Carte_TP", "Controle_GED_Quotidien", "Non_Trouves_GED", "Nombre"),
+    "taux_presence_iehe": ("6_IEHE", "Presence_Globale", "(tous)", "Taux_Presents"),
+    "manquants_iehe": ("6_IEHE", "Presence_Globale", "(tous)", "Manquants"),
+    "taux_eligibilite_tp": ("7_Carte_TP", "Eligibilite_Globale", "TOTAL", "Taux_Eligible"),
+    "eligibles_tp": ("7_Carte_TP", "Eligibilite_Globale", "TOTAL", "Eligible"),
+    "taux_ged": ("7_Carte_TP", "Controle_GED_Quotidien", "TOTAL", "Taux_GED"),
+    "ged_trouves": ("7_Carte_TP", "Controle_GED_Quotidien", "TOTAL", "Trouves_GED"),
+    "ged_ko": ("7_Carte_TP", "Controle_GED_Quotidien", "TOTAL", "Non_Trouves_GED"),
 }
 # Alert levels per indicator.
 THRESHOLDS = (

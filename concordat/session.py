@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,29 +36,47 @@ def build_session(app: str = "concordat", master: str | None = None, **extra: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, else a private one.
+    """Folder for shared intermediate results: the one that ``spark.checkpoint.dir`` names.
 
-    A machine-local folder is only ever used when the session names none,
-    which is the case in tests on a single machine.
+    Where it is unset a private folder stands in, but only on a local master: on
+    a cluster every executor would write to its own disk, so this raises.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return _private_folder()
+
+
+@lru_cache
+def _private_folder() -> str:
     return tempfile.mkdtemp(prefix="concordat-ckpt-")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+    """Write ``df`` as Parquet to the shared folder and read it back.
 
     Used where one intermediate result feeds many branches, so that the
-    branches share one computation and survive executor loss.
+    branches share one computation and survive executor loss.  The files of a
+    session are deleted when Python exits.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint()
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/concordat-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_materialized() -> None:
+    """Delete what :func:`materialize` wrote; a session that has ended leaves its files to its folder's owner."""
+    while _written:
+        spark, path = _written.pop()
+        with contextlib.suppress(Exception):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -13,10 +13,17 @@ SEPARATORS = ("\t", ";", ",")
 ENCODINGS = ("utf-8", "iso-8859-1")
 
 
+_BOM = "\ufeff"
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines of an extract without a byte order mark."""
+    return spark.read.option("encoding", encoding).text(path).select(F.regexp_replace("value", f"^{_BOM}", "").alias("value"))
+
+
 def _head(spark: SparkSession, path: str, encoding: str, lines: int = 3) -> list[str]:
-    """The first lines of one file of the extract: only the header is looked at."""
-    rows = spark.read.option("encoding", encoding).option("header", "false").option("sep", "\x01").option("quote", "").csv(path)
-    return [r[0] or "" for r in rows.limit(lines).collect()]
+    """The first lines that are not empty of one file of the extract: only the header is looked at."""
+    return [r[0] for r in _lines(spark, path, encoding).where("trim(value) <> ''").limit(lines).collect()]
 
 
 def probe_format(spark: SparkSession, path: str, preamble: int = 0) -> tuple[str, str]:
@@ -37,8 +44,9 @@ def read_csv_snapshot(
 ) -> DataFrame:
     """Read delimited text with every column as a string.
 
-    ``preamble`` lines before the header are skipped by filtering on the header
-    content, so splitting files over tasks stays possible.
+    ``preamble`` lines before the header are dropped, and so is every line equal
+    to one of them or to the header, so splitting files over tasks stays
+    possible.  No row is judged by an empty field; empty lines are no rows.
     """
     if sep is None or encoding is None:
         found = probe_format(spark, path, preamble)
@@ -46,28 +54,27 @@ def read_csv_snapshot(
     reader = spark.read.option("sep", sep).option("encoding", encoding).option("quote", '"').option("escape", '"')
     if preamble == 0:
         return _drop_bom(reader.option("header", "true").option("inferSchema", "false").csv(path))
-    header = _head(spark, path, encoding, preamble + 1)[preamble]
-    names = [n.strip().strip('"').lstrip("﻿") for n in header.split(sep)]
+    head = _head(spark, path, encoding, preamble + 1)
+    names = [n.strip().strip('"') for n in head[preamble].split(sep)]
     schema = ", ".join(f"`{n}` string" for n in names)
-    body = reader.option("header", "false").option("mode", "PERMISSIVE").schema(schema).csv(path)
-    # Preamble lines are short (no second field); the header repeats its own names.
-    keep = F.col(f"`{names[1]}`").isNotNull() if len(names) > 1 else F.lit(True)
-    return body.where(keep & (F.col(f"`{names[0]}`") != names[0]))
+    body = _lines(spark, path, encoding).where(~F.col("value").isin(*head) & (F.trim("value") != ""))
+    parsed = F.from_csv("value", F.lit(schema), {"sep": sep, "quote": '"', "escape": '"'})
+    return body.select(parsed.alias("r")).select("r.*")
 
 
 def _drop_bom(df: DataFrame) -> DataFrame:
     first = df.columns[0]
-    clean = first.lstrip("﻿").strip('"')
+    clean = first.lstrip("\ufeff").strip('"')
     return df.withColumnRenamed(first, clean) if clean != first else df
 
 
 def read_wrapped_csv(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Read lines that are quoted as a whole, with inner quotes doubled."""
     lines = spark.read.text(path)
-    inner = F.regexp_replace(F.regexp_replace("value", r'^﻿?"|"\s*$', ""), '""', '"')
+    inner = F.regexp_replace(F.regexp_replace("value", r'^\ufeff?"|"\s*$', ""), '""', '"')
     plain = lines.select(inner.alias("value")).where("value <> ''")
     head = spark.read.text(path).limit(1).collect()[0][0]
-    names = [n.strip().strip('"') for n in re.sub(r'^﻿?"|"\s*$', "", head).replace('""', '"').split(sep)]
+    names = [n.strip().strip('"') for n in re.sub(r'^\ufeff?"|"\s*$', "", head).replace('""', '"').split(sep)]
     schema = ", ".join(f"`{n}` string" for n in names)
     parsed = plain.select(F.from_csv("value", F.lit(schema), {"sep": sep, "quote": '"'}).alias("r")).select("r.*")
     return parsed.where(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")) != names[0])

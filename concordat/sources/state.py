@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.functions import run_date
@@ -96,18 +96,19 @@ def store_kpi_payload(values: DataFrame, path: str, stamp: str) -> None:
 def upsert_tracking(tracking: DataFrame, found: DataFrame, eligible: DataFrame, flux_id: str, today: str) -> DataFrame:
     """Tracking rows of one run after its control.
 
-    Found keys are inserted with today's date and never overwrite; eligible
-    keys are inserted with their reason, or overwrite only the reason.  When a
-    key comes with and without a reason, the reason wins.
+    Found keys are inserted with today's date, or date an open row; a date is
+    never overwritten.  Eligible keys are inserted with their reason.  When a
+    key comes with and without a reason, the reason wins, of several reasons
+    the last in order.  So the parts of a run may arrive in any order.
     """
-    old = tracking.where(F.col(PARTITION) == flux_id).select("kpep", F.col("date_found").alias("d0"), F.col("motif").alias("m0"), F.lit(True).alias("was"))
+    old = tracking.where(F.col(PARTITION) == flux_id).select("kpep", F.col("date_found").alias("d0"), F.col("motif").alias("m0"))
     hit = found.select(F.btrim(F.col(found.columns[0])).alias("kpep")).where("kpep <> ''").distinct().withColumn("hit", F.lit(True))
-    want = eligible.groupBy("kpep").agg(F.max("motif").alias("m1")).withColumn("want", F.lit(True))
+    want = eligible.groupBy("kpep").agg(F.max("motif").alias("m1"))
     rows = old.join(hit, "kpep", "full_outer").join(want, "kpep", "full_outer")
-    day = F.when(F.col("was"), F.col("d0")).when(F.col("hit"), F.lit(today).cast("date"))
+    day = F.coalesce("d0", F.when(F.col("hit"), F.lit(today).cast("date")))
     return rows.select(
         F.lit(flux_id).alias(PARTITION), "kpep", day.alias("date_found"),
-        F.when(F.col("want"), F.col("m1")).otherwise(F.col("m0")).alias("motif"),
+        F.greatest("m0", "m1").alias("motif"),
     )
 
 
@@ -129,12 +130,23 @@ def pending_window(tracking: DataFrame, today: str) -> DataFrame:
 # ---- documents of nested values ---------------------------------------------------------
 
 
-def flatten_payload(docs: DataFrame, payload: str, keys: Sequence[str], depth: int = 8, sep: str = " › ") -> DataFrame:
-    """Leaves of nested JSON documents as ``(path, value)`` rows.
+def nesting(payload: Column) -> Column:
+    """How deep a JSON document is nested; brackets inside strings do not count."""
+    bare = F.regexp_replace(payload, r'"(?:[^"\\]++|\\.)*+"', "")
+    marks = F.filter(F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), ""), lambda c: c != "")
+    step = lambda at, c: F.when(c.isin("[", "{"), at + 1).otherwise(at - 1)
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+    walk = F.aggregate(marks, zero, lambda s, c: F.struct(step(s["at"], c).alias("at"), F.greatest(s["most"], step(s["at"], c)).alias("most")))
+    return walk["most"]
 
-    Lists of plain values are joined, lists of objects are numbered.  ``depth``
-    bounds the nesting of the document schema.
+
+def flatten_payload(docs: DataFrame, payload: str, keys: Sequence[str], sep: str = " › ") -> DataFrame:
+    """Leaves of nested JSON documents as ``(path, value)`` rows, however deep.
+
+    Lists of plain values are joined, lists of objects are numbered.  The
+    deepest document decides how many levels are unfolded.
     """
+    depth = docs.agg(F.max(nesting(F.col(payload)))).first()[0] or 0
     entry = "array<struct<path:string,value:string>>"
 
     def step(e):

@@ -31,30 +31,37 @@ def tracking_table(spark: SparkSession, path: str) -> DataFrame:
     """Current tracking rows; empty before the first run."""
     if not state.table_exists(spark, path):
         return spark.createDataFrame([], EMPTY)
-    return state.read_table(spark, path).select("flux_id", "kpep", "date_found", "motif")
+    return spark.read.schema(EMPTY).parquet(path).select("flux_id", "kpep", "date_found", "motif")
 
 
 def apply_arrivals(batch: DataFrame, path: str, today: str) -> None:
-    """Update the table with one batch: new rows of its runs, then open keys found now."""
+    """Update the table with one batch of arrivals.
+
+    A key found in a run dates the open rows of that run and of earlier ones,
+    whichever arrives first: rows that come late are dated by the later runs
+    that the table already knows.  So the table does not depend on how the files
+    of a run fall into batches.
+    """
     spark = batch.sparkSession
     runs = [r[0] for r in batch.select("flux_id").distinct().orderBy(run_date(F.col("flux_id"))).collect()]
     for run in runs:
         rows = batch.where(F.col("flux_id") == run)
         found, wanted = rows.where("kind = 'FOUND'").select("kpep"), rows.where("kind = 'ELIGIBLE'").select("kpep", "motif")
         now = tracking_table(spark, path)
-        updated = state.upsert_tracking(now, found, wanted, run, today)
-        others = now.where(F.col("flux_id") != run)
-        # Only open keys of earlier runs can change; the run itself is always rewritten.
+        day, own = run_date(F.col("flux_id")), run_date(F.lit(run))
+        known = now.where((day > own) & F.col("date_found").isNotNull()).select("kpep")
+        updated = state.resolve_tracking(state.upsert_tracking(now, found, wanted, run, today), known, today)
+        earlier = now.where(day < own)
         hit = found.select(F.btrim("kpep").alias("kpep")).distinct()
-        touched = others.where("date_found is null").join(hit, "kpep", "left_semi").select("flux_id").distinct()
-        resolved = state.resolve_tracking(others.join(touched, "flux_id", "left_semi"), found, today)
+        touched = earlier.where("date_found is null").join(hit, "kpep", "left_semi").select("flux_id").distinct()
+        resolved = state.resolve_tracking(earlier.join(touched, "flux_id", "left_semi"), found, today)
         # Reading and rewriting the same folder: fix the rows before the write.
         state.write_snapshot(materialize(updated.unionByName(resolved)), path)
 
 
-def incremental_tracking(spark: SparkSession, arrivals: str, table: str, checkpoint: str, today: str) -> None:
+def incremental_tracking(spark: SparkSession, arrivals: str, table: str, checkpoint: str, today: str, files_per_batch: int = 100) -> None:
     """Process everything that has arrived, then stop."""
-    stream = spark.readStream.schema(ARRIVAL).option("maxFilesPerTrigger", 100).parquet(arrivals)
+    stream = spark.readStream.schema(ARRIVAL).option("maxFilesPerTrigger", files_per_batch).parquet(arrivals)
     query = (
         stream.writeStream.foreachBatch(lambda df, _: apply_arrivals(df, table, today))
         .option("checkpointLocation", checkpoint)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from concordat.operators import documents as dc
 from concordat.operators import privacy as pv
-from concordat.operators.similarity import name_similarity as similarity
 from concordat.session import checkpoint_dir
 from concordat.sources import columns as sc
 from concordat.sources import files as fs
@@ -31,12 +30,21 @@ def work_dir(f) -> str:
 _CSV = ("num_personne", "num_ctr_indiv", "nom_long", "prenom", "offre", "date_adhesion")
 
 
-@query("read_csv_snapshot", oracle(f"SELECT {', '.join(_CSV)} FROM member_base_raw"))
+_SPARSE = "CASE WHEN offre LIKE '1%' THEN NULL ELSE {c} END AS {c}"  # empty first and second fields
+
+
+@query("read_csv_snapshot", oracle(
+    f"SELECT {', '.join(_SPARSE.format(c=c) for c in _CSV[:2])}, {', '.join(_CSV[2:])} FROM member_base_raw"))
 def read_csv_snapshot(f):
     path = work_dir(f)
-    rows = f.member_base_raw.select(*_CSV).write.option("header", "true").option("sep", ";").option("encoding", "iso-8859-1")
-    rows.option("ignoreTrailingWhiteSpace", "false").csv(path)
-    return fs.read_csv_snapshot(f.spark, path)
+    rows = f.member_base_raw.select(*_CSV).withColumns({c: F.when(~F.col("offre").startswith("1"), F.col(c)) for c in _CSV[:2]})
+    written = rows.write.option("header", "false").option("sep", ";").option("encoding", "iso-8859-1").option("ignoreTrailingWhiteSpace", "false")
+    written.option("emptyValue", "").csv(path + "/body")
+    head = f.spark.createDataFrame([("Extraction du jour;;",), (";".join(_CSV),)], "value string").coalesce(1)
+    lines = f.spark.read.option("encoding", "iso-8859-1").text(path + "/body")
+    head.write.text(path + "/all")
+    lines.write.mode("append").text(path + "/all")
+    return fs.read_csv_snapshot(f.spark, path + "/all", encoding="utf-8", preamble=1)
 
 
 @query("read_wrapped_csv", oracle(f"SELECT {', '.join(_CSV)} FROM member_base_raw"))
@@ -186,8 +194,8 @@ _TODAY = "DATE '2001-03-01'"
 
 
 @query("upsert_tracking", oracle(
-    f"""SELECT '31122000' AS flux_id, kpep, cast(CASE WHEN t.was THEN t.date_found WHEN h.hit THEN {_TODAY} END AS varchar) AS date_found,
-      CASE WHEN e.want THEN e.motif ELSE t.motif END AS motif FROM (SELECT kpep, date_found, motif, true AS was FROM tracking_old WHERE flux_id = '31122000') t
+    f"""SELECT '31122000' AS flux_id, kpep, cast(coalesce(t.date_found, CASE WHEN h.hit THEN {_TODAY} END) AS varchar) AS date_found,
+      greatest(e.motif, t.motif) AS motif FROM (SELECT kpep, date_found, motif, true AS was FROM tracking_old WHERE flux_id = '31122000') t
     FULL JOIN (SELECT DISTINCT trim(idepsp) AS kpep, true AS hit FROM document_keys) h USING (kpep)
     FULL JOIN (SELECT upper(trim(kpep)) AS kpep, max(CASE WHEN kpep_reference = '' THEN 'non rapproché iehe' END) AS motif, true AS want FROM keyed GROUP BY 1) e USING (kpep)""",
     **q_matching._FULL))
@@ -220,8 +228,9 @@ def pending_window(f):
     LEFT JOIN (SELECT DISTINCT flux_id, trim(kpep) AS kpep FROM arrivals WHERE kind = 'FOUND') own ON own.flux_id = e.flux_id AND own.kpep = e.kpep"""))
 def incremental_tracking(f):
     path = work_dir(f)
-    f.arrivals.write.parquet(path + "/in")
-    tr.incremental_tracking(f.spark, path + "/in", path + "/table", path + "/ckpt", "2001-03-01")
+    for kind in ("ELIGIBLE", "FOUND"):  # each run comes in two files, and each file in a batch of its own
+        f.arrivals.where(F.col("kind") == kind).coalesce(1).write.mode("append").parquet(path + "/in")
+    tr.incremental_tracking(f.spark, path + "/in", path + "/table", path + "/ckpt", "2001-03-01", files_per_batch=1)
     out = tr.tracking_table(f.spark, path + "/table")
     return out.withColumn("date_found", F.col("date_found").cast("string"))
 
@@ -232,7 +241,7 @@ _KEY = "cle-de-test"
 
 
 def _pseudo(c):
-    return f"CASE WHEN coalesce({q.strip(c)}, '') <> '' THEN 'P-' || substr(sha256('{_KEY}' || lower({q.strip(c)})), 1, 16) ELSE {c} END AS {c}"
+    return f"CASE WHEN coalesce({q.strip(c)}, '') <> '' THEN 'P-' || sha256('{_KEY}' || lower({q.strip(c)})) ELSE {c} END AS {c}"
 
 
 @query("pseudonymize_columns", oracle(f"SELECT contract_id, {_pseudo('last_name')}, {_pseudo('email')}, {_pseudo('kpep')} FROM member_base"))
@@ -271,11 +280,3 @@ _CL = (("emails", pv.EMAIL, 0), ("telephones", pv.PHONE, 0), ("nir", pv.NIR, 0),
     txt="SELECT text FROM documents UNION ALL SELECT text FROM descriptions"))
 def redaction_stats(f):
     return pv.redaction_stats(f.documents.select("text").unionByName(f.descriptions.select("text")), "text")
-
-
-@query("name_similarity")
-def name_similarity(f):
-    first = canon.member_base(f).groupBy("person_id").agg(F.min("last_name").alias("last_name"), F.min("first_name").alias("first_name"))
-    pairs = canon.matched(f).join(first, "person_id").where("last_norm is not null")
-    distinct = pairs.groupBy("last_name", "last_norm", "first_name", "first_norm").agg(F.count("*").alias("persons"))
-    return distinct.withColumn("similarity", similarity(F.col("last_name"), F.col("last_norm"), F.col("first_name"), F.col("first_norm")))

@@ -9,7 +9,8 @@ from concordat.operators import windows as wn
 from concordat.plans import report as rp
 from concordat.plans import supervision as sv
 from concordat.sources.state import flatten_payload as flatten
-from concordat.workload import canon
+from concordat.session import materialize
+from concordat.workload import canon, q_claims, q_matching, q_quality
 from concordat.workload import oracle as q
 from concordat.workload.oracle import oracle
 from concordat.workload.registry import ORACLES, query
@@ -111,43 +112,22 @@ def compare_runs(f):
 
 # ---- report -----------------------------------------------------------------------
 
-_F = {"Nombre": "nombre", "Pct": "pct"}
-_BLOCKS = (
-    ("volume_raw", "true", "2_Volumetrie_Brute", "Resultats", "indicator", _F),
-    ("population_unique", "true", "3_Population_Unique", "Resultats", "indicator", _F),
-    ("cross_role_ids", "true", "4_Qualite_Donnees", "Doublons", "indicator", _F),
-    ("multi_key_persons", "true", "4_Qualite_Donnees", "Detail_KPEP", "bucket", {"Total": "total", "Dont_Assures": "insured"}),
-    ("match_totals", "view = 'GLOBAL'", "5_CIAM", "Matching_Global", "label", _F),
-    ("match_totals", "view = 'METHODE'", "5_CIAM", "Par_Methode", "label", {"Nombre": "nombre"}),
-    ("match_by_segment", "view = 'SOCIETE'", "5_CIAM", "Matching_Par_Societe", "label",
-     {"Total": "total", "Rapproches": "rapproches", "Non_Rapproches": "non_rapproches", "Taux": "taux"}),
-    ("email_consistency", "true", "5_CIAM", "Coherence_Emails", "indicator", _F),
-    ("account_quality", "true", "5_CIAM", "Qualite_Comptes_CIAM", "indicator", _F),
-    ("key_coherence_three", "true", "5_CIAM", "Coherence_KPEP_3_Sources", "indicator", _F),
-    ("quality_score", "true", "5_CIAM", "Score_Qualite_Donnees", "indicator", _F),
-    ("registry_presence_by_type", "true", "6_IEHE", "Presence_Globale", "member_type",
-     {"Reference": "reference", "Presents": "presents", "Manquants": "manquants", "Taux_Presents": "taux_presents"}),
-    ("registry_email_concordance", "true", "6_IEHE", "Concordance_Email", "indicator", _F),
-    ("card_kpis", "view = 'TOTAL'", "7_Carte_TP", "Eligibilite_Globale", "view",
-     {"Base": "base", "Eligible": "eligible", "Future": "future", "Taux_Eligible": "rate_eligible"}),
-    ("document_kpis", "true", "7_Carte_TP", "Controle_GED_Quotidien", "company",
-     {"Population_Eligible": "eligible", "Trouves_GED": "found", "Taux_GED": "rate_found", "Rapproche_Final": "matched_final"}),
-)
-
-
-def _block_sql(key, where, section, block, indicator, measures):
-    names = "[" + ", ".join(f"'{m}'" for m in measures) + "]"
-    vals = "[" + ", ".join(f"cast({c} AS double)" for c in measures.values()) + "]"
-    return (f"SELECT * FROM (SELECT '{section}' AS section, '{block}' AS block, {indicator} AS indicator, unnest({names}) AS measure, unnest({vals}) AS value "
-            f"FROM ({ORACLES[key]}) b WHERE {where}) c WHERE value IS NOT NULL")
-
-
-_REPORT = " UNION ALL ".join(_block_sql(*b) for b in _BLOCKS)
+def _block_sql(b):
+    names = "[" + ", ".join(f"'{m}'" for m in b.measures) + "]"
+    vals = "[" + ", ".join(f"cast({c} AS double)" for c in b.measures.values()) + "]"
+    return (f"SELECT * FROM (SELECT '{b.section}' AS section, '{b.name}' AS block, {b.indicator} AS indicator, unnest({names}) AS measure, unnest({vals}) AS value "
+            f"FROM ({ORACLES[b.result]}) b WHERE {b.where}) c WHERE value IS NOT NULL")
+
+
+_REPORT = " UNION ALL ".join(_block_sql(b) for b in rp.BLOCKS)
 
 
 def report(f):
-    member = canon.member(f)
-    return rp.kpi_report(member, canon.match(f), canon.account_ref(f), canon.with_account, canon.registry(f), canon.registry_first(f), canon.document_detail(f))
+    """The report on one snapshot: the match and its accounts are written once and shared by all blocks."""
+    f.plans["canon.match"] = materialize(canon.match(f))
+    f.plans["canon.matched"] = materialize(canon.matched(f))
+    made = vars(q_quality) | vars(q_matching) | vars(q_claims)
+    return rp.kpi_report({b.result: made[b.result](f) for b in rp.BLOCKS})
 
 
 @query("kpi_report", _REPORT)

@@ -59,3 +59,32 @@ def test_replace_flux_twice_and_schema_growth(spark, rows, tmp_path):
         st.replace_flux(rows("a long, b string", (3, "n")), path, "01022024", "2024-02-03")
     got = sorted((r["flux_id"], r["a"], r["b"]) for r in st.read_table(spark, path).collect())
     assert got == [("01022024", 3, "n"), ("02022024", 7, None)]
+
+
+def test_preamble_keeps_rows_with_empty_fields(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("﻿Extract of the day;;\n\nid;mail;code\n1;a@b.fr;X\n2;;Y\n;c@d.fr;Z\n;;\n\"3;4\";\"q\"\"q\";\n")
+    df = fs.read_csv_snapshot(spark, path, sep=";", encoding="utf-8", preamble=1)
+    assert df.columns == ["id", "mail", "code"]
+    got = [tuple(r) for r in df.collect()]
+    assert got == [("1", "a@b.fr", "X"), ("2", None, "Y"), (None, "c@d.fr", "Z"), (None, None, None), ("3;4", 'q"q', None)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from concordat.session import checkpoint_dir
+
+    def session(master, folder=None):
+        empty = SimpleNamespace(get=lambda *_: None)
+        context = SimpleNamespace(master=master, getConf=lambda: empty, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
+
+    assert checkpoint_dir(session("spark://host:7077", "hdfs://x/y")) == "hdfs://x/y"
+    assert checkpoint_dir(session("local[8]"))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            checkpoint_dir(session(master))

@@ -116,3 +116,14 @@ def test_hot_key_is_split(spark, rows):
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_no_candidate_key_is_shared_by_everyone(spark):
+    """Persons without keys stay in the result, and no key of the join has a row for each of them."""
+    from concordat.operators import matching as mt
+
+    fields = "person_id string, email string, contact_email string, kpep string, last_name string, first_name string, birth_date string"
+    people = spark.range(500).select(F.col("id").cast("string").alias("person_id"), *[F.lit(None).cast("string").alias(c.split()[0]) for c in fields.split(", ")[1:]])
+    keys = mt.candidate_keys(people)
+    assert keys.groupBy("grp", "key").count().agg(F.max("count")).first()[0] == 1
+    assert keys.select("person_id").distinct().count() == 500
