@@ -23,9 +23,9 @@ FLUSH, BUCKET = 6 << 20, 4 << 20
 TOKEN_BITS, CHUNK = 49, 1 << 15
 #: Partners that one token's list gives a line at first, nearest first.
 NEAREST = 2
-_PARTS = ("ids", "ties", "counts", "lines", "tokens", "sigs", "bits0", "bits1", "sizes", "ranks")
-#: Sets up to this size have a parity of 64 bits, larger ones of 128.
-WIDE = 64
+_PARTS = ("ids", "ties", "counts", "lines", "tokens", "sigs", "bits0", "bits1", "sizes", "ranks", "wide")
+#: Sets up to this size have a parity of 64 bits, larger ones of 128; the second join has these words.
+WIDE, WORDS = 64, 8
 _SHIPPED = "bucket int, firsts boolean, " + ", ".join(f"{c} binary" for c in _PARTS)
 _PLACES = "slot int, ids binary, ties binary, counts binary, steps binary"
 _NAMES = ["a_id", "a_tie", "a_line", "b_id", "b_tie", "b_line"]
@@ -109,13 +109,15 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int,
     """Documents of about ``FLUSH`` bytes at a time: id, checksum, text."""
     rows, held = [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            data = (text or "").encode()
-            rows.append((LAST if doc_id is None else doc_id, zlib.crc32(data), data))
-            held += len(data)
-            if held >= FLUSH:
-                yield rows
-                rows, held = [], 0
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                data = (text or "").encode()
+                rows.append((LAST if doc_id is None else doc_id, zlib.crc32(data), data))
+                held += len(data)
+                if held >= FLUSH:
+                    yield rows
+                    rows, held = [], 0
     yield rows
 
 
@@ -171,7 +173,7 @@ def _shipping_task(bits: int, counted, similarity: float, among=None):
             row = lines.row[which[lo:hi]]
             ids, ties, counts, _ = pack_places(lines.ids, lines.ties, row, row)
             fields = {"ids": ids, "ties": ties, "counts": counts, "lines": planes(lines.line[which[lo:hi]].astype("<u4"))}
-            fields |= {k: planes(v[order[lo:hi]]) for k, v in values.items()}
+            fields |= {k: v[order[lo:hi]].tobytes() if k == "wide" else planes(v[order[lo:hi]]) for k, v in values.items()}
             yield (b, firsts, *[fields.get(c) for c in _PARTS])
 
     def flush(lines: Lines, seen: np.ndarray) -> Iterator[tuple]:
@@ -189,6 +191,10 @@ def _shipping_task(bits: int, counted, similarity: float, among=None):
         which = of[used]
         values = {"tokens": tokens[used], "sigs": lines.sig[which].astype("<u4"), "bits0": bits0[which], "bits1": bits1[which]}
         values |= {"sizes": sizes[which].astype("<u4"), "ranks": rank[used].astype("<u4")}
+        if among is not None:
+            place = (lines.tokens >> U64(6)) % U64(WORDS)
+            words = [np.bitwise_xor.reduceat(np.where(place == U64(w), one, U64(0)), lines.bounds[:-1]) for w in range(WORDS)]
+            values["wide"] = np.stack(words, axis=1)[which].view(f"V{8 * WORDS}").ravel()
         yield from dealt(lines, which, (tokens[used] >> U64(TOKEN_BITS - bits)).astype(np.int64), False, **values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,10 +260,11 @@ def _nearest(b: np.ndarray, a: np.ndarray, apart: np.ndarray, more: np.ndarray,
     return b[kept], a[kept], apart[kept], more[kept]
 
 
-def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> list[tuple]:
+def _candidates(parts: list[dict], similarity: float, nearest: int | None, doubtful: np.ndarray | None) -> list[np.ndarray]:
     """Pairs of lines that share a prefix token and pass the length, positional and parity filters.
 
-    A wide parity is folded to 64 bits to meet a narrow one.
+    A wide parity is folded to 64 bits to meet a narrow one.  ``doubtful``: only pairs whose later
+    line is in this table of bits.
     """
     ids, ties, lines = _places(parts)
     token, sig = _joined(parts, "tokens", "<u8"), _joined(parts, "sigs", "<u4")
@@ -269,6 +276,8 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> li
     kept = order[np.concatenate(([True], ~same))]
     ids, ties, lines, token, bits0, bits1, size, rank = (x[kept] for x in (ids, ties, lines, token, bits0, bits1, size, rank))
     wide = size > WIDE
+    words = np.frombuffer(b"".join(p["wide"] for p in parts), "<u8").reshape(-1, WORDS)[kept] if doubtful is not None else None
+    wanted = sketch.has_bits(doubtful, _line_keys(_doc_keys(ids, ties), lines)) if doubtful is not None else None
     when = np.empty(len(kept), np.int64)
     when[np.lexsort((lines, ties, ids))] = np.arange(len(kept))
     none = np.zeros(0, np.int64)
@@ -290,28 +299,35 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None) -> li
         apart1 = np.where(wide[left] & wide[right], apart1, U64(0))
         apart = np.bitwise_count(apart0).astype(np.int64) + np.bitwise_count(apart1)
         good = (reach >= need) & (apart <= size[left] + size[right] - 2 * need)
-        x, y = left[good], right[good]
-        later = when[x] > when[y]
-        fresh.append([np.where(later, x, y), np.where(later, y, x), apart[good], np.zeros(len(x), bool)])
+        later = when[left] > when[right]
+        x, y = np.where(later, left, right)[good], np.where(later, right, left)[good]
+        apart = apart[good]
+        if wanted is not None:
+            apart = np.bitwise_count(words[x] ^ words[y]).sum(axis=1)
+            good = wanted[x] & (apart <= size[x] + size[y] - 2 * required(size[x], size[y], similarity))
+            x, y, apart = x[good], y[good], apart[good]
+        fresh.append([x, y, apart, np.zeros(len(x), bool)])
         waiting += len(x)
         if waiting > 1_000_000 or not len(left):
             held = list(_nearest(*[np.concatenate([h, *[f[k] for f in fresh]]) for k, h in enumerate(held)], nearest))
             fresh, waiting = [], 0
     b, a, _, more = held
-    return list(zip(*[x[k].tolist() for k in (a, b) for x in (ids, ties, lines)], more.tolist(), strict=True))
+    return [x[k].astype(np.int64) for k in (a, b) for x in (ids, ties, lines)] + [more]
 
 
-def _bucket_task(slots: int, similarity: float, nearest: int | None):
+def _bucket_task(slots: int, similarity: float, nearest: int | None, doubtful=None):
     kinds = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 6 + [pa.bool_()]
     names = ["slot", "ids", "ties", "counts", "steps", *_NAMES, "more"]
 
     def run(table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         firsts, others = [p for p in parts if p["firsts"]], [p for p in parts if not p["firsts"]]
-        rows = [(*r, *[None] * 7) for r in _first_places(firsts, slots)] if firsts else []
-        rows += [(*[None] * 5, *r) for r in _candidates(others, similarity, nearest)] if others else []
-        columns = list(zip(*rows, strict=True)) or [()] * len(names)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        places = list(zip(*_first_places(firsts, slots), strict=True)) if firsts else [()] * 5
+        pairs = _candidates(others, similarity, nearest, doubtful.value if doubtful is not None else None) if others else [()] * 7
+        n, m = len(places[0]), len(pairs[0])
+        columns = [pa.concat_arrays([pa.array(c, k), pa.nulls(m, k)]) for c, k in zip(places, kinds[:5], strict=True)]
+        columns += [pa.concat_arrays([pa.nulls(n, k), pa.array(c, k)]) for c, k in zip(pairs, kinds[5:], strict=True)]
+        return pa.table(columns, names=names)
 
     return run
 
@@ -425,7 +441,8 @@ def _apply_task(kind: T.StructType):
 def _joined_again(docs: DataFrame, doubtful: DataFrame, counted, bits: int, slots: int, similarity: float) -> DataFrame:
     """Lines of ``doubtful`` that any of all their candidates confirms.
 
-    Only the lists of these lines' prefix tokens are made again, this time with every pair.
+    Only the lists of these lines' prefix tokens are made again, this time with every pair that ends
+    in one of them and with a parity of 512 bits, which hardly lets an unlike pair through.
     """
 
     def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
@@ -436,9 +453,15 @@ def _joined_again(docs: DataFrame, doubtful: DataFrame, counted, bits: int, slot
             sketch.add_bits(cells, ordered[used] << U64(64 - TOKEN_BITS))
 
     spark = docs.sparkSession
+    def name(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for batch in batches:
+            ids, ties, lines = (np.asarray(batch.column(f"b_{c}")) for c in ("id", "tie", "line"))
+            sketch.add_bits(cells, _line_keys(_doc_keys(ids, ties), lines))
+
     among = spark.sparkContext.broadcast(sketch.merged(sketch.tables(doubtful.select("b_set"), mark), np.bitwise_or))
+    wanted = spark.sparkContext.broadcast(sketch.merged(sketch.tables(doubtful.select("b_id", "b_tie", "b_line"), name), np.bitwise_or))
     shipped = docs.mapInArrow(_shipping_task(bits, counted, similarity, among), _SHIPPED)
-    every = shipped.groupBy("bucket").applyInArrow(_bucket_task(slots, similarity, None), _FOUND)
+    every = shipped.groupBy("bucket").applyInArrow(_bucket_task(slots, similarity, None, wanted), _FOUND)
     later = ["b_id", "b_tie", "b_line"]
     pairs = every.join(doubtful.select(*later), later, "left_semi").select(*_NAMES, "more").distinct()
     return _verified(docs, saved(pairs), similarity).where("alike").select(*later)

@@ -16,7 +16,18 @@ from concordat.llm.wordvec import from_planes, planes
 
 BITS = 22
 CELLS, BLOCK = 1 << BITS, 1 << 16
-_SCHEMA = "block int, cells binary"
+_SCHEMA = "block int, at binary, cells binary"
+
+
+def _packed(cells: np.ndarray) -> tuple[bytes | None, bytes]:
+    """A block: filled places and their values if they are few, else all values."""
+    at = np.flatnonzero(cells)
+    return (planes(at.astype("<u2")), planes(cells[at])) if len(at) < BLOCK // 4 else (None, planes(cells))
+
+
+def _put(total: np.ndarray, at: bytes | None, cells: bytes, how: Callable) -> None:
+    where = slice(None) if at is None else from_planes(at, "<u2")
+    total[where] = how(total[where], from_planes(cells, "<u4"))
 
 
 def tables(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndarray], None]) -> DataFrame:
@@ -25,9 +36,10 @@ def tables(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndarray],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, "<u4")
         fill(batches, cells)
-        blocks = [b for b in range(CELLS // BLOCK) if cells[b * BLOCK : (b + 1) * BLOCK].any()]
-        found = [planes(cells[b * BLOCK : (b + 1) * BLOCK]) for b in blocks]
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(found, pa.binary())], ["block", "cells"])
+        for b in range(CELLS // BLOCK):
+            at, values = _packed(cells[b * BLOCK : (b + 1) * BLOCK])
+            if values:
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([at], pa.binary()), pa.array([values])], ["block", "at", "cells"])
 
     return df.mapInArrow(run, _SCHEMA)
 
@@ -37,13 +49,15 @@ def merged(parts: DataFrame, how: Callable = np.add) -> np.ndarray:
 
     def run(table: pa.Table) -> pa.Table:
         total = np.zeros(BLOCK, "<u4")
-        for cells in table.column("cells").to_pylist():
-            how(total, from_planes(cells, "<u4"), out=total)
-        return pa.table({"block": table.column("block")[:1].cast(pa.int32()), "cells": pa.array([planes(total)], pa.binary())})
+        for at, cells in zip(table.column("at"), table.column("cells"), strict=True):
+            _put(total, at.as_py(), cells.as_py(), how)
+        at, values = _packed(total)
+        columns = [table.column("block")[:1].cast(pa.int32()), pa.array([at], pa.binary()), pa.array([values], pa.binary())]
+        return pa.table(columns, names=["block", "at", "cells"])
 
     cells = np.zeros(CELLS, "<u4")
-    for row in parts.groupBy("block").applyInArrow(run, _SCHEMA).collect():
-        cells[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = from_planes(bytes(row["cells"]), "<u4")
+    for r in parts.groupBy("block").applyInArrow(run, _SCHEMA).collect():
+        _put(cells[r["block"] * BLOCK : (r["block"] + 1) * BLOCK], None if r["at"] is None else bytes(r["at"]), bytes(r["cells"]), how)
     return cells
 
 
