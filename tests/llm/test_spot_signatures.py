@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from concordat.llm import spot_signatures as s
 
 
@@ -32,7 +34,7 @@ def test_edited_texts_and_likeness(clashing, prose, monkeypatch):
 
 def test_signatures(docs):
     rows = [(1, "The cat sat on the mat"), (2, "the CAT, sat on: the mat!"), (3, "the cat sat on the rug"), (4, ""), (5, None), (6, "***"), (7, "the the")]
-    found = {r.doc_id: r.found for r in docs(*rows).select("doc_id", s.signatures(docs(*rows).text).alias("found")).collect()}
+    found = {r.doc_id: r.found for r in docs(*rows).selectExpr("doc_id", "text").withColumn("found", s.signatures(F.col("text"))).collect()}
     assert found[1] == found[2] and len(found[1]) == 3 and set(found[1]) & set(found[3])
     assert found[4] == found[5] == [] and len(found[6]) == 1 and found[7]
 
