@@ -78,13 +78,15 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 def _flushes(batches: Iterator[pa.RecordBatch], size: int = FLUSH) -> Iterator[tuple[list[int], list[bytes]]]:
     ids, texts, held = [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids.append(LAST if doc_id is None else doc_id)
-            texts.append((text or "").encode())
-            held += len(texts[-1])
-            if held >= size:
-                yield ids, texts
-                ids, texts, held = [], [], 0
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                ids.append(LAST if doc_id is None else doc_id)
+                texts.append((text or "").encode())
+                held += len(texts[-1])
+                if held >= size:
+                    yield ids, texts
+                    ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
 
@@ -224,9 +226,11 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, counted, n_do
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(c).to_pylist() for c in ("x", "y"))
-            alike = similarities(left, right, counted.value, n_docs) >= similarity - 1e-6
-            yield batch.select(["a", "b"]).filter(pa.array(alike))
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                left, right = (part.column(c).to_pylist() for c in ("x", "y"))
+                alike = similarities(left, right, counted.value, n_docs) >= similarity - 1e-6
+                yield part.select(["a", "b"]).filter(pa.array(alike))
 
     texts = docs.mapInArrow(named, "node binary, data binary").groupBy("node").agg(F.first("data").alias("data"))
     both = likely.join(texts.select(F.col("node").alias("a"), F.col("data").alias("x")), "a").join(
@@ -235,6 +239,39 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, counted, n_do
     return saved(both.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary"))
 
 
+def _strength(docs: DataFrame, contested: DataFrame, counted, n_docs: int) -> DataFrame:
+    """Of each contested node: ``able``, the weight it can share with others, and ``single``, the rest.
+
+    A shingle that no other contested node has counts for nothing in a pair of them.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
+        for batch in batches:
+            sketch.add_bits(cells, np.frombuffer(b"".join(x[:8] for x in batch.column("node").to_pylist()), "<u8"))
+
+    wanted = docs.sparkSession.sparkContext.broadcast(sketch.merged(sketch.tables(contested, mark), np.bitwise_or))
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _flushes(batches):
+            nodes = {_node(t): t for t in texts}
+            keys = np.frombuffer(b"".join(n[:8] for n in nodes), "<u8")
+            kept = [x for x, there in zip(nodes.items(), sketch.has_bits(wanted.value, keys).tolist(), strict=True) if there]
+            found = shingles([t for _, t in kept])
+            weight = weights(found, counted.value, n_docs)
+            ends = pa.array(found.bounds.astype(np.int32))
+            columns = [pa.array([n for n, _ in kept], pa.binary()), pa.array([int.from_bytes(n[:8], "little", signed=True) for n, _ in kept], pa.int64())]
+            columns += [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (found.tokens.view("<i8"), weight)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "key", "tokens", "weights"])
+
+    rows = saved(docs.mapInArrow(weighed, "node binary, key long, tokens array<long>, weights array<float>"))
+    each = rows.select("key", F.explode(F.arrays_zip("tokens", "weights")).alias("x")).select("key", F.col("x.tokens").alias("token"), F.col("x.weights").alias("w"))
+    owned = each.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("other"), F.max("w").alias("w")).where("key = other")
+    single = owned.groupBy("key").agg(F.sum("w").alias("single"))
+    total = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)
+    whole = rows.select("node", "key", total.alias("total")).distinct().join(single, "key", "left")
+    return whole.select("node", F.coalesce("single", F.lit(0.0)).alias("single"), (F.col("total") - F.coalesce("single", F.lit(0.0))).alias("able"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` of every node that has a link; equal roots are one component.
 
@@ -270,8 +307,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Every text is sampled by consistent weighted sampling, and the samples are banded.  In each band
     bucket all texts are first compared with one of them, never with each other; what then lies in
-    another component than most of its bucket is compared with the rest of it, if samples and
-    sketches leave it possible.  Every pair that is not ruled out is verified on the whole texts.
+    another component than most of its bucket is compared with the rest of it, if samples,
+    sketches and the weight of shingles that only one of them has leave it possible.  Every pair that is not ruled out is verified on the whole texts.
 
     Null texts are empty; blank texts have no shingles and are linked only by equality.  A null id
     is larger than every other and stays null.  Repeated rows are one text.  No rows give no rows;
@@ -297,8 +334,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sizes = shared.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("x"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     main = saved(main.select("band", F.col("x.root").alias("main")))
-    outside = saved(shared.join(main, "band").where("root != main").select(F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1")))
-    rest = shared.join(outside, "band").where((F.col("root") != F.col("a_root")) & (_agreement("n0", "m0") + _agreement("n1", "m1") >= AGREE))
+    contested = saved(shared.join(main, "band"))
+    strength = _strength(docs, contested.select("node").distinct(), counted, n_docs)
+    # Texts with too much of their own are alike to no other.
+    fit = saved(strength.where(F.col("able") >= similarity * (F.col("able") + F.col("single")) - 1e-3))
+    contested = saved(contested.join(fit, "node"))
+    outside = contested.where("root != main").select(
+        F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("able").alias("a_able"), F.col("single").alias("a_single")
+    )
+    most = F.least("able", "a_able")
+    possible = most >= similarity * (most + F.col("single") + F.col("a_single")) - 1e-3
+    agree = _agreement("n0", "m0") + _agreement("n1", "m1") >= AGREE
+    rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree)
     again = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     more = _links(docs, again, nodes, counted, n_docs, similarity)
     if more.limit(1).count():

@@ -69,13 +69,15 @@ def _hash_tasks(bits: int, window: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                data = (text or "").encode()
-                rows.append((LAST if doc_id is None else doc_id, data))
-                held += len(data)
-                if held >= FLUSH:
-                    yield out()
-                    rows, held = [], 0
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    data = (text or "").encode()
+                    rows.append((LAST if doc_id is None else doc_id, data))
+                    held += len(data)
+                    if held >= FLUSH:
+                        yield out()
+                        rows, held = [], 0
         yield out()
 
     return run
