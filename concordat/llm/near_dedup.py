@@ -290,6 +290,14 @@ def components(links: DataFrame) -> DataFrame:
         roots = fresh.select("node", "root")
 
 
+def _contested(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Places in buckets that hold several components: with ``root``, and ``main``, the bucket's largest."""
+    rooted = saved(placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("x"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return saved(rooted.join(saved(main.select("band", F.col("x.root").alias("main"))), "band"))
+
+
 def _agreement(x: str, y: str):
     """Four-bit samples that two packed halves share, of 15."""
     apart = F.col(x).bitwiseXOR(F.col(y))
@@ -306,8 +314,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``class_id`` is the smallest id of the class, ``class_node`` the text of that document.
 
     Every text is sampled by consistent weighted sampling, and the samples are banded.  In each band
-    bucket all texts are first compared with one of them, never with each other; what then lies in
-    another component than most of its bucket is compared with the rest of it, if samples,
+    bucket all texts are first compared with one of them, never with each other, and those that are
+    left with the one in its middle; what then still lies in another component than most of its
+    bucket is compared with the rest of it, if samples,
     sketches and the weight of shingles that only one of them has leave it possible.  Every pair that is not ruled out is verified on the whole texts.
 
     Null texts are empty; blank texts have no shingles and are linked only by equality.  A null id
@@ -329,21 +338,26 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = _links(docs, pairs, nodes, counted, n_docs, similarity)
     roots = components(links)
 
-    shared = placed.join(hubs.select("band"), "band").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    shared = saved(shared.select("node", "band", "root", "n0", "n1"))
-    sizes = shared.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("x"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    main = saved(main.select("band", F.col("x.root").alias("main")))
-    contested = saved(shared.join(main, "band"))
+    shared = placed.join(hubs.select("band"), "band").select("node", "band", "n0", "n1")
+    contested = _contested(shared, roots)
     strength = _strength(docs, contested.select("node").distinct(), counted, n_docs)
     # Texts with too much of their own are alike to no other.
     fit = saved(strength.where(F.col("able") >= similarity * (F.col("able") + F.col("single")) - 1e-3))
     contested = saved(contested.join(fit, "node"))
+    # The text with the least of its own stands in the middle of a bucket: most others are linked to it.
+    middle = contested.groupBy("band").agg(F.max(F.struct((F.col("able") / (F.col("able") + F.col("single"))).alias("share"), "node", "root")).alias("x"))
+    middle = saved(middle.select("band", F.col("x.node").alias("b"), F.col("x.root").alias("b_root")))
+    spokes = contested.join(middle, "band").where("root != b_root").select(F.col("node").alias("a"), "b").distinct()
+    links = links.unionByName(_links(docs, spokes, nodes, counted, n_docs, similarity))
+    roots = components(links)
+    contested = _contested(contested.drop("root", "main"), roots)
     outside = contested.where("root != main").select(
         F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("able").alias("a_able"), F.col("single").alias("a_single")
     )
     most = F.least("able", "a_able")
-    possible = most >= similarity * (most + F.col("single") + F.col("a_single")) - 1e-3
+    # All of one text and what only the other has lie in their union.
+    single = F.col("single") + F.col("a_single")
+    possible = most >= similarity * (F.greatest("able", "a_able") + single) - 1e-3
     agree = _agreement("n0", "m0") + _agreement("n1", "m1") >= AGREE
     rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree)
     again = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
