@@ -18,7 +18,7 @@ from concordat.llm.shared import saved
 from concordat.llm.wordvec import LAST, U64, from_planes, mix, pack_places, planes, prime_from, unpack_places, word_hashes
 
 SIMILARITY = 0.8
-FLUSH, BUCKET = 6 << 20, 4 << 20
+FLUSH, BUCKET = 3 << 20, 4 << 20
 #: Bits of a token; the others of 64 number the lines of a chunk.
 TOKEN_BITS, CHUNK = 49, 1 << 15
 #: Partners that one token's list gives a line at first, nearest first.
@@ -308,7 +308,7 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None, doubt
             x, y, apart = x[good], y[good], apart[good]
         fresh.append([x, y, apart, np.zeros(len(x), bool)])
         waiting += len(x)
-        if waiting > 1_000_000 or not len(left):
+        if waiting > 200_000 or not len(left):
             held = list(_nearest(*[np.concatenate([h, *[f[k] for f in fresh]]) for k, h in enumerate(held)], nearest))
             fresh, waiting = [], 0
     b, a, _, more = held

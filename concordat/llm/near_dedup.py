@@ -21,7 +21,7 @@ BANDS, ROWS = 10, 3
 #: What the rarest shingle weighs more than the commonest.  Copies make their own shingles common, so a
 #: wide range would let every edit of a much-copied text outweigh what it shares with the others.
 RARITY_SHARE = 0.125
-FLUSH, CHUNK, TOKEN_BITS = 6 << 20, 1 << 15, 49
+FLUSH, CHUNK, TOKEN_BITS = 3 << 20, 1 << 15, 49
 #: Bins of the one-permutation sketch that rules out pairs before texts are fetched, and its slack:
 #: four standard deviations below the similarity.
 BINS, SLACK = 128, 0.14

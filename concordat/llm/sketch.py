@@ -1,6 +1,6 @@
 """Tables of fixed size that tasks fill and Spark merges: counters by hash, and sets of bits.
 
-A table has ``CELLS`` unsigned 32-bit cells (16 MB) however large the input is, so the driver and
+A table has ``CELLS`` unsigned 32-bit cells (8 MB) however large the input is, so the driver and
 every worker can hold it.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from concordat.llm.wordvec import from_planes, planes
 
-BITS = 22
+BITS = 21
 CELLS, BLOCK = 1 << BITS, 1 << 16
 _SCHEMA = "block int, at binary, cells binary"
 

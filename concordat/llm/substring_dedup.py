@@ -17,7 +17,7 @@ from concordat.llm.wordvec import LAST, from_planes, pack_places, planes, prime_
 
 WINDOW = 50
 #: Text bytes that a task hashes at once, and text bytes to a bucket of window hashes.
-FLUSH, BUCKET = 8 << 20, 4 << 20
+FLUSH, BUCKET = 4 << 20, 4 << 20
 #: What hashing tasks send to buckets, and buckets to the slots of documents.
 _SHIPPED = "bucket int, hashes binary, ids binary, ties binary, counts binary, steps binary, known boolean"
 _FOUND = "slot int, ids binary, ties binary, counts binary, steps binary"
