@@ -29,13 +29,11 @@ PAID, WAITING, REJECTED = ("PA", "RL"), ("AC", "VA"), "RJ"
 
 def latest_op_both(ops: DataFrame, day: str | None = None) -> DataFrame:
     """Per dossier and day, from one scan: latest paid operation and latest operation of any state."""
-    op = F.struct("op_no", "op_ref", "state")
+    op = F.struct("op_no", "op_ref", "state", "origin")
     rows = ops.where(in_days(F.col("op_date"), day))
-    best = rows.groupBy("dossier_id", "op_date").agg(
-        F.max(F.when(F.col("state").isin(*PAID), op)).alias("paid"), F.max(op).alias("last"), F.first("origin").alias("origin")
-    )
+    best = rows.groupBy("dossier_id", "op_date").agg(F.max(F.when(F.col("state").isin(*PAID), op)).alias("paid"), F.max(op).alias("last"))
     return best.select(
-        "dossier_id", "op_date", "origin",
+        "dossier_id", "op_date", F.col("last.origin").alias("origin"),
         F.col("paid.op_no").alias("paid_op"), F.col("paid.state").alias("paid_state"),
         F.col("last.op_no").alias("last_op"), F.col("last.state").alias("last_state"),
     )
@@ -116,7 +114,7 @@ def full_outer_counts(heads: DataFrame, ops: DataFrame, first: str | None = None
     received = heads.where(in_days(F.col("received"), first, last)).groupBy("origin").agg(F.count("*").alias("nb_recu"))
     # One pass per dossier: paid or waiting in the window, amount over all its lines.
     per_dossier = ops.groupBy("dossier_id").agg(
-        F.first("origin").alias("origin"),
+        F.max_by("origin", F.struct("op_no", "op_ref", "origin")).alias("origin"),
         F.coalesce(F.max(F.col("state").isin(*PAID) & window), F.lit(False)).alias("paid"),
         F.coalesce(F.max(F.col("state").isin(*WAITING) & window), F.lit(False)).alias("waits"),
         F.sum("amount").alias("amount"),
@@ -153,9 +151,9 @@ def payment_summary(heads: DataFrame, ops: DataFrame, first: str | None = None,
 def delay_buckets_paid(ops: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Days from creation to payment of the latest operation, by origin."""
     rows = ops.where(in_days(F.col("op_date"), first, last))
-    op = F.max(F.struct("op_no", "op_ref", "state", "op_date")).alias("op")
-    latest = rows.groupBy("dossier_id").agg(op, F.min("created").alias("created"), F.first("origin").alias("origin"))
-    paid = latest.where(F.col("op.state").isin(*PAID)).select("origin", F.datediff("op.op_date", "created").alias("d"))
+    op = F.max(F.struct("op_no", "op_ref", "state", "op_date", "origin")).alias("op")
+    latest = rows.groupBy("dossier_id").agg(op, F.min("created").alias("created"))
+    paid = latest.where(F.col("op.state").isin(*PAID)).select(F.col("op.origin").alias("origin"), F.datediff("op.op_date", "created").alias("d"))
     d = F.col("d")
     return paid.groupBy("origin").agg(
         F.count("*").alias("paye_total"),
@@ -331,8 +329,10 @@ def version_chain_join(persons: DataFrame, links: DataFrame, contracts: DataFram
 
 
 def parameter_cross_join(facts_df: DataFrame, params: DataFrame, column: str) -> DataFrame:
-    """Rows inside the window of a one-row parameter table."""
-    return facts_df.crossJoin(F.broadcast(params)).where(  # one row
+    """Rows inside the window of a one-row parameter table; any other number of rows raises."""
+    only = F.when(F.count(F.lit(1)) == 1, F.min("d_debut")).otherwise(F.raise_error(F.lit("the parameter table must have one row")))
+    one = params.agg(only.alias("d_debut"), F.min("d_fin").alias("d_fin"))
+    return facts_df.crossJoin(F.broadcast(one)).where(  # one row: an aggregate without keys
         (F.col(column) >= F.col("d_debut")) & (F.col(column) < F.col("d_fin"))
     )
 

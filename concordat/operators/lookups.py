@@ -48,6 +48,8 @@ def attribute_by_source_priority(ledger: DataFrame, snapshots: DataFrame, curren
     the row itself carries its member type.
     """
     run = F.regexp_extract("source_file", r"^(\d{8})", 1)
+    # The ledger is small beside the history: only its persons are ranked.
+    snapshots = lookup_join(snapshots, ledger.select("person_id").distinct(), ["person_id"], "left_semi")
     usable = snapshots.where(F.coalesce("person_id", F.lit("")) != "")
     same = first_row(usable, ["flux_id", "person_id"], [F.col("seq")])
     now = first_row(usable.where(F.col("flux_id") == current), ["person_id"], [F.col("seq")])
@@ -98,8 +100,3 @@ def offer_enrich(df: DataFrame, mapping: DataFrame, offer: str = "offer") -> Dat
     return rows.select(
         *df.columns, F.coalesce("nature", "__code").alias("nature"), F.coalesce("societe", F.lit("?")).alias("societe")
     )
-
-
-def running_rank(partition: list[str], order: list[Column]) -> Column:
-    """Position of a row within its group in a total order."""
-    return F.row_number().over(Window.partitionBy(*partition).orderBy(*order))

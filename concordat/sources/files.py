@@ -17,8 +17,9 @@ _BOM = "\ufeff"
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines of an extract without a byte order mark."""
-    return spark.read.option("encoding", encoding).text(path).select(F.regexp_replace("value", f"^{_BOM}", "").alias("value"))
+    """Decoded lines of an extract without a byte order mark; the text source itself hands on the bytes."""
+    value = F.decode(F.col("value").cast("binary"), encoding)
+    return spark.read.text(path).select(F.regexp_replace(value, f"^{_BOM}", "").alias("value"))
 
 
 def _head(spark: SparkSession, path: str, encoding: str, lines: int = 3) -> list[str]:

@@ -30,7 +30,7 @@ def work_dir(f) -> str:
 _CSV = ("num_personne", "num_ctr_indiv", "nom_long", "prenom", "offre", "date_adhesion")
 
 
-_SPARSE = "CASE WHEN offre LIKE '1%' THEN NULL ELSE {c} END AS {c}"  # empty first and second fields
+_SPARSE = "CASE WHEN offre NOT LIKE '1%' THEN {c} END AS {c}"  # empty first and second fields
 
 
 @query("read_csv_snapshot", oracle(
@@ -38,13 +38,12 @@ _SPARSE = "CASE WHEN offre LIKE '1%' THEN NULL ELSE {c} END AS {c}"  # empty fir
 def read_csv_snapshot(f):
     path = work_dir(f)
     rows = f.member_base_raw.select(*_CSV).withColumns({c: F.when(~F.col("offre").startswith("1"), F.col(c)) for c in _CSV[:2]})
-    written = rows.write.option("header", "false").option("sep", ";").option("encoding", "iso-8859-1").option("ignoreTrailingWhiteSpace", "false")
-    written.option("emptyValue", "").csv(path + "/body")
+    rows.write.option("sep", ";").option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "").csv(path + "/body")
     head = f.spark.createDataFrame([("Extraction du jour;;",), (";".join(_CSV),)], "value string").coalesce(1)
-    lines = f.spark.read.option("encoding", "iso-8859-1").text(path + "/body")
-    head.write.text(path + "/all")
-    lines.write.mode("append").text(path + "/all")
-    return fs.read_csv_snapshot(f.spark, path + "/all", encoding="utf-8", preamble=1)
+    # One file, as extracts come: preamble and header first, in the old encoding.
+    lines = head.unionByName(f.spark.read.text(path + "/body")).coalesce(1)
+    lines.write.option("sep", "\x01").option("quote", "").option("encoding", "iso-8859-1").option("ignoreTrailingWhiteSpace", "false").csv(path + "/all")
+    return fs.read_csv_snapshot(f.spark, path + "/all", preamble=1)
 
 
 @query("read_wrapped_csv", oracle(f"SELECT {', '.join(_CSV)} FROM member_base_raw"))
