@@ -18,7 +18,7 @@ from concordat.llm.shared import saved
 from concordat.llm.wordvec import LAST, U64, from_planes, mix, pack_places, planes, prime_from, unpack_places, word_hashes
 
 SIMILARITY = 0.8
-FLUSH, BUCKET = 3 << 20, 4 << 20
+FLUSH, BUCKET = 5 << 20, 4 << 20
 #: Bits of a token; the others of 64 number the lines of a chunk.
 TOKEN_BITS, CHUNK = 49, 1 << 15
 #: Partners that one token's list gives a line at first, nearest first.
