@@ -28,7 +28,7 @@ PIECES = T.StructType(
 #: A blank after white space: there the blank does not start a new match of the vocabulary's pattern.
 DOUBLE_GAP = re.compile(r"\s ")
 #: Words kept with their ids in one worker; beyond that the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 
 class Encoder:
@@ -194,5 +194,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
             yield packer.take()
         packer.finish()
         yield packer.take()
+        # The worker lives on for other tasks, which need its memory.
+        encoder(vocabulary).words = {}
 
     return docs.select(*names).mapInArrow(run, PIECES)
