@@ -22,9 +22,9 @@ BANDS, ROWS = 10, 3
 #: wide range would let every edit of a much-copied text outweigh what it shares with the others.
 RARITY_SHARE = 0.125
 FLUSH, CHUNK, TOKEN_BITS = 3 << 20, 1 << 15, 49
-#: Bins of the one-permutation sketch that rules out pairs before texts are fetched, and its slack:
-#: four standard deviations below the similarity.
-BINS, SLACK = 128, 0.14
+#: Bins of the one-permutation sketch that rules out pairs before texts are fetched, and its slack in
+#: standard deviations.
+BINS, DEVIATIONS = 128, 4
 #: Of 30 four-bit samples, those that texts of similarity 0.8 share with a chance of all but 0.00005.
 AGREE = 16
 
@@ -134,15 +134,37 @@ def samples(found: Shingles, weight: np.ndarray) -> np.ndarray:
 
 
 def bins(found: Shingles) -> np.ndarray:
-    """One-permutation sketch: the smallest shingle of each bin, as 16 bits, 0 where there is none."""
+    """One-permutation sketch of all occurrences: the smallest of each bin, as 16 bits, 0 where there is none.
+
+    The second and later occurrences of a shingle are elements of their own, so that the share of
+    equal bins estimates the Jaccard similarity of the multisets.
+    """
     out = np.zeros((len(found.bounds) - 1, BINS), "<u2")
     if len(found.tokens):
-        place = found.of * BINS + (found.tokens >> U64(TOKEN_BITS - 7)).astype(np.int64)
+        of, value = found.of, found.tokens
+        more = found.times - 1
+        if more.any():
+            nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+            again = mix(np.repeat(value, more) ^ mix(nth.astype(U64))) >> U64(64 - TOKEN_BITS)
+            of, value = np.concatenate((of, np.repeat(of, more))), np.concatenate((value, again))
+            order = np.lexsort((value, of))
+            of, value = of[order], value[order]
+        place = of * BINS + (value >> U64(TOKEN_BITS - 7)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        out.reshape(-1)[place[first]] = ((mix(found.tokens[first]) >> U64(48)) | U64(1)).astype("<u2")
+        out.reshape(-1)[place[first]] = ((mix(value[first]) >> U64(48)) | U64(1)).astype("<u2")
     return out
 
 
+def least_share(similarity: float) -> float:
+    """Share of equal bins below which texts are not of this weighted similarity.
+
+    Rarity may weigh what texts share up to ``1 + RARITY_SHARE`` times what they do not, so their
+    occurrences can be a little less alike; the sketch's own error comes below that.
+    """
+    alike = similarity / (similarity + (1 - similarity) * (1 + RARITY_SHARE))
+    return alike - DEVIATIONS * (alike * (1 - alike) / BINS) ** 0.5
+
+
 def _node(data: bytes) -> bytes:
     return hashlib.md5(data).digest()
 
@@ -180,7 +202,7 @@ def _likely(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFra
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, BINS) for c in ("x", "y"))
             same = ((x == y) & (x > 0)).sum(axis=1)
             either = ((x > 0) | (y > 0)).sum(axis=1)
-            yield batch.select(["a", "b"]).filter(pa.array(same >= (similarity - SLACK) * either))
+            yield batch.select(["a", "b"]).filter(pa.array(same >= least_share(similarity) * either))
 
     both = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(
         sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b"

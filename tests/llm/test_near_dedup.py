@@ -70,6 +70,25 @@ def test_a_chain_of_edits(docs, prose):
     assert got(n.classes(docs(*rows))) == brute(rows) and len({c for _, c in brute(rows)}) == 1
 
 
+def test_looped_passages(docs, prose):
+    """What texts repeat counts as often as it occurs: alike by their loops, or unlike by what is looped."""
+    loops = [" ".join([prose(20 + g, 12, 10**6)] * 40) for g in range(6)]
+    rows = [(10 * g + k, f"{loop} {prose(100 + 10 * g + k, 45, 10**6)}") for g, loop in enumerate(loops) for k in range(2)]
+    own = prose(7, 60, 10**6)
+    rows += [(900 + k, own + " " + " ".join([prose(300, 8, 10**6)] * times)) for k, times in enumerate((2, 30))]
+    want = brute(rows)
+    assert got(n.classes(docs(*rows).repartition(3))) == want and len({c for _, c in want}) == 8
+
+
+def test_sketch_estimates_weighted_similarity(prose):
+    loop, counted = " ".join([prose(1, 12, 10**6)] * 40), np.zeros(n.sketch.CELLS, "<u4")
+    left, right = ([f"{loop} {prose(seed + k, 45, 10**6)}".encode() for k in range(40)] for seed in (100, 200))
+    x, y = n.bins(n.shingles(left)), n.bins(n.shingles(right))
+    share = ((x == y) & (x > 0)).sum(axis=1) / ((x > 0) | (y > 0)).sum(axis=1)
+    want = n.similarities(left, right, counted, 10)
+    assert (want >= 0.8).all() and (share >= n.least_share(0.8)).all() and abs((share - want).mean()) < 0.02
+
+
 def test_samples_estimate_the_similarity(prose):
     a = prose(1, 3000, 10**6).encode()
     b = b" ".join(a.split()[:2400] + prose(2, 600, 10**6).encode().split())
