@@ -48,6 +48,21 @@ def _numbered(found: Column) -> Column:
     return F.sort_array(F.array_distinct(_let(F.sort_array(found), runs)))
 
 
+def _run_chains(cs: Column, lo: Column, hi: Column) -> Column:
+    """Chains of the content words that are anchors in the run from ``lo`` to before ``hi``; a short run has none."""
+
+    def chains(hs: Column) -> Column:
+        def one(h: Column, i: Column) -> Column:
+            below = lambda *steps: h <= F.least(*[F.get(hs, i + k) for k in steps])
+            whole = (i >= 2) & below(-1, -2) | (i >= 1) & (i + 1 < F.size(hs)) & below(-1, 1) | (i + 2 < F.size(hs)) & below(1, 2)
+            return F.when(whole, F.hash(F.get(cs, lo + i), F.slice(cs, lo + i + 2, F.lit(CHAIN))))
+
+        return F.filter(F.transform(hs, one), lambda x: x.isNotNull())
+
+    words = F.slice(cs, lo + 1, hi - lo)
+    return F.when(hi - lo > CHAIN, _let(F.transform(words, lambda w: F.hash(w)), chains)).otherwise(F.array().cast("array<int>"))
+
+
 def signatures(text: Column) -> Column:
     """Sorted distinct 32-bit signatures of a text; null and blank texts have none.
 
@@ -55,7 +70,9 @@ def signatures(text: Column) -> Column:
 
     Words are runs of letters and digits in lower case, and each is an anchor or a content word.
     The chain of an anchor is the next ``CHAIN`` content words, as many as there are; the start of
-    the text counts as an anchor.  A text without words that is not blank is its own signature.
+    the text counts as an anchor.  In a run of more than ``CHAIN`` content words between two anchors,
+    a word whose hash is the least of any ``CHAIN`` neighbours in the run is an anchor too, so that
+    every content word lies in a chain, in whatever language.  A text without words that is not blank is its own signature.
     """
     plain = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(F.lower(plain), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -67,7 +84,10 @@ def signatures(text: Column) -> Column:
         def hashed(cs: Column) -> Column:
             # The a-th word is the j-th anchor, so a - j content words stand before it.
             found = F.transform(anchors, lambda a, j: F.hash(F.get(ws, a), F.slice(cs, a - j + 1, F.lit(CHAIN))))
-            return F.when(F.size(cs) == 0, found).otherwise(F.concat(found, F.array(F.hash(F.lit(""), F.slice(cs, F.lit(1), F.lit(CHAIN))))))
+            start = F.array(F.hash(F.lit(""), F.slice(cs, F.lit(1), F.lit(CHAIN))))
+            los = F.concat(F.array(F.lit(0)), F.transform(anchors, lambda a, j: a - j))
+            runs = _let(los, lambda ls: F.flatten(F.transform(ls, lambda lo, k: _run_chains(cs, lo, F.coalesce(F.get(ls, k + 1), F.size(cs))))))
+            return F.when(F.size(cs) == 0, found).otherwise(F.concat(found, start, runs))
 
         return _let(content, hashed)
 

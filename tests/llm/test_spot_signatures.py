@@ -39,6 +39,22 @@ def test_signatures(docs):
     assert found[4] == found[5] == [] and len(found[6]) == 1 and found[7]
 
 
+def test_every_word_counts(docs, prose):
+    """Texts without an anchor, and with few: a change of any word shows, and leaves the rest alike."""
+    texts = [prose(1, 40, 10**6), prose(2, 5, 10**6), prose(3, 20, 10**6) + " the " + prose(4, 20, 10**6), "слово " * 7 + prose(5, 9, 10**6)]
+    rows = []
+    for t, text in enumerate(texts):
+        words = text.split()
+        rows += [(1000 * t + k, " ".join(words[:k] + ["changed"] + words[k + 1 :])) for k in range(len(words))] + [(1000 * t + 999, text)]
+    found = {r.doc_id: set(r.found) for r in docs(*rows).select("doc_id", s.signatures(F.col("text")).alias("found")).collect()}
+    for i, _ in rows:
+        whole = found[i // 1000 * 1000 + 999]
+        assert i % 1000 == 999 or found[i] != whole
+        assert i // 1000 not in (0, 2) or len(found[i] & whole) > 0.4 * len(found[i] | whole)
+    pair = s.fingerprint(docs((1, texts[0]), (2, " ".join(texts[0].split()[:3]) + " " + prose(9, 37, 10**6)))).collect()
+    assert all(0.3 < r.near_edited < 1 and r.near_next < 0.3 for r in pair)
+
+
 def test_edges(docs):
     assert s.fingerprint(docs()).count() == 0
     one = s.fingerprint(docs((3, "abcdef"))).first()
