@@ -17,10 +17,14 @@ BLOCKS = frozenset(
     " header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements whose text is never shown or is no running text.
-SILENT = frozenset("audio button canvas datalist embed head iframe input math noscript object option script select style svg template textarea title video".split())
+SILENT = frozenset("annotation annotation-xml audio button canvas datalist embed head iframe input noscript object option script select style svg template textarea title video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element that a start tag of the same group closes.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+#: Elements that stand in a head; the end tag of a head may be left out, and any other element closes it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+#: Elements of a head whose own content, blocks too, does not close it.
+HIDDEN_IN_HEAD = ("noscript", "template")
 #: Evidence for content (positive) and boilerplate (negative) that an element gives to all below it.
 TAG_EVIDENCE = {
     "article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "address": -3.0,
@@ -59,7 +63,16 @@ class Blocks(HTMLParser):
         self.open: dict[str, int] = {}
         self.number = self.silent = self.links = 0
 
+    def _end_head(self, tag: str = "") -> None:
+        """Close an open head, and what is open in it, before ``tag`` or text that cannot stand there."""
+        if tag in IN_HEAD or tag != "body" and any(self.open.get(x) for x in HIDDEN_IN_HEAD):
+            return
+        if tag in BLOCKS or self.stack[-1][0] == "head":
+            self._close("head")
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open.get("head"):
+            self._end_head(tag)
         if tag == "br":
             self.handle_data(" ")
         if tag in BLOCKS:
@@ -117,6 +130,8 @@ class Blocks(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1][0] == "head" and not data.isspace():
+            self._end_head()
         if self.silent:
             return
         if self.block is None:

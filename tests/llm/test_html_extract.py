@@ -15,6 +15,23 @@ def test_article_only():
     assert main_text(PAGE) == 'Head & line\nFirst sentence here.\nCafé <b> "quoted"!\npoint'
 
 
+def test_head_without_end_tag():
+    assert main_text(PAGE.replace("</head>", "")) == main_text(PAGE)
+    head = "<html><head><title>T</title><noscript><p>No script here.</p></noscript><link rel=x><style>p{}</style>"
+    body = "<p>A long paragraph of prose that goes on for a while, surely."
+    want = "A long paragraph of prose that goes on for a while, surely."
+    for start in ("", "<body>", "</head><body>", "<div>"):
+        assert main_text(head + start + body) == want
+    assert main_text("<head><title>T<body>" + body) == main_text("<head><title>T<div>" + body) == want
+    assert main_text("<head><meta charset=utf-8><title>T</title><b>A long paragraph</b> of prose that goes on for a while, surely.") == want
+    assert main_text("<head><title>T</title>\nA long paragraph of prose that goes on for a while, surely.") == want
+
+
+def test_formula():
+    math = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>x=2</annotation></semantics></math>"
+    assert main_text(f"<article><p>We find that {math} holds.</p></article>") == "We find that x=2 holds."
+
+
 def test_page_without_article():
     html = "<div id=menu><a>Home</a> <a>News</a></div><div><p>A long paragraph of prose that goes on for a while, surely.</p><p>Another one.</p></div>"
     assert main_text(html) == "A long paragraph of prose that goes on for a while, surely.\nAnother one."
