@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import byte_bpe, chat_format, html_extract, line_dedup, near_dedup, packing, quality_classifier, quality_rules, spot_signatures, substring_dedup
+from concordat.llm import (
+    byte_bpe,
+    chat_format,
+    html_extract,
+    line_dedup,
+    merkle,
+    mixing,
+    near_dedup,
+    packing,
+    phrases,
+    quality_classifier,
+    quality_rules,
+    spot_signatures,
+    substring_dedup,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -184,6 +198,117 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all sources to target weights."""
+    taken = mixing.plan(_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, and proofs of originals and of tampered documents."""
+    fields = [merkle.lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    shown = F.when(tampered, merkle.leaf_digest(fields)).otherwise(merkle.leaf_digest([F.col(c) for c in merkle.FIELDS]))
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), shown=shown)
+    found = found.withColumn("folded_root", merkle.fold(F.col("shown"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+#: DuckDB has no CRC-32: eight shifts for each byte of the decimal id, one byte at a time.
+_CRC32_SQL = r"""bytes AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+crc AS (
+  SELECT doc_id, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+         lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) AS crc
+  FROM bytes
+)"""
+
+
+def _op12_sql() -> str:
+    """Levels written out: eight above the leaves of a source, eight above the subroots."""
+
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return f"sha256({' || '.join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields)})"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    parts = [
+        f"""d AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS g, {leaf("text")} AS leaf,
+         CASE WHEN doc_id IN (SELECT doc_id FROM tampered_ids) THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} ELSE {leaf("text")} END AS cur
+  FROM documents
+)""",
+        "l0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d)",
+        "a0 AS (SELECT g, i, n, leaf AS h FROM l0)",
+    ]
+
+    def climb(name: str, level: int) -> None:
+        parts.append(f"{name}r{level} AS (SELECT g, i // 16 AS p, n, list(h ORDER BY i) AS hs FROM {name}{level} WHERE n > 1 GROUP BY g, p, n)")
+        parts.append(
+            f"{name}{level + 1} AS (SELECT g, p AS i, (n + 15) // 16 AS n, sha256(array_to_string(hs, '')) AS h FROM {name}r{level} "
+            f"UNION ALL SELECT g, i, n, h FROM {name}{level} WHERE n = 1)"
+        )
+
+    for level in range(8):
+        climb("a", level)
+    parts.append("b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h, g AS name FROM a8)")
+    for level in range(8):
+        climb("b", level)
+    parts.append("p0 AS (SELECT l0.doc_id, l0.leaf, l0.g, l0.i, a8.h AS subroot, b8.h AS root, l0.cur, '' AS proof FROM l0 JOIN a8 ON l0.g = a8.g CROSS JOIN b8)")
+    step = 0
+    for name in ("a", "b"):
+        if name == "b":
+            parts.append(f"q AS (SELECT p.* REPLACE ('' AS g, b0.i AS i) FROM p{step} p JOIN b0 ON p.g = b0.name)")
+        for level in range(8):
+            before = "q" if name == "b" and not level else f"p{step}"
+            step += 1
+            left, right = "array_to_string(hs[: p.i % 16], '')", "array_to_string(hs[p.i % 16 + 2 :], '')"
+            parts.append(
+                f"p{step} AS (SELECT p.* REPLACE (p.i // 16 AS i, CASE WHEN hs IS NULL THEN cur ELSE sha256({left} || cur || {right}) END AS cur, "
+                f"proof || CASE WHEN hs IS NULL THEN '' ELSE {left} || {right} END AS proof) FROM {before} p LEFT JOIN {name}r{level} r ON p.g = r.g AND p.i // 16 = r.p)"
+            )
+    body = ",\n".join(parts)
+    tail = f"SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified FROM p{step}"
+    return f"WITH {_CRC32_SQL},\ntampered_ids AS (SELECT doc_id FROM crc WHERE crc % 5 = 0),\n{body}\n{tail}"
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best phrases of two to five words of every language."""
+    return phrases.mine(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w CROSS JOIN unnest(range(1, 6)) t(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, ws[i : i + k - 1] AS p, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT *, array_to_string(p, ' ') AS phrase FROM f WHERE k >= 2),
+cuts AS (SELECT lang, k, p, phrase, a, unnest(range(1, k)) AS j FROM cand),
+scores AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.j, x.a AS l, y.a AS r, t.n, CAST(CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN total t USING (lang) JOIN f x ON x.lang = c.lang AND x.p = c.p[: c.j] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.j + 1 :]
+),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+free AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM cand c WHERE c.lang = b.lang AND c.a = b.a AND c.k > b.k AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM free QUALIFY rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -195,5 +320,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spot_signatures": op8_spot_signatures,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
+    "op12_merkle": op12_merkle,
+    "op13_phrases": op13_phrases,
 }
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op12_merkle": OP12_SQL, "op13_phrases": OP13_SQL}

@@ -6,10 +6,10 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.session import checkpoint_dir
+from concordat.session import checkpoint_dir, materialize
 
 #: Separators of words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,6 +38,15 @@ def rows_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[lis
         yield [batch.column(n).to_pylist() for n in names]
 
 
-def input_splits(df: DataFrame) -> int:
-    """Number of scan tasks, a measure of the input's size that needs no job."""
-    return max(1, df.rdd.getNumPartitions())
+def ranked(df: DataFrame, name: str, order: Column) -> DataFrame:
+    """Add ``rank`` (from 0) by ``order``, an order of the unique column ``name``, and ``of``, the number of rows.
+
+    Rows are dealt by range and ranked inside each part; only the parts' sizes are added up in one
+    task.  Equal rows are not told apart.
+    """
+    parts = materialize(df.repartitionByRange(order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("part").agg(F.count("*").alias("rows"))
+    sizes = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"), F.sum("rows").over(Window.partitionBy()).alias("of"))
+    inside = parts.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1)
+    return inside.join(sizes, "part").withColumn("rank", F.col("rank") + F.col("before")).drop("part", "before")
