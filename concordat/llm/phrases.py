@@ -20,8 +20,8 @@ from concordat.session import materialize
 RANK_BITS, TILE_BITS = 17, 10
 RANKS, TILE = 1 << RANK_BITS, 1 << TILE_BITS
 #: Pairs of one flush in a tile from which it is counted densely, dense tiles of a task, sparse cells of a task.
-DENSE, DENSE_TILES, SPARSE = TILE * TILE // 16, 8, 4_000_000
-FLUSH, WORDS_KEPT, LONGEST_RANKED = 4_000_000, 1_000_000, 64
+DENSE, DENSE_TILES, SPARSE = TILE * TILE // 16, 4, 1_500_000
+FLUSH, WORDS_KEPT, LONGEST_RANKED = 2_000_000, 150_000, 64
 #: Ids that are no ranks start here; keys that are no tile places at half of it.
 _OTHER, _HASHED = np.int64(1 << 62), np.int64(1 << 61)
 _CUTS = b".,;:!?\n\x0b\x0c\r"
@@ -39,8 +39,8 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     waiting: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            text = text.translate(_PLAIN)
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
+            text = text.as_py().translate(_PLAIN)
             while len(text) > 2 * FLUSH and (at := text.find(b"\n", FLUSH)) >= 0:
                 yield lang, text[:at]
                 text = text[at:]
@@ -64,7 +64,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.setdefault(lang, Counter()).update(data.split())
         if sum(map(len, counts.values())) > WORDS_KEPT:
             yield from rows()
-            counts = {}
+            counts.clear()
     yield from rows()
 
 
