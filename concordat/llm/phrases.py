@@ -83,6 +83,12 @@ def keys_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keys
 
 
+def unpacked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pairs as they come out of :class:`Tiles`."""
+    place = b == _END
+    return np.where(place, a >> np.int64(RANK_BITS), a), np.where(place, a & np.int64(RANKS - 1), b)
+
+
 class Units:
     """The frequent units of a level: ranks of the most frequent by their keys, and bits that mark all if there are more."""
 
@@ -221,6 +227,9 @@ class Tiles:
         if self.sparse:
             self._merge()
             a, b, n = self.sparse[0]
+            # A pair of ranks travels as its place in the table: one number for two, and small.
+            ranked = (a < RANKS) & (b < RANKS)
+            a, b = np.where(ranked, a << RANK_BITS | b, a), np.where(ranked, _END, b)
             for lo in range(0, len(a), 100_000):
                 part = slice(lo, lo + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(x[part].astype(np.int64)) for x in (a, b, n)], ["a", "b", "n"])
@@ -279,8 +288,8 @@ def _frequent_pairs(ids: DataFrame, least: int) -> tuple[DataFrame, Units]:
 
     def add_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (batch.column(c).to_numpy() for c in ("a", "b"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys_of(a, b))], ["a", "b", "f", "key"])
+            a, b = unpacked(*(batch.column(c).to_numpy() for c in ("a", "b")))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), batch.column("f"), pa.array(keys_of(a, b))], ["a", "b", "f", "key"])
 
     counts = ids.mapInArrow(_count_pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     pairs = materialize(counts.mapInArrow(add_key, "a long, b long, f long, key long"))

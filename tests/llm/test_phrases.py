@@ -102,7 +102,8 @@ def test_tiles(spread):
         want.update(zip(a.tolist(), b.tolist(), strict=True))
     got = Counter()
     for batch in tiles.take():
-        got.update(dict(zip(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True), batch.column("n").to_pylist(), strict=True)))
+        a, b = phrases.unpacked(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+        got.update(dict(zip(zip(a.tolist(), b.tolist(), strict=True), batch.column("n").to_pylist(), strict=True)))
     assert got == want and not tiles.sparse
 
 
