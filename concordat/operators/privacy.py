@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from concordat.functions import squeeze
 from concordat.operators.common import lookup_join
+from concordat.session import materialize
 
 # Patterns of personal data in free text.
 EMAIL = r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"
@@ -18,7 +19,8 @@ LAST_NAME = r"(Nom)([A-ZÀÉÈÊËÏÎÔÙÛÜ]+)(?=Prénom|KPEP|Adresse|\s|$)"
 FIRST_NAME = r"(Prénom)([A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30}(?:-[A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30})*)"
 KPEP = r"(KPEP)(\d{10,20})"
 MIN_NAME = 3
-_SHORT, _LONG = 3, 8
+#: Widths of grams, and 64-bit words of the table of bits that marks grams.
+_SHORT, _LONG, _WORDS = 3, 8, 1 << 14
 _SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
 
 
@@ -50,28 +52,76 @@ def redact_text(text: Column) -> Column:
     return F.regexp_replace(out, KPEP, "$1[CLE]")
 
 
-def _seeds(text: Column, width: int) -> Column:
+def _grams(text: Column, width: int) -> Column:
     """Distinct substrings of a fixed width of the whole text, in one linear scan."""
     at_every_place = F.lit("(?s)(?=(.{%d}))" % width)
     return F.array_distinct(F.regexp_extract_all(text, at_every_place, F.lit(1)))
 
 
+def _bit(gram: Column) -> tuple[Column, Column]:
+    """Word and bit of a gram in the table of bits."""
+    h = F.xxhash64(gram)
+    return F.shiftright(h, 6).bitwiseAND(_WORDS - 1), h.bitwiseAND(63).cast("int")
+
+
+def _bits(grams: DataFrame) -> DataFrame:
+    """One row ``__bits`` of fixed size (128 kB) that marks every ``gram``."""
+    word, bit = _bit(F.col("gram"))
+    words = grams.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b")).groupBy("word").agg(F.bit_or("b").alias("b"))
+    filled = grams.sparkSession.range(_WORDS).select(F.col("id").alias("word")).join(words, "word", "left")
+    cells = F.array_sort(F.collect_list(F.struct("word", F.coalesce("b", F.lit(0)).alias("b"))))
+    return filled.agg(F.transform(cells, lambda c: c["b"]).alias("__bits"))
+
+
+def _marked_grams(low: DataFrame, grams: DataFrame, text_id: str) -> DataFrame:
+    """``(text_id, gram)`` for the grams of each text that the table of bits marks.
+
+    The arrays of a text are filtered before they are exploded, so what leaves a text is what some name may need.
+    """
+    def marked(g: Column) -> Column:
+        word, bit = _bit(g)
+        return F.getbit(F.get("__bits", word.cast("int")), bit) == 1
+
+    both = F.concat(*[_grams(F.col("__low"), w) for w in (_SHORT, _LONG)])
+    rows = low.crossJoin(F.broadcast(_bits(grams)))  # one row
+    return rows.select(text_id, F.explode(F.filter(both, marked)).alias("gram"))
+
+
+def name_keys(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
+    """``(name, gram)``: the gram of each name that the fewest texts hold.
+
+    A long name is looked up by a gram of eight characters, another by one of three.  A name with a gram that no text
+    holds occurs nowhere and has no key.
+    """
+    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
+    places = F.sequence(F.lit(1), F.length("name") - width + 1)
+    parts = names.select("name", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr(F.col("name"), i, width)))).alias("gram"))
+    parts = materialize(parts)
+    counts = _marked_grams(low, parts.select("gram").distinct(), text_id).groupBy("gram").agg(F.count("*").alias("n"))
+    rated = lookup_join(parts, counts, ["gram"])
+    return rated.groupBy("name").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k")
+    ).where("k.n > 0").select("name", F.col("k.gram").alias("gram"))
+
+
+def known_name_candidates(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
+    """``(text_id, name)`` for the texts that hold the rarest gram of a name."""
+    keys = materialize(name_keys(low, names, text_id))
+    marked = _marked_grams(low, keys.select("gram").distinct(), text_id)
+    return marked.join(keys, "gram").select(text_id, "name")
+
+
 def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str) -> DataFrame:
     """Known names occurring in each text, as ``(text_id, names)`` with the longest first.
 
-    A name is looked up by its first characters, eight of a long name and three
-    of another.  Only ids and seeds meet the names; the text is joined back for
-    the hits that are left, and the whole name is then checked.  How the sides
-    are joined is left to adaptive execution.
+    A name is looked up by its rarest gram (:func:`name_keys`): one pass counts the grams of names over all texts, a
+    second hands on only ids of texts with the rarest gram of some name.  The text is joined back for those, and the
+    whole name is then checked.  How the sides are joined is left to adaptive execution.
     """
-    clean = names.select(squeeze(F.col(names.columns[0])).alias("name")).where(F.length("name") >= MIN_NAME)
-    clean = clean.select(F.lower("name").alias("name")).distinct()
-    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
-    keyed = clean.select("name", F.substr(F.col("name"), F.lit(1), width).alias("seed"))
+    clean = names.select(F.explode(F.array(*names.columns)).alias("name")).select(squeeze(F.col("name")).alias("name"))
+    clean = clean.where(F.length("name") >= MIN_NAME).select(F.lower("name").alias("name")).distinct()
     low = texts.select(text_id, F.lower(text).alias("__low"))
-    seeds = F.concat(_seeds(F.col("__low"), _SHORT), _seeds(F.col("__low"), _LONG))
-    found = low.select(text_id, F.explode(seeds).alias("seed")).join(keyed, "seed").select(text_id, "name").distinct()
-    rows = lookup_join(found, low, [text_id], "inner")
+    rows = lookup_join(known_name_candidates(low, clean, text_id), low, [text_id], "inner")
     checked = rows.where(F.contains("__low", "name")).select(text_id, "name").distinct()
     order = lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)
     return checked.groupBy(text_id).agg(F.array_sort(F.collect_set("name"), order).alias("names"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions import squeeze
+from concordat.operators.common import lookup_join
 
 SHEET = ("file", "sheet")
 
@@ -29,14 +30,20 @@ def extract_block(cells: DataFrame, marker: str) -> DataFrame:
     """Rows of the table starting under a marker row and ending at the first empty row.
 
     An empty row leaves a gap in the row numbers, so the block is the run of
-    consecutive rows after the marker.  Rows are told apart on their numbers
-    alone: the window sees one entry per row, not the cells.
+    consecutive rows after the marker, up to the first row whose predecessor is
+    missing.  No sheet is ordered: a row and its successor meet in one aggregate
+    by row number, whose partial sums spread a sheet of any size over all tasks,
+    and the first gap is a minimum per sheet.
     """
-    below = cells.join(marker_rows(cells, marker), list(SHEET)).where(F.col("row") > F.col("marker_row"))
-    rows = below.select(*SHEET, "row", "marker_row").distinct()
-    rank = F.row_number().over(Window.partitionBy(*SHEET).orderBy("row"))
-    block = rows.withColumn("k", rank).where(F.col("row") - F.col("marker_row") == F.col("k")).select(*SHEET, "row")
-    return below.drop("marker_row").join(block, [*SHEET, "row"], "left_semi")
+    marked = lookup_join(cells, marker_rows(cells, marker), list(SHEET), "inner")
+    below = marked.where(F.col("row") > F.col("marker_row"))
+    # The marker row counts as a predecessor only.
+    seen = F.explode(F.array(F.struct(F.col("row").alias("at"), (F.col("row") > F.col("marker_row")).alias("here")), F.struct((F.col("row") + 1).alias("at"), F.lit(False).alias("here"))))
+    rows = marked.where(F.col("row") >= F.col("marker_row")).select(*SHEET, seen.alias("s")).select(*SHEET, "s.at", "s.here")
+    met = rows.groupBy(*SHEET, "at").agg(F.bool_or("here").alias("here"), F.bool_and("here").alias("alone"))
+    ends = met.where("here and alone").groupBy(*SHEET).agg(F.min("at").alias("end_row"))
+    block = lookup_join(below, ends, list(SHEET))
+    return block.where(F.col("end_row").isNull() | (F.col("row") < F.col("end_row"))).drop("marker_row", "end_row")
 
 
 def extract_scalar(cells: DataFrame, patterns: Mapping[str, str], near: Sequence[int] = (0, -1, 1, -2, 2)) -> DataFrame:

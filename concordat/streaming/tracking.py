@@ -1,9 +1,9 @@
 """Incremental tracking: every arriving snapshot updates the tracking table.
 
 Arrivals are Parquet folders ``(flux_id, kind, kpep, motif)`` where kind is
-FOUND or ELIGIBLE.  The stream only decides which runs are new; the update is
-the batch operator, applied run by run and written as whole run partitions, so
-a replayed batch leaves the same table.
+FOUND or ELIGIBLE.  The stream only decides which files are new; the update is
+one pass over all runs of a batch, written as whole run partitions, so a
+replayed batch leaves the same table.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions import run_date
+from concordat.operators.common import lookup_join
 from concordat.session import materialize
 from concordat.sources import state
 
@@ -41,22 +42,29 @@ def apply_arrivals(batch: DataFrame, path: str, today: str) -> None:
     whichever arrives first: rows that come late are dated by the later runs
     that the table already knows.  So the table does not depend on how the files
     of a run fall into batches.
+
+    All runs of the batch are one pass: arrivals and table rows meet by run and
+    key, the last day a key was found is a maximum per key, and every row up to
+    that day is dated.  A dated row of the table proves that its key was found on
+    that run's day or later.  Runs whose rows changed are written whole, once.
     """
-    spark = batch.sparkSession
-    runs = [r[0] for r in batch.select("flux_id").distinct().orderBy(run_date(F.col("flux_id"))).collect()]
-    for run in runs:
-        rows = batch.where(F.col("flux_id") == run)
-        found, wanted = rows.where("kind = 'FOUND'").select("kpep"), rows.where("kind = 'ELIGIBLE'").select("kpep", "motif")
-        now = tracking_table(spark, path)
-        day, own = run_date(F.col("flux_id")), run_date(F.lit(run))
-        known = now.where((day > own) & F.col("date_found").isNotNull()).select("kpep")
-        updated = state.resolve_tracking(state.upsert_tracking(now, found, wanted, run, today), known, today)
-        earlier = now.where(day < own)
-        hit = found.select(F.btrim("kpep").alias("kpep")).distinct()
-        touched = earlier.where("date_found is null").join(hit, "kpep", "left_semi").select("flux_id").distinct()
-        resolved = state.resolve_tracking(earlier.join(touched, "flux_id", "left_semi"), found, today)
-        # Reading and rewriting the same folder: fix the rows before the write.
-        state.write_snapshot(materialize(updated.unionByName(resolved)), path)
+    new = batch.select(
+        "flux_id", F.when(F.col("kind") == "FOUND", F.btrim("kpep")).otherwise(F.col("kpep")).alias("kpep"),
+        (F.col("kind") == "FOUND").alias("found"), F.when(F.col("kind") == "ELIGIBLE", F.col("motif")).alias("m1"),
+    ).where("NOT found OR kpep <> ''")
+    new = new.groupBy("flux_id", "kpep").agg(F.bool_or("found").alias("found"), F.max("m1").alias("m1"), F.lit(True).alias("arrived"))
+    old = tracking_table(batch.sparkSession, path).select("flux_id", "kpep", F.col("date_found").alias("d0"), F.col("motif").alias("m0"))
+    rows = old.join(new, ["flux_id", "kpep"], "full_outer").withColumn("day", run_date(F.col("flux_id")))
+    proof = F.when(F.coalesce("found", F.lit(False)) | F.col("d0").isNotNull(), F.col("day"))
+    last = rows.groupBy("kpep").agg(F.max(proof).alias("last")).where("last IS NOT NULL")
+    dated = lookup_join(rows, last, ["kpep"]).select(
+        "flux_id", "kpep", F.coalesce("d0", F.when(F.col("day") <= F.col("last"), F.lit(today).cast("date"))).alias("date_found"),
+        F.greatest("m0", "m1").alias("motif"), (F.coalesce("arrived", F.lit(False)) | (F.col("d0").isNull() & (F.col("day") <= F.col("last")))).alias("changed"),
+    )
+    # Reading and rewriting the same folder: fix the rows before the write.
+    dated = materialize(dated)
+    runs = dated.where("changed").select("flux_id").distinct()
+    state.write_snapshot(dated.drop("changed").join(runs, "flux_id", "left_semi"), path)
 
 
 def incremental_tracking(spark: SparkSession, arrivals: str, table: str, checkpoint: str, today: str, files_per_batch: int = 100) -> None:

@@ -329,6 +329,11 @@ RAW["descriptions"] = """
 SELECT k AS doc_id, concat('NomDURAND Prénom', substr('Jean-Pierre', 1, 4), ' ', kpep, ' Adresse ', mail, ' tel 06 12 34 56 78 ou +33 6.12.34.56.78 nir 1 85 05 78 006 084 36 fin') AS text
 FROM {persona}
 """
+# Call notes: the names of a person in running text, in capitals or not.
+RAW["notes"] = """
+SELECT k AS doc_id, concat('Appel de ', upper(coalesce(last_name, '?')), ' pour ', CASE WHEN bal > 5000 THEN first_name ELSE upper(first_name) END,
+  ', dossier ', kpep, CASE WHEN bal < 0 THEN concat(' (', coalesce(last_name, ''), ')') ELSE '.' END) AS text FROM {persona}
+"""
 
 # Tracking table of an earlier day, and snapshots of keys that arrive later.
 RAW["tracking_old"] = """

@@ -37,13 +37,16 @@ _SPARSE = "CASE WHEN offre NOT LIKE '1%' THEN {c} END AS {c}"  # empty first and
     f"SELECT {', '.join(_SPARSE.format(c=c) for c in _CSV[:2])}, {', '.join(_CSV[2:])} FROM member_base_raw"))
 def read_csv_snapshot(f):
     path = work_dir(f)
-    rows = f.member_base_raw.select(*_CSV).withColumns({c: F.when(~F.col("offre").startswith("1"), F.col(c)) for c in _CSV[:2]})
-    rows.write.option("sep", ";").option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "").csv(path + "/body")
-    head = f.spark.createDataFrame([("Extraction du jour;;",), (";".join(_CSV),)], "value string").coalesce(1)
-    # One file, as extracts come: preamble and header first, in the old encoding.
-    lines = head.unionByName(f.spark.read.text(path + "/body")).coalesce(1)
-    lines.write.option("sep", "\x01").option("quote", "").option("encoding", "iso-8859-1").option("ignoreTrailingWhiteSpace", "false").csv(path + "/all")
-    return fs.read_csv_snapshot(f.spark, path + "/all", preamble=1)
+    rows = f.member_base_raw.select("seq", *_CSV).withColumns({c: F.when(~F.col("offre").startswith("1"), F.col(c)) for c in _CSV[:2]})
+    part = F.floor(F.col("seq") / 4096).alias("part")
+    style = {"sep": ";", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
+    body = rows.select(part, F.lit(2).alias("place"), F.to_csv(F.struct(*_CSV), style).alias("value"))
+    head = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(("Extraction du jour;;", ";".join(_CSV)))])
+    lines = body.unionByName(body.select("part").distinct().select("part", F.inline(head)))
+    # One file a part, as extracts come: preamble and header first, in the old encoding.
+    out = lines.repartition("part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part")
+    out.option("sep", "\x01").option("quote", "").option("encoding", "iso-8859-1").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return fs.read_csv_snapshot(f.spark, path, preamble=1)
 
 
 @query("read_wrapped_csv", oracle(f"SELECT {', '.join(_CSV)} FROM member_base_raw"))
@@ -227,9 +230,9 @@ def pending_window(f):
     LEFT JOIN (SELECT DISTINCT flux_id, trim(kpep) AS kpep FROM arrivals WHERE kind = 'FOUND') own ON own.flux_id = e.flux_id AND own.kpep = e.kpep"""))
 def incremental_tracking(f):
     path = work_dir(f)
-    for kind in ("ELIGIBLE", "FOUND"):  # each run comes in two files, and each file in a batch of its own
-        f.arrivals.where(F.col("kind") == kind).coalesce(1).write.mode("append").parquet(path + "/in")
-    tr.incremental_tracking(f.spark, path + "/in", path + "/table", path + "/ckpt", "2001-03-01", files_per_batch=1)
+    # Runs and kinds come in files of their own, a few files in each batch.
+    f.arrivals.repartition("flux_id", "kind").write.parquet(path + "/in")
+    tr.incremental_tracking(f.spark, path + "/in", path + "/table", path + "/ckpt", "2001-03-01", files_per_batch=2)
     out = tr.tracking_table(f.spark, path + "/table")
     return out.withColumn("date_found", F.col("date_found").cast("string"))
 
@@ -263,11 +266,24 @@ def redact_text(f):
     return rows.withColumn("text", pv.redact_text(F.col("text")))
 
 
-@query("redact_known_names")
+_NAMES = "SELECT text AS name FROM benchmark UNION ALL SELECT last_name FROM persona UNION ALL SELECT first_name FROM persona"
+_QUOTED = "regexp_replace(name, '([\\.\\[\\]{}()*+?^$|\\-])', '\\\\\\1', 'g')"
+
+
+@query("redact_known_names", oracle(
+    f"""SELECT t.src, t.doc_id, CASE WHEN p IS NULL THEN text ELSE array_to_string(list_transform(list_zip(regexp_split_to_array(text, p),
+      list_transform(regexp_extract_all(text, p), lambda m: 'P-' || sha256('{_KEY}' || lower({q.strip('m')})))), lambda x: x[1] || coalesce(x[2], '')), '') END AS text
+    FROM known_texts t LEFT JOIN (SELECT src, doc_id, '(?i)' || string_agg({_QUOTED}, '|' ORDER BY length(name) DESC, name) AS p
+      FROM known_texts JOIN known ON contains(lower(text), name) GROUP BY src, doc_id) h ON h.src = t.src AND h.doc_id = t.doc_id""",
+    known=f"SELECT DISTINCT lower({q.strip('name')}) AS name FROM ({_NAMES}) n WHERE length({q.strip('name')}) >= {pv.MIN_NAME}",
+    known_texts="SELECT 'doc' AS src, doc_id, text FROM documents UNION ALL SELECT 'note', doc_id, text FROM notes"))
 def redact_known_names(f):
-    # Names: the first word of every benchmark passage.
-    names = f.benchmark.select(F.regexp_extract("text", r"^(\S+)", 1).alias("name"))
-    return pv.redact_known_names(f.documents.select("doc_id", "text"), names, "doc_id", "text", _KEY)
+    # Known names: whole benchmark passages, and the last and first names of all persons.
+    person = f.persona.select(F.explode(F.array("last_name", "first_name")).alias("name"))
+    names = f.benchmark.select(F.col("text").alias("name")).unionByName(person)
+    texts = f.documents.select(F.lit("doc").alias("src"), "doc_id", "text").unionByName(f.notes.select(F.lit("note").alias("src"), "doc_id", "text"))
+    known = pv.redact_known_names(texts.withColumn("key", F.struct("src", "doc_id")), names, "key", "text", _KEY)
+    return known.drop("key")
 
 
 _CL = (("emails", pv.EMAIL, 0), ("telephones", pv.PHONE, 0), ("nir", pv.NIR, 0), ("kpep", pv.KPEP, 2))

@@ -1,5 +1,7 @@
 """Files with unknown separators, encodings, preambles and parts."""
 
+import uuid
+
 from concordat.sources import columns as sc
 from concordat.sources import files as fs
 from concordat.sources import state as st
@@ -25,6 +27,63 @@ def test_preamble(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("A", "B"), ("C", "D")]
 
 
+def test_preamble_only_at_the_head_of_each_file(spark, tmp_path):
+    """Rows equal to the header or to a preamble line are rows; each of many files has a head of its own."""
+    want = []
+    for i in range(40):
+        rows = [f"{i};{k}" for k in range(5)] + ["nom;ville", "Extrait;du jour"]
+        put(tmp_path, f"p{i:02}.csv", "\n".join(["Extrait;du jour", "", "nom;ville", *rows]) + "\n")
+        want += [tuple(r.split(";")) for r in rows]
+    for splits in ("128m", "64"):  # also with every file in several splits
+        spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+        try:
+            df = fs.read_csv_snapshot(spark, str(tmp_path), preamble=1)
+            assert df.columns == ["nom", "ville"]
+            assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def jobs_of(spark, work):
+    """Number of Spark jobs that a call starts."""
+    sc = spark.sparkContext
+    group = uuid.uuid4().hex
+    sc.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_parts_need_the_same_jobs_for_one_file_and_for_500(spark, tmp_path):
+    counts = []
+    for n in (1, 500):
+        folder = tmp_path / f"n{n}"
+        folder.mkdir()
+        for i in range(n):
+            sep, name, text = ((",", "a", "Dupré"), (";", "b", "Lœuf"))[i % 2]
+            put(folder, f"Part{i}.csv", f"id{sep}{name}\n{i}{sep}{text}\n{i}{sep}z\n")
+
+        def read(folder=folder):
+            return fs.union_parts(spark, str(folder), "Part*.csv")
+
+        df, jobs = jobs_of(spark, read)
+        counts.append(jobs)
+        assert df.count() == 2 * n
+        assert {r["a"] for r in df.collect()} - {None} == {"Dupré", "z"}
+    assert counts[0] == counts[1] > 0, counts
+
+
+def test_parts_of_several_encodings(spark, tmp_path):
+    put(tmp_path, "Part1.csv", "nom,ville\nDupré,Orléans\n", "latin-1")
+    put(tmp_path, "Part2.csv", "\ufeffnom,ville\nDupré,Orléans\n")
+    put(tmp_path, "Part3 é.csv", 'ville,nom,nom\n"Or,l",A,B\n')
+    got = sorted(map(str, (tuple(r.asDict().items()) for r in fs.union_parts(spark, str(tmp_path), "Part*.csv").collect())))
+    assert len(got) == 3 and sum("('nom', 'Dupré'), ('ville', 'Orléans')" in g for g in got) == 2
+    assert "('nom1', 'A')" in got[-1] + got[0] + got[1] and "('nom2', 'B')" in got[-1] + got[0] + got[1]
+
+
 def test_wrapped_lines(spark, tmp_path):
     df = fs.read_wrapped_csv(spark, put(tmp_path, "w.csv", '"nom;ville"\n"""A"";B"\n"C;""D;E"""\n'))
     assert sorted(tuple(r) for r in df.collect()) == [("A", "B"), ("C", "D;E")]

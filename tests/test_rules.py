@@ -132,6 +132,37 @@ def test_known_names_against_brute_force(rows):
         assert re.sub(r"P-[0-9a-f]{64}", "#", got[i]) == rx.sub("#", text)
 
 
+def test_known_names_are_looked_up_by_their_rarest_gram(spark, rows):
+    """Names and texts share beginnings and common parts; only texts that hold a name leave the explode."""
+    texts = [f"monsieur le directeur general no {i:06d} est absent, monsieur le directeur est la" for i in range(3000)]
+    names = [f"Monsieur le directeur general No {i * 31:06d}" for i in range(90)] + ["monsieur le president", "zzz"]
+    docs = rows("id long, text string", *enumerate(texts))
+    low = docs.select("id", F.lower("text").alias("__low"))
+    clean = rows("name string", *[(n.lower(),) for n in names])
+    keys = {r["name"]: r["gram"] for r in pv.name_keys(low, clean, "id").collect()}
+    assert "zzz" not in keys and "monsieur le president" not in keys and len(keys) == 90
+    hits = {(i, n.lower()) for i, t in enumerate(texts) for n in names if n.lower() in t}
+    found = pv.known_name_candidates(low, clean, "id").collect()
+    assert hits <= {(r["id"], r["name"]) for r in found} and len(found) <= 12 * len(hits)
+    got = {(r["id"], n) for r in pv.known_name_hits(docs, rows("name string", *[(n,) for n in names]), "id", "text").collect() for n in r["names"]}
+    assert got == hits and len(hits) == 90
+
+
+def test_extract_block_spreads_one_giant_sheet(spark, rows):
+    from concordat.sources import grids as gr
+
+    cells = spark.range(1, 60_001).selectExpr("'f' AS file", "'s' AS sheet", "cast(id AS int) AS row", "1 AS col", "CASE WHEN id = 10 THEN ' Marque ' ELSE 'v' END AS value")
+    cells = cells.where("row <> 50010")
+    block = gr.extract_block(cells, "marque")
+    plan = block._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    got = [r["row"] for r in block.select("row").collect()]
+    assert sorted(got) == list(range(11, 50_010))
+    met = rows("file string, sheet string, row int, col int, value string", ("a", "s", 1, 1, "m"), ("a", "s", 3, 1, "x"), ("b", "s", 2, 1, "m"), ("b", "s", 3, 1, "x"), ("b", "s", 3, 2, "m"),
+               ("b", "s", 4, 1, "y"), ("c", "s", 1, 1, "x"), ("d", None, 1, 1, "m"))
+    assert sorted((r["file"], r["row"], r["col"]) for r in gr.extract_block(met, "M").collect()) == [("b", 3, 1), ("b", 3, 2), ("b", 4, 1)]
+
+
 def test_redact_text(rows):
     text = "a@b.fr 06 12 34 56 78 et +33 6.12.34.56.78, NomDUPONTPrénomJean-Marie KPEP1234567890 nir 1 85 05 78 006 084 36"
     got = rows("t string", (text,)).select(pv.redact_text(F.col("t"))).first()[0]
@@ -171,6 +202,29 @@ def test_tracking_does_not_depend_on_batches(spark, tmp_path):
     assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 9
 
 
+def test_tracking_writes_once_a_batch(spark, tmp_path, monkeypatch):
+    """Many runs in one batch are one write, and untouched runs keep their files."""
+    from concordat.streaming import tracking as tr
+
+    table, writes = str(tmp_path / "table"), []
+    plain = st.write_snapshot
+    monkeypatch.setattr(tr.state, "write_snapshot", lambda df, path, **kw: (writes.append(path), plain(df, path, **kw)))
+
+    def arrive(*rows):
+        tr.apply_arrivals(spark.createDataFrame(list(rows), tr.ARRIVAL), table, "2024-05-01")
+        return {(r["flux_id"], r["kpep"]): (r["date_found"] is not None, r["motif"]) for r in tr.tracking_table(spark, table).collect()}
+
+    months = [f"01{m:02}2024" for m in range(1, 13)]
+    got = arrive(*[(m, "ELIGIBLE", f"K{i}", None) for i, m in enumerate(months)], ("01062024", "FOUND", " K2 ", None), ("01062024", "FOUND", " ", None))
+    assert len(writes) == 1 and got[months[2], "K2"] == (True, None) and got["01062024", "K2"] == (True, None) and len(got) == 13
+    before = {p.parent.name: p.name for p in (tmp_path / "table").rglob("*.parquet")}
+    got = arrive(("01022024", "ELIGIBLE", "K2", "tard"), ("01122024", "FOUND", "K5", None))
+    after = {p.parent.name: p.name for p in (tmp_path / "table").rglob("*.parquet")}
+    assert len(writes) == 2 and got["01022024", "K2"] == (True, "tard") and got[months[5], "K5"][0] and not got[months[7], "K7"][0]
+    changed = {k for k in before if before[k] != after[k]}
+    assert changed == {"flux_id=01022024", "flux_id=01062024", "flux_id=01122024"}
+
+
 def test_history_lookup_newest_wins(rows):
     snap = rows("flux_id string, person_id string, member_type string, offer string, company string, adhesion_date string, effect_date string, seq long",
                 ("31012024", "1", "OLD", "", "", "", "", 1), ("01022024", "1", "NEW", "", "", "", "", 9), ("01022024", "1", "NEW2", "", "", "", "", 5), ("01032024", "1", "CUR", "", "", "", "", 1))
