@@ -78,5 +78,12 @@ def test_edges(clashing):
     assert found == sorted((str(i), *counts(t)) for i, t in rows)
 
 
+def test_rejects_symbols_among_many_clean_texts(docs, prose):
+    """The verdict goes beyond the base: one in twelve texts is full of symbols, none of them fails the base."""
+    rows = [(i, prose(i, 40 + i % 50, 5000)) for i in range(330)] + [(1000 + i, prose(i, 60, 5000).replace(" ", " *#")) for i in range(30)]
+    found = q.judge(docs(*rows)).collect()
+    assert not any(r.base_failed for r in found) and {r.doc_id for r in found if not r.kept} == {i for i, _ in rows if i >= 1000}
+
+
 def test_empty_table(docs):
     assert q.judge(docs()).count() == 0
