@@ -26,7 +26,8 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
 def historical_lookup(snapshots: DataFrame, current: str | None = None) -> DataFrame:
     """Attributes of every person from the newest snapshot holding them.
 
-    All snapshots count, without a cap; the current run is left out.
+    All snapshots count, without a cap; the current run is left out.  Where runs
+    come day by day, ``sources.newest`` keeps this result as a table instead.
     """
     rows = snapshots.where(F.coalesce("person_id", F.lit("")) != "").withColumn("__day", run_date(F.col("flux_id")))
     rows = rows.where("__day is not null")
@@ -40,12 +41,14 @@ def _pick(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(squeeze(c), F.lit("")) for c in cols], F.lit(""))
 
 
-def attribute_by_source_priority(ledger: DataFrame, snapshots: DataFrame, current: str) -> DataFrame:
+def attribute_by_source_priority(ledger: DataFrame, snapshots: DataFrame, current: str, past: DataFrame | None = None) -> DataFrame:
     """Fill missing ledger attributes and derive the card label.
 
     Sources in order: the row itself, the snapshot of the same run, the current
     snapshot, older snapshots.  The stored eligibility flag counts only when
-    the row itself carries its member type.
+    the row itself carries its member type.  ``past`` may hand in the newest
+    attributes before ``current`` (``sources.newest``); ``snapshots`` then need only
+    hold the runs of the ledger and the current one.
     """
     run = F.regexp_extract("source_file", r"^(\d{8})", 1)
     # The ledger is small beside the history: only its persons are ranked.
@@ -53,7 +56,7 @@ def attribute_by_source_priority(ledger: DataFrame, snapshots: DataFrame, curren
     usable = snapshots.where(F.coalesce("person_id", F.lit("")) != "")
     same = first_row(usable, ["flux_id", "person_id"], [F.col("seq")])
     now = first_row(usable.where(F.col("flux_id") == current), ["person_id"], [F.col("seq")])
-    past = historical_lookup(snapshots, current)
+    past = historical_lookup(snapshots, current) if past is None else past
 
     def side(df: DataFrame, mark: str, keys: list[str]) -> DataFrame:
         return df.select(*keys, *[F.col(c).alias(mark + c) for c in ATTRIBUTES])

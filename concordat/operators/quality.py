@@ -20,8 +20,9 @@ from concordat.operators.common import any_where, count_where, facts, first_row,
 from concordat.operators.matching import MATCHED, candidate_keys, is_real_kpep
 from concordat.operators.normalize import UNKNOWN_COMPANY, is_insured, is_spouse
 from concordat.operators.registry import registry_presence
-from concordat.operators.similarity import name_similarity
+from concordat.operators.similarity import name_similarity, similarity_bounds
 from concordat.operators.windows import top_n_per_dim
+from concordat.session import materialize
 
 # Fixed value: birth date of accounts created without a real one.
 PLACEHOLDER_BIRTH = "1900-01-01"
@@ -504,11 +505,33 @@ def account_quality(account_ref: DataFrame) -> DataFrame:
     return facts(wide, {"emails_partages": "emails_partages", **{c: (c, "n") for c in names}})
 
 
+_NAMES = ("last_name", "last_norm", "first_name", "first_norm")
+
+
+def doubtful_names(unequal: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Name pairs that are surely too unlike, and those that only the measure itself can tell.
+
+    Pairs whose bounds both lie on one side of the threshold are decided by built-in expressions.
+    """
+    low, high = similarity_bounds(*map(F.col, _NAMES))
+    # Room for rounding: a bound beside the threshold decides nothing.
+    bounded = unequal.withColumns({"__low": low, "__high": high})
+    open_pairs = bounded.where((F.col("__high") >= threshold - 1e-9) & (F.col("__low") < threshold + 1e-9))
+    return bounded.where(F.col("__high") < threshold - 1e-9).drop("__low", "__high"), open_pairs.drop("__low", "__high")
+
+
+def divergent_names(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Distinct name pairs less similar than the threshold, each with its number ``k``."""
+    unequal = materialize(pairs.groupBy(*_NAMES).agg(F.count("*").alias("k")))
+    far, doubtful = doubtful_names(unequal, threshold)
+    return far.unionByName(doubtful.where(name_similarity(*map(F.col, _NAMES)) < threshold))
+
+
 def attribute_divergence(member: DataFrame, matched: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Birth dates, names and e-mails that differ between contract and account.
 
     Each comparison has its own base; names are compared by similarity, on
-    rows where they are not simply equal.
+    rows where they are not simply equal and built-in bounds do not decide.
     """
     first = first_row(member.where(F.coalesce("person_id", F.lit("")) != ""), ["person_id"], [F.col("seq")]).select(
         "person_id", "birth_date", "last_name", "first_name", "contact_email"
@@ -532,12 +555,7 @@ def attribute_divergence(member: DataFrame, matched: DataFrame, threshold: float
     counted = pairs.agg(
         *[count_where(F.col(c)).alias(c + "_count") for c in ("b", "b_diff", "n", "m", "m_diff")]
     )
-    # Distinct unequal name pairs are scored once, with their multiplicity.
-    unequal = pairs.where("n_check").groupBy("last_name", "last_norm", "first_name", "first_norm").agg(F.count("*").alias("k"))
-    score = name_similarity(F.col("last_name"), F.col("last_norm"), F.col("first_name"), F.col("first_norm"))
-    far = unequal.withColumn("s", score).agg(
-        F.coalesce(F.sum(F.when(F.col("s") < threshold, F.col("k"))), F.lit(0)).alias("n_diff_count")
-    )
+    far = divergent_names(pairs.where("n_check"), threshold).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n_diff_count"))
     wide = counted.crossJoin(F.broadcast(far))  # one row each
     return facts(
         wide,

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions import squeeze
-from concordat.operators.common import count_where
+from concordat.operators.common import count_where, lookup_join
+from concordat.operators.quantiles import exact_percentiles
 from concordat.operators.windows import top_n_per_dim
+from concordat.session import materialize
 
 # Target days per priority and values that mean "not late".
 SLA_DAYS = {1: 0.5, 2: 1.0, 3: 3.0, 4: 5.0, 5: 10.0}
@@ -40,24 +42,24 @@ def timed(stock: DataFrame) -> DataFrame:
 def ticket_stock_kpis(stock: DataFrame) -> DataFrame:
     """Stock indicators overall and per priority as ``(scope, indicator, value)``.
 
-    Percentiles work on a histogram of durations built on the map side.
+    Counts and sums combine on the map side; durations are nearly all unlike, so
+    their percentiles come from brackets of a sketch (:func:`exact_percentiles`).
     """
     rows = timed(stock)
     late = F.col("late_time").isNotNull() & ~squeeze(F.col("late_time")).isin(*NOT_LATE)
-    closed, known = F.col("t_close").isNotNull(), F.col("days").isNotNull()
+    known = F.col("days").isNotNull()
     judged = known & F.col("target").isNotNull()
-    base = rows.groupBy("prio", "days", "target").agg(
-        F.count("*").alias("n"), count_where(closed).alias("clos"), count_where(late).alias("retard")
-    )
-    k = F.when(F.col("days").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    ok = F.col("days") <= F.col("target")
     stats = [
-        F.sum("n").alias("total"), F.sum("clos").alias("clos"), F.sum("retard").alias("n_en_retard"), F.sum(k).alias("n_mesures"),
-        F.sum(F.when(judged, F.col("n")).otherwise(0)).alias("sla_n"), F.sum(F.when(judged & ok, F.col("n")).otherwise(0)).alias("sla_ok"),
-        F.sum(F.col("days") * k).alias("sum_days"), F.min("days").alias("min_jours"), F.max("days").alias("max_jours"),
-        F.percentile("days", 0.5, k).alias("mediane"), F.percentile("days", 0.9, k).alias("p90"),
+        F.count("*").alias("total"), F.count("t_close").alias("clos"), count_where(late).alias("n_en_retard"), F.count("days").alias("n_mesures"),
+        count_where(judged).alias("sla_n"), count_where(judged & (F.col("days") <= F.col("target"))).alias("sla_ok"),
+        # Whole seconds add up exactly in any order.
+        (F.sum(F.round(F.col("days") * 86400).cast("bigint")) / F.lit(86400.0)).alias("sum_days"), F.min("days").alias("min_jours"), F.max("days").alias("max_jours"),
     ]
-    one = base.agg(*stats)
+    scopes = F.array_compact(F.array(F.lit("STOCK"), F.when(F.col("prio").isNotNull(), F.concat(F.lit("P"), F.col("prio").cast("string")))))
+    # Read three times below, so the joins behind the tickets run once.
+    spans = materialize(rows.where(known).select(F.explode(scopes).alias("scope"), "days"))
+    middle = exact_percentiles(spans, "scope", "days", {"mediane": 0.5, "p90": 0.9})
+    one = lookup_join(rows.agg(*stats).withColumn("scope", F.lit("STOCK")), middle, ["scope"])
     mean = F.round(F.try_divide(F.col("sum_days"), F.col("n_mesures").cast("double")), 1)
     measures = {
         "total": F.col("total"), "clos": F.col("clos"), "ouverts": F.col("total") - F.col("clos"),
@@ -74,8 +76,9 @@ def ticket_stock_kpis(stock: DataFrame) -> DataFrame:
         items = F.array(*[F.struct(F.lit(n).alias("indicator"), c.cast("double").alias("value")) for n, c in cols.items()])
         return df.select(scope.alias("scope"), F.inline(items))
 
-    by_prio = base.where("prio is not null and days is not null").groupBy("prio").agg(*stats)
-    return long(one, F.lit("STOCK"), measures).unionByName(long(by_prio, F.concat(F.lit("P"), F.col("prio").cast("string")), per_prio))
+    by_prio = rows.where(known & F.col("prio").isNotNull()).groupBy(F.concat(F.lit("P"), F.col("prio").cast("string")).alias("scope")).agg(*stats)
+    by_prio = lookup_join(by_prio, middle, ["scope"])
+    return long(one, F.col("scope"), measures).unionByName(long(by_prio, F.col("scope"), per_prio))
 
 
 def ticket_breakdowns(stock: DataFrame, dimensions: Sequence[str], top: int = 12) -> DataFrame:
@@ -114,18 +117,17 @@ def ticket_legacy_kpis(history: DataFrame, last: int = 24) -> DataFrame:
     """History indicators as ``(scope, label, value)``: totals, durations, breakdowns, recent months."""
     days = F.col("duration").try_cast("double")
     known = F.when(days > 0, days)
-    one = history.select(known.alias("d")).groupBy("d").agg(F.count("*").alias("n")).agg(
-        F.sum("n").alias("total"), F.sum(F.when(F.col("d").isNotNull(), F.col("n"))).alias("n_mesures"),
-        F.sum(F.col("d") * F.col("n")).alias("s"),
-        F.percentile("d", 0.5, F.when(F.col("d").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("mediane"),
-        F.percentile("d", 0.9, F.when(F.col("d").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("p90"),
-    )
+    rows = history.select(known.alias("d"), F.lit("HISTORIQUE").alias("scope"))
+    # Nine decimal places add up the same in any order.
+    total = F.sum(F.col("d").cast("decimal(28,9)")).cast("double").alias("s")
+    one = rows.agg(F.count("*").alias("total"), F.count("d").alias("n_mesures"), total).withColumn("scope", F.lit("HISTORIQUE"))
+    one = lookup_join(one, exact_percentiles(rows, "scope", "d", {"mediane": 0.5, "p90": 0.9}), ["scope"])
     cols = {
         "total": F.col("total"), "n_mesures": F.coalesce("n_mesures", F.lit(0)),
         "moyenne_jours": F.round(F.try_divide(F.col("s"), F.col("n_mesures").cast("double")), 1),
         "mediane_jours": F.round("mediane", 1), "p90_jours": F.round("p90", 1),
     }
-    out = one.select(F.lit("HISTORIQUE").alias("scope"), F.inline(F.array(*[F.struct(F.lit(n).alias("label"), c.cast("double").alias("value")) for n, c in cols.items()])))
+    out = one.select("scope", F.inline(F.array(*[F.struct(F.lit(n).alias("label"), c.cast("double").alias("value")) for n, c in cols.items()])))
     shown = ticket_breakdowns(history, ["theme", "subject"]).select("dim", "label", F.col("n").cast("double").alias("value"))
     out = out.unionByName(shown.select(F.col("dim").alias("scope"), "label", "value"))
     dated = history.select(excel_or_text_date(F.col("opened")).cast("string").alias("opened"), excel_or_text_date(F.col("closed")).cast("string").alias("closed"))

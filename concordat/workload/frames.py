@@ -236,6 +236,13 @@ SELECT l_orderkey AS dossier_id, l_linenumber AS op_no,
   o_custkey AS person_no
 FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey
 """
+# Patterns of boxes, as many as there are customers: exact, by beginning, by end, inside, with gaps.
+RAW["box_patterns"] = """
+SELECT CASE WHEN bal < 0 THEN concat('%', lpad(cast(k AS string), 6, '0')) WHEN bal < 3000 THEN concat(' DSI', lpad(cast(k AS string), 6, '0'))
+  WHEN bal < 3200 THEN concat('G_S%', cast(nat AS string)) WHEN bal < 5000 THEN concat('%', cast(k AS string), 'x%')
+  WHEN bal < 5200 THEN concat('%', lpad(cast(k AS string), 5, '0'), '%') ELSE concat('VDC', lpad(cast(k AS string), 5, '0'), '%') END AS pattern
+FROM {persona}
+"""
 # Claims received: one row per dossier.
 RAW["claim_heads"] = f"""
 SELECT o_orderkey AS dossier_id, cast(o_orderdate AS date) AS received, {_ORIGIN} AS origin,

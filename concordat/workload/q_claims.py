@@ -49,14 +49,17 @@ def month_floor_window(f):
 @query("pattern_list_filter", oracle(
     """SELECT 'origin' AS filtre, origin AS code, count(*) AS n FROM claim_ops WHERE origin LIKE 'TP%' OR origin LIKE 'OXA' GROUP BY 2
     UNION ALL SELECT 'offre', offer, count(*) FROM claim_ops WHERE offer IS NULL OR offer LIKE 'OFF1' GROUP BY 2
-    UNION ALL SELECT 'tout', 'x', count(*) FROM claim_ops"""))
+    UNION ALL SELECT 'tout', 'x', count(*) FROM claim_ops
+    UNION ALL SELECT 'table', box, count(*) FROM claim_ops WHERE box IN (SELECT box FROM (SELECT DISTINCT box FROM claim_ops) b
+      JOIN (SELECT DISTINCT trim(pattern) AS pattern FROM box_patterns) p ON box LIKE pattern) GROUP BY 2"""))
 def pattern_list_filter(f):
     ops = f.claim_ops
     a = fl.pattern_list_filter(ops, "origin", "TP%, OXA").groupBy(F.lit("origin").alias("filtre"), F.col("origin").alias("code"))
     b = fl.pattern_list_filter(ops, "offer", "NULL,OFF1").groupBy(F.lit("offre").alias("filtre"), F.col("offer").alias("code"))
     c = fl.pattern_list_filter(ops, "origin", "toutes").groupBy(F.lit("tout").alias("filtre"), F.lit("x").alias("code"))
     n = F.count("*").alias("n")
-    return a.agg(n).unionByName(b.agg(n)).unionByName(c.agg(n))
+    d = fl.pattern_table_filter(ops, "box", f.box_patterns).groupBy(F.lit("table").alias("filtre"), F.col("box").alias("code"))
+    return a.agg(n).unionByName(b.agg(n)).unionByName(c.agg(n)).unionByName(d.agg(n))
 
 
 _LIST = "('" + "', '".join(cl.FOLLOWED_ORIGINS) + "')"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from concordat.operators import activity as av
@@ -9,7 +11,10 @@ from concordat.operators import documents as dc
 from concordat.operators import lookups as lk
 from concordat.operators import matching as mt
 from concordat.operators import registry as rg
-from concordat.operators import sets as st
+from concordat.operators import sets as ss
+from concordat.session import checkpoint_dir
+from concordat.sources import newest as nw
+from concordat.sources import state as st
 from concordat.workload import canon
 from concordat.workload import oracle as q
 from concordat.workload.oracle import cnt, oracle
@@ -212,7 +217,12 @@ def retry_document(f):
 
 @query("historical_lookup", oracle("SELECT * FROM history"))
 def historical_lookup(f):
-    return lk.historical_lookup(canon.snapshots(f), canon.CURRENT_RUN)
+    # The state starts at an earlier run and is advanced by the runs since, one partition each.
+    path = f"{checkpoint_dir(f.spark).rstrip('/')}/concordat-{uuid.uuid4().hex}"
+    st.write_snapshot(canon.snapshots(f).select("person_id", "seq", *lk.ATTRIBUTES, "flux_id"), path + "/runs")
+    nw.bootstrap(f.spark, path + "/runs", path + "/newest", "31121999")
+    nw.advance(f.spark, path + "/runs", path + "/newest", "31122000")
+    return nw.newest_before(f.spark, path + "/newest", canon.CURRENT_RUN)
 
 
 @query("latest_snapshot", oracle("SELECT contract_id, person_id, flux_id FROM member WHERE flux_id = '31122001'"))
@@ -248,12 +258,12 @@ def id_set_ops(f):
     from concordat.operators.filters import scope_filter
 
     m = canon.member_base(f)
-    return st.id_set_ops(scope_filter(m, "ASSURE"), scope_filter(m, "CONJOINT"), "person_id")
+    return ss.id_set_ops(scope_filter(m, "ASSURE"), scope_filter(m, "CONJOINT"), "person_id")
 
 
 @query("distinct_values", oracle("SELECT DISTINCT kpep FROM member_base WHERE coalesce(kpep, '') <> ''"))
 def distinct_values(f):
-    return st.distinct_values(canon.member_base(f), "kpep")
+    return ss.distinct_values(canon.member_base(f), "kpep")
 
 
 _MAPPING = """SELECT DISTINCT upper(trim(o)) AS code, CASE WHEN o LIKE 'MESMEN%' OR o LIKE 'mesmen%' THEN 'MEN' WHEN o LIKE 'MESMEAE%' THEN 'MEAE'

@@ -280,7 +280,35 @@ def account_quality(f):
     return ql.account_quality(canon.account_ref(f))
 
 
-@query("attribute_divergence")
+# Matching blocks of two names: the longest common piece, the earliest first, then the same left and right of it.
+_BLOCK = ("list_extract(list_filter(flatten(list_transform(range(least(length(a), length(b)), 0, -1), lambda k: list_transform(range(1, length(a) - k + 2), "
+          "lambda i: {'k': k, 'i': i, 'j': strpos(b, substr(a, i, k))}))), lambda x: x.j > 0), 1)")
+
+
+def _ratio(a, b):
+    return f"(SELECT 2.0 * coalesce(max(s), 0) / (length({a}) + length({b})) FROM matching WHERE a0 = {a} AND b0 = {b})"
+
+
+def _known(*cols):
+    return " AND ".join(f"coalesce({c}, '') <> ''" for c in cols)
+
+
+_BASES = f"""SELECT coalesce(last_name, '') AS l0, coalesce(last_norm, '') AS l1, coalesce(first_name, '') AS f0, coalesce(first_norm, '') AS f1, contact_email, coalesce(email, '') AS email,
+ birth_date, birth_iso, birth_date <> '' AND birth_iso <> '' AND birth_date <> '1900-01-01' AND birth_iso <> '1900-01-01' AS b FROM matched m JOIN (
+ SELECT person_id, birth_date, last_name, first_name, contact_email FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY seq) AS rn FROM (
+   SELECT person_id, seq, birth_date, last_name, first_name, contact_email FROM member_base WHERE coalesce(person_id, '') <> '') r0) r WHERE rn = 1) r1 USING (person_id) WHERE m.src_rank IS NOT NULL"""
+
+
+@query("attribute_divergence", one(
+    f"""SELECT {cnt("b")} AS b, {cnt("b AND birth_date <> birth_iso")} AS bd, {cnt(_known("l0", "l1"))} AS n, {cnt("contact_email <> ''")} AS m,
+      {cnt("contact_email <> '' AND email <> contact_email")} AS md, {cnt(f"{_known('l0', 'l1')} AND NOT (l0 = l1 AND (f0 = f1 OR f0 = '' OR f1 = '')) AND ({_ratio('l0', 'l1')} + "
+      f"CASE WHEN f0 <> '' AND f1 <> '' THEN {_ratio('f0', 'f1')} ELSE 1.0 END) / 2 < 0.7")} AS nd FROM bases""",
+    {"ddn_differente": ("bd", "b"), "nom_divergent": ("nd", "n"), "email_different": ("md", "m")},
+    bases=_BASES,
+    blocks=f"""SELECT a0, b0, a0 AS a, b0 AS b, cast(0 AS bigint) AS m FROM (SELECT DISTINCT l0 AS a0, l1 AS b0 FROM bases UNION SELECT DISTINCT f0, f1 FROM bases) z
+      UNION ALL SELECT a0, b0, unnest([substr(a, 1, x.i - 1), substr(a, x.i + x.k)]), unnest([substr(b, 1, x.j - 1), substr(b, x.j + x.k)]), unnest([x.k, 0])
+      FROM (SELECT *, {_BLOCK} AS x FROM blocks WHERE a <> '' AND b <> '') y WHERE x IS NOT NULL""",
+    matching="SELECT a0, b0, sum(m) AS s FROM blocks GROUP BY 1, 2").replace("WITH ", "WITH RECURSIVE ", 1))
 def attribute_divergence(f):
     return ql.attribute_divergence(canon.member_base(f), canon.matched(f))
 

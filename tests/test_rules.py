@@ -163,6 +163,120 @@ def test_extract_block_spreads_one_giant_sheet(spark, rows):
     assert sorted((r["file"], r["row"], r["col"]) for r in gr.extract_block(met, "M").collect()) == [("b", 3, 1), ("b", 3, 2), ("b", 4, 1)]
 
 
+def test_pattern_table(spark, rows):
+    import random
+
+    from concordat.operators import filters as fl
+
+    draw = random.Random(3)
+    values = ["".join(draw.choice("abC9%_é") for _ in range(draw.randrange(0, 9))) for _ in range(400)] + [None]
+    df = rows("c string, n int", *[(v, i) for i, v in enumerate(values * 2)])
+    for _ in range(12):
+        pats = ["".join(draw.choice(["a", "b", "C", "9", "%", "%", "_", "é", "\\\\%", "\\\\_"]) for _ in range(draw.randrange(1, 6))) for _ in range(draw.randrange(1, 8))]
+        pats = [p.replace("\\\\", "\\") for p in pats] + draw.choice([[], ["NULL"], [" abC "]])
+        got = fl.pattern_table_filter(df, "c", rows("p string", *[(p,) for p in pats])).collect()
+        want = df.where(fl.matches_patterns(F.col("c"), ",".join(pats))).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), pats
+    assert fl.pattern_table_filter(df, "c", rows("p string", ("toutes",))).count() == 802
+    assert fl.pattern_table_filter(df, "c", rows("p string").where("false")).count() == 0
+
+
+def test_ten_thousand_patterns_without_a_nested_loop(spark):
+    from concordat.operators import filters as fl
+
+    df = spark.range(20_000).selectExpr("concat('BOX', lpad(id, 8, '0'), 'Z') AS c")
+    kinds = "CASE id % 5 WHEN 0 THEN concat('BOX', lpad(id, 8, '0'), 'Z') WHEN 1 THEN concat('BOX', lpad(id, 8, '0'), '%') WHEN 2 THEN concat('%', lpad(id, 8, '0'), 'Z') WHEN 3 THEN concat('%', lpad(id, 8, '0'), '%') ELSE concat('B_X', lpad(id, 8, '0'), '_') END"
+    out = fl.pattern_table_filter(df, "c", spark.range(10_000).selectExpr(f"{kinds} AS p"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Cross joins only meet tables of one row.
+    assert plan.count("BroadcastNestedLoopJoin") == 2 and "CartesianProduct" not in plan
+    assert out.count() == 10_000
+
+
+def test_exact_percentiles(spark, rows, monkeypatch):
+    import numpy as np
+
+    from concordat.operators import quantiles as qt
+
+    draw = np.random.default_rng(7)
+    data = {"a": draw.lognormal(3, 2, 30_000), "b": draw.integers(0, 5, 7000).astype(float), "c": np.array([4.0]), "d": np.array([1.0, 2.0]), "hot": np.append(np.full(20_000, 3.5), draw.random(9000))}
+    df = spark.createDataFrame([(k, float(x)) for k, v in data.items() for x in v] + [("a", None), ("e", None)], "k string, v double")
+    want = {k: (np.percentile(v, 50), np.percentile(v, 90), v.min()) for k, v in data.items()}
+
+    def got():
+        out = qt.exact_percentiles(df, "k", "v", {"m": 0.5, "p": 0.9, "least": 0.0})
+        return {r["k"]: (r["m"], r["p"], r["least"]) for r in out.collect()}
+
+    for k, x in got().items():
+        assert np.allclose(x, want[k], rtol=1e-12, atol=0), k
+    inside = qt.brackets(df.where("v is not null"), "k", "v", {"m": 0.5}).where("k = 'a'").first()
+    assert ((data["a"] >= inside["low"]) & (data["a"] <= inside["high"])).mean() < 0.02
+    # A bracket that misses its places is widened.
+    monkeypatch.setattr(qt, "MARGIN", -0.01)
+    for k, x in got().items():
+        assert np.allclose(x, want[k], rtol=1e-12, atol=0), k
+
+
+def test_similarity_bounds_enclose_the_measure(rows):
+    import random
+    from difflib import SequenceMatcher
+
+    from concordat.operators import quality as ql
+    from concordat.operators import similarity as sm
+
+    draw = random.Random(5)
+    name = lambda: "".join(draw.choice("ABCé- ") for _ in range(draw.randrange(0, 9)))
+    pairs = [(name(), name(), name(), name()) for _ in range(300)] + [("", "", "", ""), ("DURAND", "DURANT", "ANNE", ""), ("A", "A", "B", "B")]
+    df = rows("last_name string, last_norm string, first_name string, first_norm string", *pairs)
+    low, high = sm.similarity_bounds(*map(F.col, ql._NAMES))
+    for r in df.select(*ql._NAMES, low.alias("low"), high.alias("high")).collect():
+        ratio = lambda a, b: SequenceMatcher(None, a, b).ratio()
+        s = (ratio(r[0], r[1]) + (ratio(r[2], r[3]) if r[2] and r[3] else 1.0)) / 2
+        assert r["low"] - 1e-9 <= s <= r["high"] + 1e-9, r
+    want = {p for p in pairs if (SequenceMatcher(None, p[0], p[1]).ratio() + (SequenceMatcher(None, p[2], p[3]).ratio() if p[2] and p[3] else 1.0)) / 2 < 0.7}
+    assert {tuple(r)[:4] for r in ql.divergent_names(df, 0.7).collect()} == want
+    # Unlike names and names with a common beginning need no Python.
+    clear = rows("last_name string, last_norm string, first_name string, first_norm string", *[(f"DURAND{i:04}", f"DURAND{i:04}X", "ANNE", "ANNE") for i in range(200)], *[(f"XYZ{i}", "BOUQUET", "LOU", "TIA") for i in range(200)])
+    far, doubtful = ql.doubtful_names(clear, 0.7)
+    assert far.count() == 200 and doubtful.count() == 0
+
+
+def test_newest_attributes_read_one_partition(spark, tmp_path, rows):
+    from concordat.sources import newest as nw
+
+    schema = "flux_id string, person_id string, member_type string, offer string, company string, adhesion_date string, effect_date string, seq long"
+    runs = ["31122023", "15012024", "01022024", "03022024"]
+    data = [(r, str(p), f"T{r}{p}", "o", "c", "", "", p) for i, r in enumerate(runs) for p in range(i, 12, i + 1)] + [("01022024", "3", "second", "", "", "", "", 99), ("01022024", "", "none", "", "", "", "", 1)]
+    snaps, state = str(tmp_path / "s"), str(tmp_path / "n")
+    table = rows(schema, *data)
+    st.write_snapshot(table, snaps)
+
+    def want(current):
+        day = lambda r: r[4:] + r[2:4] + r[:2]
+        return sorted(map(str, lk.historical_lookup(table.where(F.col("flux_id").isin([r for r in runs if day(r) < day(current)]))).collect()))
+
+    def found(current):
+        return sorted(map(str, nw.newest_before(spark, state, current).collect()))
+
+    nw.bootstrap(spark, snaps, state, runs[0])
+    assert nw.advance(spark, snaps, state, runs[2]) == [runs[2]]
+    # A late run is entered in its place and later partitions follow.
+    assert nw.advance(spark, snaps, state, runs[1]) == [runs[1], runs[2]]
+    nw.advance(spark, snaps, state, runs[3])
+    for current in (*runs[1:], "01012030"):
+        assert found(current) == want(current)
+    assert found("01012000") == []
+    plan = nw.merged(spark, snaps, state, runs[3], runs[2])._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.split("PartitionFilters: ")[1:]]
+    assert len(filters) >= 2 and all(x.startswith("[isnotnull(flux_id") and f"= {runs[3]}" in x[:90] or f"= {runs[2]}" in x[:90] for x in filters)
+    current = rows(schema, *[d for d in data if d[0] == runs[3]])
+    ledger = rows("source_file string, person_id string, member_type string, offer string, company string, adhesion_date string, effect_date string, eligible string, card_value string",
+                  *[("03022024_KO.csv", str(p), "", "", "", "", "", "", "") for p in range(12)])
+    full = lk.attribute_by_source_priority(ledger, table, runs[3])
+    short = lk.attribute_by_source_priority(ledger, current, runs[3], nw.newest_before(spark, state, runs[3]))
+    assert sorted(map(str, full.collect())) == sorted(map(str, short.collect()))
+
+
 def test_redact_text(rows):
     text = "a@b.fr 06 12 34 56 78 et +33 6.12.34.56.78, NomDUPONTPrénomJean-Marie KPEP1234567890 nir 1 85 05 78 006 084 36"
     got = rows("t string", (text,)).select(pv.redact_text(F.col("t"))).first()[0]
