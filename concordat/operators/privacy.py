@@ -53,9 +53,16 @@ def redact_text(text: Column) -> Column:
 
 
 def _grams(text: Column, width: int) -> Column:
-    """Distinct substrings of a fixed width of the whole text, in one linear scan."""
-    at_every_place = F.lit("(?s)(?=(.{%d}))" % width)
-    return F.array_distinct(F.regexp_extract_all(text, at_every_place, F.lit(1)))
+    """Substrings of a fixed width at every place of the whole text, in one linear scan."""
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % width), F.lit(1))
+
+
+def _name_grams(names: DataFrame) -> DataFrame:
+    """``(name, width, gram)``: all grams of each name, of eight characters if it is that long, else of three."""
+    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
+    places = F.sequence(F.lit(1), F.length("name") - F.col("width") + 1)
+    rows = names.select("name", width.alias("width"))
+    return rows.select("name", "width", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr("name", i, F.col("width"))))).alias("gram"))
 
 
 def _bit(gram: Column) -> tuple[Column, Column]:
@@ -64,44 +71,44 @@ def _bit(gram: Column) -> tuple[Column, Column]:
     return F.shiftright(h, 6).bitwiseAND(_WORDS - 1), h.bitwiseAND(63).cast("int")
 
 
-def _bits(grams: DataFrame) -> DataFrame:
-    """One row ``__bits`` of fixed size (128 kB) that marks every ``gram``."""
+def _bits(grams: DataFrame) -> tuple[Column, list[int]]:
+    """A constant of fixed size (128 kB) that marks every ``gram``, and the widths there are."""
     word, bit = _bit(F.col("gram"))
-    words = grams.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b")).groupBy("word").agg(F.bit_or("b").alias("b"))
-    filled = grams.sparkSession.range(_WORDS).select(F.col("id").alias("word")).join(words, "word", "left")
-    cells = F.array_sort(F.collect_list(F.struct("word", F.coalesce("b", F.lit(0)).alias("b"))))
-    return filled.agg(F.transform(cells, lambda c: c["b"]).alias("__bits"))
+    words = grams.select(word.cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"), F.length("gram").alias("width"))
+    filled = words.groupBy("word").agg(F.bit_or("b").alias("b"), F.collect_set("width").alias("widths")).collect()  # _WORDS rows at most
+    cells, widths = [0] * _WORDS, set()
+    for r in filled:
+        cells[r["word"]] = r["b"]
+        widths.update(r["widths"])
+    return F.from_json(F.lit(str(cells)), "array<bigint>"), sorted(widths)
 
 
 def _marked_grams(low: DataFrame, grams: DataFrame, text_id: str) -> DataFrame:
     """``(text_id, gram)`` for the grams of each text that the table of bits marks.
 
-    The arrays of a text are filtered before they are exploded, so what leaves a text is what some name may need.
+    The arrays of a text are filtered before they are exploded, so what leaves a text is what some name may need, and
+    texts are only cut into grams of a width that some name has.
     """
+    bits, widths = _bits(grams)
+
     def marked(g: Column) -> Column:
         word, bit = _bit(g)
-        return F.getbit(F.get("__bits", word.cast("int")), bit) == 1
+        return F.getbit(F.get(bits, word.cast("int")), bit) == 1
 
-    both = F.concat(*[_grams(F.col("__low"), w) for w in (_SHORT, _LONG)])
-    rows = low.crossJoin(F.broadcast(_bits(grams)))  # one row
-    return rows.select(text_id, F.explode(F.filter(both, marked)).alias("gram"))
+    parts = [F.filter(_grams(F.col("__low"), w), marked) for w in widths] or [F.array().cast("array<string>")]
+    return low.select(text_id, F.explode(F.array_distinct(F.concat(*parts))).alias("gram"))
 
 
 def name_keys(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
     """``(name, gram)``: the gram of each name that the fewest texts hold.
 
-    A long name is looked up by a gram of eight characters, another by one of three.  A name with a gram that no text
-    holds occurs nowhere and has no key.
+    A name with a gram that no text holds occurs nowhere and has no key.
     """
-    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
-    places = F.sequence(F.lit(1), F.length("name") - width + 1)
-    parts = names.select("name", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr(F.col("name"), i, width)))).alias("gram"))
-    parts = materialize(parts)
+    parts = materialize(_name_grams(names))
     counts = _marked_grams(low, parts.select("gram").distinct(), text_id).groupBy("gram").agg(F.count("*").alias("n"))
     rated = lookup_join(parts, counts, ["gram"])
-    return rated.groupBy("name").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k")
-    ).where("k.n > 0").select("name", F.col("k.gram").alias("gram"))
+    best = rated.groupBy("name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k"))
+    return best.where("k.n > 0").select("name", F.col("k.gram").alias("gram"))
 
 
 def known_name_candidates(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
@@ -111,6 +118,12 @@ def known_name_candidates(low: DataFrame, names: DataFrame, text_id: str) -> Dat
     return marked.join(keys, "gram").select(text_id, "name")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal a table of a few files over all cores; a table with more scan tasks than cores stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str) -> DataFrame:
     """Known names occurring in each text, as ``(text_id, names)`` with the longest first.
 
@@ -120,7 +133,7 @@ def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str)
     """
     clean = names.select(F.explode(F.array(*names.columns)).alias("name")).select(squeeze(F.col("name")).alias("name"))
     clean = clean.where(F.length("name") >= MIN_NAME).select(F.lower("name").alias("name")).distinct()
-    low = texts.select(text_id, F.lower(text).alias("__low"))
+    low = _spread(texts.select(text_id, F.lower(text).alias("__low")))
     rows = lookup_join(known_name_candidates(low, clean, text_id), low, [text_id], "inner")
     checked = rows.where(F.contains("__low", "name")).select(text_id, "name").distinct()
     order = lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)
