@@ -45,10 +45,14 @@ LOW_DOCUMENT_RATE = 5.0
 FEW = 20
 
 
+def variant_number(document: Column, *path: str) -> Column:
+    """Number at a path of a parsed document; NULL when absent or no number."""
+    return F.try_variant_get(document, "$" + "".join(f"['{p}']" for p in path), "double")
+
+
 def json_number(payload: Column, *path: str) -> Column:
-    """Number at a path of a JSON document; NULL when absent or no number."""
-    where = "$" + "".join(f"['{p}']" for p in path)
-    return F.get_json_object(payload, where).try_cast("double")
+    """Number at a path of a JSON text; NULL when absent or no number."""
+    return variant_number(F.try_parse_json(payload), *path)
 
 
 def nested_document(values: Mapping[tuple[str, ...], Column]) -> Column:
@@ -67,9 +71,10 @@ def nested_document(values: Mapping[tuple[str, ...], Column]) -> Column:
 
 
 def kpi_series(history: DataFrame, paths: Mapping[str, Sequence[str]] = KPI_PATHS) -> DataFrame:
-    """One row per run and indicator, from one pass over the documents."""
-    cells = F.array(*[F.struct(F.lit(k).alias("kpi"), json_number(F.col("payload"), *p).alias("value")) for k, p in paths.items()])
-    return history.select("flux_id", "date_import", F.inline(cells))
+    """One row per run and indicator; each document is parsed once, into a VARIANT."""
+    parsed = history.select("flux_id", "date_import", F.try_parse_json("payload").alias("doc"))
+    cells = F.array(*[F.struct(F.lit(k).alias("kpi"), variant_number(F.col("doc"), *p).alias("value")) for k, p in paths.items()])
+    return parsed.select("flux_id", "date_import", F.inline(cells))
 
 
 def threshold_table(spark: SparkSession) -> DataFrame:

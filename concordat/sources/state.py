@@ -6,10 +6,13 @@ whole partitions, so running it again changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions import run_date
 from concordat.operators.common import first_row, lookup_join
@@ -130,41 +133,53 @@ def pending_window(tracking: DataFrame, today: str) -> DataFrame:
 # ---- documents of nested values ---------------------------------------------------------
 
 
-def nesting(payload: Column) -> Column:
-    """How deep a JSON document is nested; brackets inside strings do not count."""
-    bare = F.regexp_replace(payload, r'"(?:[^"\\]++|\\.)*+"', "")
-    marks = F.filter(F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), ""), lambda c: c != "")
-    step = lambda at, c: F.when(c.isin("[", "{"), at + 1).otherwise(at - 1)
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
-    walk = F.aggregate(marks, zero, lambda s, c: F.struct(step(s["at"], c).alias("at"), F.greatest(s["most"], step(s["at"], c)).alias("most")))
-    return walk["most"]
+def _leaves(value, path: str, sep: str) -> Iterator[tuple[str, str | None]]:
+    """Paths and texts of the leaves below a parsed value."""
+    stack = [(path, value)]
+    while stack:
+        path, value = stack.pop()
+        if isinstance(value, dict):
+            stack += [(f"{path}{sep}{k}" if path else k, v) for k, v in reversed(value.items())]
+        elif isinstance(value, list) and any(isinstance(v, dict | list) for v in value):
+            stack += [(f"{path} [{i}]", v) for i, v in reversed(list(enumerate(value)))]
+        elif isinstance(value, list):
+            yield path, ", ".join("" if v is None else _plain(v) for v in value)
+        else:
+            yield path, None if value is None else _plain(value)
+
+
+def _plain(value) -> str:
+    """A plain value as its JSON text; numbers keep theirs."""
+    return str(value).lower() if isinstance(value, bool) else value
+
+
+def _parsed(text: str):
+    """A document with numbers as their text; anything else is one value."""
+    if text.lstrip()[:1] not in ("{", "["):
+        return text
+    try:
+        return json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+    except (ValueError, RecursionError):
+        return text
 
 
 def flatten_payload(docs: DataFrame, payload: str, keys: Sequence[str], sep: str = " › ") -> DataFrame:
     """Leaves of nested JSON documents as ``(path, value)`` rows, however deep.
 
-    Lists of plain values are joined, lists of objects are numbered.  The
-    deepest document decides how many levels are unfolded.
+    Lists of plain values are joined, lists of objects are numbered.  A text that is
+    no document is one leaf with an empty path.  Each document is parsed once, in
+    Arrow batches: no plan of fixed depth can walk documents of unknown depth, and
+    a depth found first would be a job on the driver.  Texts inside a document that
+    look like JSON stay texts.
     """
-    depth = docs.agg(F.max(nesting(F.col(payload)))).first()[0] or 0
-    entry = "array<struct<path:string,value:string>>"
-
-    def step(e):
-        as_map = F.from_json(e["value"], "map<string,string>")
-        as_list = F.from_json(e["value"], "array<string>")
-        nested = F.exists(as_list, lambda v: F.coalesce(v.rlike(r"^\s*[\[{]"), F.lit(False)))
-        child = F.transform(F.map_entries(as_map), lambda kv: F.struct(
-            F.when(e["path"] == "", kv["key"]).otherwise(F.concat(e["path"], F.lit(sep), kv["key"])).alias("path"), kv["value"].alias("value")))
-        items = F.transform(as_list, lambda v, i: F.struct(F.concat(e["path"], F.lit(" ["), i.cast("string"), F.lit("]")).alias("path"), v.alias("value")))
-        text = F.transform(as_list, lambda v: F.coalesce(v, F.lit("")))
-        joined = F.array(F.struct(e["path"].alias("path"), F.array_join(text, ", ").alias("value")))
-        return (
-            F.when(e["value"].rlike(r"^\s*\{") & as_map.isNotNull(), child)
-            .when(e["value"].rlike(r"^\s*\[") & as_list.isNotNull(), F.when(nested, items).otherwise(joined))
-            .otherwise(F.array(F.struct(e["path"].alias("path"), e["value"].alias("value"))))
-        )
-
-    rows = docs.select(*keys, F.array(F.struct(F.lit("").alias("path"), F.col(payload).alias("value"))).cast(entry).alias("e"))
-    for _ in range(depth):
-        rows = rows.select(*keys, F.flatten(F.transform("e", step)).alias("e"))
-    return rows.select(*keys, F.inline("e"))
+    kept = [f for f in docs.select(*keys).schema.fields]
+    schema = T.StructType([*kept, T.StructField("path", T.StringType()), T.StructField("value", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, *leaf) for i, text in enumerate(batch.column(payload).to_pylist()) for leaf in _leaves(None if text is None else _parsed(text), "", sep)]
+            at, paths, values = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [])
+            columns = [batch.column(k).take(pa.array(at, pa.int64())) for k in keys]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(paths, pa.string()), pa.array(values, pa.string())], [*keys, "path", "value"])
+
+    return docs.select(*keys, payload).mapInArrow(run, schema)

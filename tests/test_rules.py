@@ -311,6 +311,28 @@ def test_flatten_payload_however_deep(rows):
     assert found[3, "a [0]"] == "1, 2" and found[3, "a [1] › b"] == "3"
 
 
+def test_flatten_payload_runs_no_job_and_keeps_texts(spark, rows):
+    docs = rows("id long, p string", (1, '{"a": 1.50, "b": true, "c": [], "d": {}, "e": "{\\"x\\": 1}", "f": [null, 2e3], "g": null}'), (2, "plain"), (3, "{broken"), (4, "[[1], 2]"), (5, ""))
+    sc = spark.sparkContext
+    sc.setJobGroup("flatten-plan", "")
+    out = st.flatten_payload(docs, "p", ["id"])
+    assert not sc.statusTracker().getJobIdsForGroup("flatten-plan")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    got = {(r["id"], r["path"]): r["value"] for r in out.collect()}
+    assert got == {(1, "a"): "1.50", (1, "b"): "true", (1, "c"): "", (1, "e"): '{"x": 1}', (1, "f"): ", 2e3", (1, "g"): None, (2, ""): "plain", (3, ""): "{broken", (4, " [0]"): "1", (4, " [1]"): "2", (5, ""): ""}
+
+
+def test_kpi_series_parses_once(rows):
+    from concordat.plans import supervision as sv
+
+    h = rows("flux_id string, date_import string, payload string", ("01012024", "", '{"a b": {"c": 12.50, "d": "7", "e": "x", "f": null}}'), ("02012024", "", "{bad"), ("03012024", "", None))
+    paths = {k: ("a b", k) for k in "cdefg"}
+    got = {(r["flux_id"], r["kpi"]): r["value"] for r in sv.kpi_series(h, paths).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {("01012024", "c"): 12.5, ("01012024", "d"): 7.0} and len(got) == 15
+    plan = sv.kpi_series(h, paths)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.lower().count("parsejson") <= 2
+
+
 def test_tracking_does_not_depend_on_batches(spark, tmp_path):
     from concordat.streaming import tracking as tr
 
