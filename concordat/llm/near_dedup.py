@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.llm import sketch
@@ -25,6 +25,8 @@ FLUSH, CHUNK, TOKEN_BITS = 3 << 20, 1 << 15, 49
 #: Bins of the one-permutation sketch that rules out pairs before texts are fetched, and its slack in
 #: standard deviations.
 BINS, DEVIATIONS = 128, 4
+#: Values of a bin in the short form of the sketch that goes along where many texts of a bucket meet.
+NIBBLES = 15
 #: Of 30 four-bit samples, those that texts of similarity 0.8 share with a chance of all but 0.00005.
 AGREE = 16
 
@@ -155,16 +157,41 @@ def bins(found: Shingles) -> np.ndarray:
     return out
 
 
-def least_share(similarity: float) -> float:
+def least_share(similarity: float, values: float = float("inf")) -> float:
     """Share of equal bins below which texts are not of this weighted similarity.
 
     Rarity may weigh what texts share up to ``1 + RARITY_SHARE`` times what they do not, so their
-    occurrences can be a little less alike; the sketch's own error comes below that.
+    occurrences can be a little less alike; the sketch's own error comes below that.  Of bins with
+    few ``values``, unlike ones are equal by chance.
     """
     alike = similarity / (similarity + (1 - similarity) * (1 + RARITY_SHARE))
+    alike += (1 - alike) / values
     return alike - DEVIATIONS * (alike * (1 - alike) / BINS) ** 0.5
 
 
+def nibbles(found: np.ndarray) -> np.ndarray:
+    """Bins in four bits each, 0 where there is nothing, sixteen to a number."""
+    short = np.where(found > 0, found.astype(np.int64) % NIBBLES + 1, 0).astype(U64).reshape(len(found), -1, 16)
+    return (short << (U64(4) * np.arange(16, dtype=U64))).sum(axis=2, dtype=U64)
+
+
+def _alike(x: str, y: str, similarity: float) -> Column:
+    """Whether the four-bit bins of two texts leave the similarity possible, in built-in bit counts."""
+    fill = F.lit(0x1111111111111111)
+
+    def filled(bits: Column) -> Column:
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 1))
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 2))
+        return F.bit_count(bits.bitwiseAND(fill))
+
+    unlike, either = F.lit(0), F.lit(0)
+    for k in range(BINS // 16):
+        a, b = F.col(x)[k], F.col(y)[k]
+        unlike = unlike + filled(a.bitwiseXOR(b))
+        either = either + filled(a.bitwiseOR(b))
+    return either - unlike >= either * F.lit(least_share(similarity, NIBBLES))
+
+
 def _node(data: bytes) -> bytes:
     return hashlib.md5(data).digest()
 
@@ -176,20 +203,23 @@ def _signature_task(counted, n_docs: int):
             drawn = samples(found, weights(found, counted.value, n_docs))
             filled = np.diff(found.bounds) > 0
             keys = np.zeros((len(texts), BANDS), U64)
-            nibbles = np.zeros((len(texts), 2), U64)
+            drawn_bits = np.zeros((len(texts), 2), U64)
             if len(drawn):
                 keys[filled] = np.stack(
                     [mix(mix(mix(drawn[:, b * ROWS] + U64(b)) ^ drawn[:, b * ROWS + 1]) ^ drawn[:, b * ROWS + 2]) for b in range(BANDS)], axis=1
                 )
                 for half in (0, 1):
                     for j in range(15):
-                        nibbles[filled, half] |= (drawn[:, half * 15 + j] & U64(15)) << U64(4 * j)
+                        drawn_bits[filled, half] |= (drawn[:, half * 15 + j] & U64(15)) << U64(4 * j)
             ends = np.concatenate(([0], np.cumsum(np.where(filled, BANDS, 0)))).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[filled].ravel().view("<i8")))
-            sketches = pa.array([x.tobytes() for x in bins(found)], pa.binary())
+            binned = bins(found)
+            sketches = pa.array([x.tobytes() for x in binned], pa.binary())
             columns = [pa.array(ids, pa.int64()), pa.array([_node(t) for t in texts], pa.binary()), bands, sketches]
-            columns += [pa.array(nibbles[:, k].copy().view("<i8")) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "bands", "sketch", "n0", "n1"])
+            columns += [pa.array(drawn_bits[:, k].copy().view("<i8")) for k in (0, 1)]
+            short = pa.array(nibbles(binned).ravel().view("<i8"))
+            columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * (BINS // 16)), short))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "bands", "sketch", "n0", "n1", "short"])
 
     return run
 
@@ -349,8 +379,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_docs = docs.count()
     counted = spark.sparkContext.broadcast(frequencies(docs))
-    rows = saved(docs.mapInArrow(_signature_task(counted, n_docs), "doc_id long, node binary, bands array<long>, sketch binary, n0 long, n1 long"))
-    firsts = {c: F.first(c).alias(c) for c in ("bands", "sketch", "n0", "n1")}
+    rows = saved(docs.mapInArrow(_signature_task(counted, n_docs), "doc_id long, node binary, bands array<long>, sketch binary, n0 long, n1 long, short array<long>"))
+    firsts = {c: F.first(c).alias(c) for c in ("bands", "sketch", "n0", "n1", "short")}
     nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), *firsts.values()))
     placed = nodes.select("node", "least_id", "n0", "n1", F.explode("bands").alias("band"))
     hubs = saved(
@@ -372,16 +402,17 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     spokes = contested.join(middle, "band").where("root != b_root").select(F.col("node").alias("a"), "b").distinct()
     links = links.unionByName(_links(docs, spokes, nodes, counted, n_docs, similarity))
     roots = components(links)
-    contested = _contested(contested.drop("root", "main"), roots)
+    contested = _contested(contested.drop("root", "main"), roots).join(nodes.select("node", "short"), "node")
     outside = contested.where("root != main").select(
-        F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("able").alias("a_able"), F.col("single").alias("a_single")
+        F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("able").alias("a_able"), F.col("single").alias("a_single"), F.col("short").alias("a_short")
     )
     most = F.least("able", "a_able")
     # All of one text and what only the other has lie in their union.
     single = F.col("single") + F.col("a_single")
     possible = most >= similarity * (F.greatest("able", "a_able") + single) - 1e-3
     agree = _agreement("n0", "m0") + _agreement("n1", "m1") >= AGREE
-    rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree)
+    # The sketches decide inside the join, so pairs that they rule out are never rows.
+    rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree & _alike("short", "a_short", similarity))
     again = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     more = _links(docs, again, nodes, counted, n_docs, similarity)
     if more.limit(1).count():
