@@ -111,18 +111,3 @@ def test_edges(clashing, docs, prose):
     kept = n.keep_first(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, None), (3, " \n"), (4, "one two"), (7, long), (9, "a b c d e f"), (9, "other")]
-
-
-def test_short_sketches_in_bit_counts(spark):
-    """The built-in count of equal four-bit bins equals the plain one, empty bins left out."""
-    draw = np.random.default_rng(8)
-    found = draw.integers(0, 1 << 16, (60, n.BINS)).astype("<u2")
-    found[draw.random(found.shape) < 0.3] = 0
-    other = np.where(draw.random(found.shape) < np.linspace(0, 1, 60)[:, None], found, draw.permutation(found)).astype("<u2")
-    x, y = n.nibbles(found), n.nibbles(other)
-    rows = [(i, *([int(v) for v in z[i].view("<i8")] for z in (x, y))) for i in range(60)]
-    got = dict(spark.createDataFrame(rows, "i int, x array<long>, y array<long>").select("i", n._alike("x", "y", 0.8)).collect())
-    short = [np.where(z > 0, z.astype(int) % n.NIBBLES + 1, 0) for z in (found, other)]
-    same, either = ((short[0] == short[1]) & (short[0] > 0)).sum(1), ((short[0] > 0) | (short[1] > 0)).sum(1)
-    assert [got[i] for i in range(60)] == (same >= n.least_share(0.8, n.NIBBLES) * either).tolist()
-    assert 5 < sum(got.values()) < 55
