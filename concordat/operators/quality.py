@@ -543,7 +543,8 @@ def attribute_divergence(member: DataFrame, matched: DataFrame, threshold: float
         (F.col("first_name") == F.col("first_norm")) | (F.col("first_name") == "") | (F.col("first_norm") == "")
     )
     mails = F.col("contact_email") != ""
-    pairs = rows.select(
+    # Two aggregates read these rows; the matching behind them runs once.
+    pairs = materialize(rows.select(
         births.alias("b"),
         (births & (F.col("birth_date") != F.col("birth_iso"))).alias("b_diff"),
         names.alias("n"),
@@ -551,7 +552,7 @@ def attribute_divergence(member: DataFrame, matched: DataFrame, threshold: float
         mails.alias("m"),
         (mails & (F.coalesce("email", F.lit("")) != F.col("contact_email"))).alias("m_diff"),
         "last_name", "last_norm", "first_name", "first_norm",
-    )
+    ))
     counted = pairs.agg(
         *[count_where(F.col(c)).alias(c + "_count") for c in ("b", "b_diff", "n", "m", "m_diff")]
     )

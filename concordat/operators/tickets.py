@@ -45,7 +45,8 @@ def ticket_stock_kpis(stock: DataFrame) -> DataFrame:
     Counts and sums combine on the map side; durations are nearly all unlike, so
     their percentiles come from brackets of a sketch (:func:`exact_percentiles`).
     """
-    rows = timed(stock)
+    # Read several times below, so the joins behind the tickets run once.
+    rows = materialize(timed(stock).select("prio", "days", "target", "t_close", "late_time"))
     late = F.col("late_time").isNotNull() & ~squeeze(F.col("late_time")).isin(*NOT_LATE)
     known = F.col("days").isNotNull()
     judged = known & F.col("target").isNotNull()
@@ -56,8 +57,7 @@ def ticket_stock_kpis(stock: DataFrame) -> DataFrame:
         (F.sum(F.round(F.col("days") * 86400).cast("bigint")) / F.lit(86400.0)).alias("sum_days"), F.min("days").alias("min_jours"), F.max("days").alias("max_jours"),
     ]
     scopes = F.array_compact(F.array(F.lit("STOCK"), F.when(F.col("prio").isNotNull(), F.concat(F.lit("P"), F.col("prio").cast("string")))))
-    # Read three times below, so the joins behind the tickets run once.
-    spans = materialize(rows.where(known).select(F.explode(scopes).alias("scope"), "days"))
+    spans = rows.where(known).select(F.explode(scopes).alias("scope"), "days")
     middle = exact_percentiles(spans, "scope", "days", {"mediane": 0.5, "p90": 0.9})
     one = lookup_join(rows.agg(*stats).withColumn("scope", F.lit("STOCK")), middle, ["scope"])
     mean = F.round(F.try_divide(F.col("sum_days"), F.col("n_mesures").cast("double")), 1)
