@@ -30,18 +30,56 @@ TAG_EVIDENCE = {
     "article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "address": -3.0,
     "fieldset": -5.0, "header": -5.0,
 }
-BOILERPLATE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|banner|cookies?|consent|gdpr|notices?|alert|disclaimer|popup|modal|overlay|nav|navbar"
-    r"|navigation|menu|breadcrumbs?|sidebar|side|rail|widget|footer|foot|header|masthead|topbar|toolbar|comments?|commentlist|disqus|respond|reply|replies"
-    r"|share|sharing|social|related|recommended|promo|promotion|subscribe|newsletter|signup|login|search|pagination|pager|tags|copyright|legal"
-    r"|metadata|byline)(?:$|[\s_-])",
-    re.I,
+#: Words of names that mark boilerplate, at any length of its text.
+BOILERPLATE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright"
+    " disqus footer gdpr header masthead menu nav navbar navigation newsletter notice notices pager pagination promo related recommended sidebar"
+    " signup sponsor sponsored subscribe topbar".split()
 )
-CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|text|body|hentry)(?:$|[\s_-])", re.I)
+#: Words that often do, but that prose in them outweighs: they have other meanings, too.
+DOUBTFUL_NAMES = frozenset(
+    "alert banner byline disclaimer foot legal login metadata modal overlay popup promotion rail replies reply respond search share sharing side"
+    " social tags toolbar widget".split()
+)
+CONTENT_NAMES = frozenset("article body content entry hentry main post story text".split())
+#: Words of form and place that leave the meaning to the word before them ("comment-list", "sidebar-left").
+FORM_NAMES = frozenset(
+    "area bar block body bottom box button buttons center column container content count form group heading holder icons image inner item items left"
+    " link links list module outer panel posts right row section slot text thread title top unit wrap wrapper".split()
+)
+#: Words before which a name tells a state of the page, not what an element is ("has-sidebar").
+STATE_NAMES = frozenset("has hide is no show with without".split())
+#: Form controls; an element that cannot stand in one closes it where its end tag is missing.
+CONTROLS = frozenset("button datalist option select textarea".split())
+NOT_IN_CONTROLS = frozenset("article aside blockquote fieldset footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split())
 #: Smoothness: neighbours in page order, and blocks that follow each other below one element.
 ADJACENT, SIBLING = 0.6, 1.0
 
 
+def name_evidence(names: str, article: bool = False) -> float:
+    """Evidence of an element's class, id and role for content.
+
+    Names are taken whole: one word, or a compound that the word before words of form ("comment-list")
+    or the last word ("site-footer") decides.  On an article itself only what is surely no article
+    counts: its other names are often those of its subjects.
+    """
+    least, content = 0.0, False
+    for name in names.split():
+        words = [w.rstrip("0123456789") for w in re.split(r"[-_:./]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower())]
+        words = [w for w in words if w]
+        if not words or words[0] in STATE_NAMES:
+            continue
+        head = words[0] if all(w in FORM_NAMES or w in DOUBTFUL_NAMES for w in words[1:]) else "" if article else words[-1]
+        titled = head == "header" and not CONTENT_NAMES.isdisjoint(words)
+        if head in BOILERPLATE_NAMES and not titled:
+            least = -9.0
+        elif head in DOUBTFUL_NAMES and not article:
+            # The last word of a compound such as "side-by-side" or "market-share" says nothing.
+            least = min(least, -5.0 if head == words[0] else 0.0)
+        content = content or words[-1] in CONTENT_NAMES
+    return least or 2.0 * content
+
+
 class Block:
     __slots__ = ("parts", "linked", "evidence", "parent", "heading", "inside")
 
@@ -75,6 +113,9 @@ class Blocks(HTMLParser):
             self._end_head(tag)
         if tag == "br":
             self.handle_data(" ")
+        if tag in NOT_IN_CONTROLS and self.silent:
+            for other in CONTROLS:
+                self._close(other)
         if tag in BLOCKS:
             self.block = None
             for other in CLOSES.get(tag, ()):
@@ -91,16 +132,20 @@ class Blocks(HTMLParser):
         if any(k in ("hidden", "aria-hidden") and v != "false" for k, v in attrs):
             own -= 5.0
         if names and tag not in ("html", "body"):
-            if BOILERPLATE_NAMES.search(names):
-                own -= 9.0
-            elif CONTENT_NAMES.search(names):
-                own += 2.0
+            own += name_evidence(names, tag in ("article", "main"))
+        if tag == "main":
+            evidence = max(evidence, 0.0)
         inside = inside or tag in ("article", "main")
         self.stack.append((tag, self.number, evidence + own, inside))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.silent += tag in SILENT
         self.links += tag == "a"
 
+    def set_cdata_mode(self, elem: str, **kwargs) -> None:
+        """Only scripts and styles hide markup; newer parsers would read an open text area to the end of the page."""
+        if elem in self.CDATA_CONTENT_ELEMENTS:
+            super().set_cdata_mode(elem, **kwargs)
+
     def _paragraph_open(self) -> bool:
         """Whether a paragraph is open below the innermost other block."""
         for tag, *_ in reversed(self.stack):

@@ -27,6 +27,34 @@ def test_head_without_end_tag():
     assert main_text("<head><title>T</title>\nA long paragraph of prose that goes on for a while, surely.") == want
 
 
+PROSE = "The drug was well borne by nearly all of those who took it for a year, and few of them stopped early."
+
+
+def test_names():
+    assert main_text(f'<article class="post social"><p>{PROSE}</p></article>') == PROSE
+    assert main_text(f'<article><p>{PROSE}</p><section class="side-effects"><p>{PROSE}</p></section></article>') == f"{PROSE}\n{PROSE}"
+    for name in ("side-by-side", "market-share", "category-newsletter post", "notice-of-motion", "entry-header", "has-sidebar", "nomenclature"):
+        assert main_text(f'<article class="{name}"><p>{PROSE}</p></article>') == PROSE
+        if not name.startswith("category"):
+            assert main_text(f'<article><div class="{name}"><p>{PROSE}</p></div></article>') == PROSE
+    assert main_text(f'<div class="sidebar-right"><main><p>{PROSE}</p></main><div class="menu">x</div></div>') == PROSE
+    own = "ad", "comment-list", "commentBody", "sidebar2", "site-footer", "post-comments", "cookie_banner", "related-posts", "Newsletter"
+    for name in own:
+        assert main_text(f'<article><p>{PROSE}</p><div class="x {name}"><p>{PROSE} {PROSE}</p></div></article>') == PROSE
+    for name in ("social", "share-buttons", "tags", "byline"):
+        assert main_text(f'<article><p>{PROSE}</p><div id="{name}"><p>Some words</p></div></article>') == PROSE
+    # Prose outweighs a doubtful name; reader comments stay out, even those marked up as articles.
+    assert main_text(f'<article><div class="social"><p>{PROSE} {PROSE}</p></div></article>') == f"{PROSE} {PROSE}"
+    assert main_text(f'<article><p>{PROSE}</p><article class="comment"><p>{PROSE}</p></article></article>') == PROSE
+
+
+def test_open_controls():
+    for control in ("<textarea>", "<select><option>one", "<button>go", "<form><textarea name=q>", "<form><select>"):
+        end = "</form>" if "form" in control else ""
+        assert main_text(f"<body>{control}{end}<article><p>{PROSE}</p></article>") == PROSE
+    assert main_text(f"<article><p>{PROSE}</p><textarea>some &lt;p&gt; text</textarea></article>") == PROSE
+
+
 def test_formula():
     math = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>x=2</annotation></semantics></math>"
     assert main_text(f"<article><p>We find that {math} holds.</p></article>") == "We find that x=2 holds."
