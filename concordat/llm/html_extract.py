@@ -126,7 +126,7 @@ class Blocks(HTMLParser):
         self.number += 1
         _, _, evidence, inside = self.stack[-1]
         own = TAG_EVIDENCE.get(tag, 0.0)
-        if tag == "header" and inside:
+        if inside and tag in ("header", "article", "main"):
             own = 0.0
         names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         if any(k in ("hidden", "aria-hidden") and v != "false" for k, v in attrs):
@@ -135,7 +135,7 @@ class Blocks(HTMLParser):
             own += name_evidence(names, tag in ("article", "main"))
         if tag == "main":
             evidence = max(evidence, 0.0)
-        inside = inside or tag in ("article", "main")
+        inside = inside or tag in ("article", "main") and own > 0
         self.stack.append((tag, self.number, evidence + own, inside))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.silent += tag in SILENT
