@@ -159,7 +159,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(n).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(both).alias("text")) for n, r in enumerate(("user", "assistant"))])).alias("t"),
     )
     rows = given.unionByName(probe.select("conv_id", "t.*"))
-    turns = chat_format.canonical_turns(chat_format.conversation_records(rows), ["messages"])
+    records = chat_format.dealt_records(chat_format.conversation_records(rows))
+    turns = chat_format.canonical_turns(records, [c for c in records.columns if c != "conv_id"])
     read = chat_format.read_back(chat_format.format_turns(turns))
     said = F.transform("read_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
