@@ -21,6 +21,8 @@ SIMILARITY = 0.8
 FLUSH, BUCKET = 5 << 20, 4 << 20
 #: Bits of a token; the others of 64 number the lines of a chunk.
 TOKEN_BITS, CHUNK = 49, 1 << 15
+#: Pairs that are looked at in one go, and pairs of two runs from which on they are found by pieces of their parities.
+PAIRS, LARGE = 500_000, 1 << 16
 #: Partners that one token's list gives a line at first, nearest first.
 NEAREST = 2
 _PARTS = ("ids", "ties", "counts", "lines", "tokens", "sigs", "bits0", "bits1", "sizes", "ranks", "wide")
@@ -260,6 +262,77 @@ def _nearest(b: np.ndarray, a: np.ndarray, apart: np.ndarray, more: np.ndarray,
     return b[kept], a[kept], apart[kept], more[kept]
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of ranges and all the places in them."""
+    n = hi - lo
+    of = np.repeat(np.arange(len(n)), n)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(n) - n - lo, n)
+
+
+def _pieces(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of items whose sizes add up to about ``most``, of one item at least."""
+    total, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        yield slice(at, end)
+        at = end
+
+
+def _run_pairs(token: np.ndarray, size: np.ndarray, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """Runs of entries of one token, size and rank, and which of them the length and positional filters let meet.
+
+    Returns the bounds of the runs, the two runs of each pair, and in how many tokens their sets may
+    differ.  Whole runs are ruled out, so that a long list of lines that cannot be similar is not
+    walked.  Unlike sets of one size that may not differ at all never meet.
+    """
+    bounds = np.append(np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (size[1:] != size[:-1]) | (rank[1:] != rank[:-1])))), len(token))
+    first = bounds[:-1]
+    token, size, rest = token[first], size[first], size[first] - rank[first]
+    found, left, step = [], np.arange(len(first)), 0
+    # Runs of a token are sorted by size, so one that is too short for its partner is too short for all further ones.
+    while len(left):
+        right = left + step
+        differ = size[left] + size[right] - 2 * required(size[left], size[right], similarity).astype(np.int64)
+        good = (2 * np.minimum(rest[left], rest[right]) >= size[left] + size[right] - differ) & (differ >= (step == 0))
+        found.append((left[good], right[good], differ[good]))
+        step += 1
+        left = left[left + step < len(first)]
+        left = left[(token[left] == token[left + step]) & (size[left] >= similarity * size[left + step] - 1e-9)]
+    return bounds, *[np.concatenate(x) for x in zip(*found, strict=True)]
+
+
+def _met(bounds: np.ndarray, left: np.ndarray, right: np.ndarray, differ: np.ndarray, bits: np.ndarray, narrow: np.ndarray) -> Iterator[tuple]:
+    """Pairs of entries of two runs, and in how many tokens they may differ.
+
+    Two long runs meet by pieces of their parities: parities that differ in at most ``d`` bits agree
+    in one of ``d + 1`` pieces.  A pair that agrees in several comes with the first of them.
+    """
+    n = np.diff(bounds)
+    large = (n[left] * n[right] > LARGE) & (differ <= 8) & narrow[bounds[left]] & narrow[bounds[right]]
+    small = ~large
+    for some in _pieces(n[left[small]], PAIRS):
+        x, y, d = left[small][some], right[small][some], differ[small][some]
+        of, i = _ranges(bounds[x], bounds[x + 1])
+        lo, hi = np.where(x[of] == y[of], i + 1, bounds[y[of]]), bounds[y[of] + 1]
+        for part in _pieces(hi - lo, PAIRS):
+            at, j = _ranges(lo[part], hi[part])
+            yield i[part][at], j, d[of[part][at]]
+    for x, y, d in zip(left[large].tolist(), right[large].tolist(), differ[large].tolist(), strict=True):
+        own, other = np.arange(bounds[x], bounds[x + 1]), np.arange(bounds[y], bounds[y + 1])
+        edges = [64 * k // (d + 1) for k in range(d + 2)]
+        masks = [U64((1 << hi) - (1 << lo)) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+        for k, mask in enumerate(masks):
+            order = other[np.argsort(bits[other] & mask, kind="stable")]
+            values = bits[order] & mask
+            lo, hi = np.searchsorted(values, bits[own] & mask, "left"), np.searchsorted(values, bits[own] & mask, "right")
+            for part in _pieces(hi - lo, PAIRS):
+                at, j = _ranges(lo[part], hi[part])
+                i, j = own[part][at], order[j]
+                apart = bits[i] ^ bits[j]
+                good = np.logical_and.reduce([i < j if x == y else np.ones(len(i), bool)] + [apart & earlier != 0 for earlier in masks[:k]])
+                yield i[good], j[good], np.full(int(good.sum()), d)
+
+
 def _candidates(parts: list[dict], similarity: float, nearest: int | None, doubtful: np.ndarray | None) -> list[np.ndarray]:
     """Pairs of lines that share a prefix token and pass the length, positional and parity filters.
 
@@ -271,7 +344,7 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None, doubt
     bits0, bits1 = _joined(parts, "bits0", "<u8"), _joined(parts, "bits1", "<u8")
     size, rank = _joined(parts, "sizes", "<u4").astype(np.int64), _joined(parts, "ranks", "<u4").astype(np.int64)
     # Equal sets, told by a 32-bit hash, the parity and the size, are one: the first of them.
-    order = np.lexsort((lines, ties, ids, sig, bits0, size, token))
+    order = np.lexsort((lines, ties, ids, sig, bits0, rank, size, token))
     same = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in (token, size, bits0, bits1, sig)])
     kept = order[np.concatenate(([True], ~same))]
     ids, ties, lines, token, bits0, bits1, size, rank = (x[kept] for x in (ids, ties, lines, token, bits0, bits1, size, rank))
@@ -284,34 +357,26 @@ def _candidates(parts: list[dict], similarity: float, nearest: int | None, doubt
     held = [none, none, none, np.zeros(0, bool)]
     fresh: list[list[np.ndarray]] = []
     waiting = 0
-    # Lists are sorted by size, so a line that is too short for its partner is too short for all further ones.
-    left, step = np.arange(len(kept)), 0
-    while len(left):
-        step += 1
-        left = left[left + step < len(kept)]
-        right = left + step
-        alive = (token[left] == token[right]) & (size[left] >= similarity * size[right] - 1e-9)
-        left, right = left[alive], right[alive]
-        need = required(size[left], size[right], similarity)
-        reach = 1 + np.minimum(size[left] - rank[left], size[right] - rank[right]) - 1
+    bounds, *runs = _run_pairs(token, size, rank, similarity)
+    for left, right, differ in _met(bounds, *runs, bits0, ~wide):
         apart0, apart1 = bits0[left] ^ bits0[right], bits1[left] ^ bits1[right]
         apart0 = np.where(wide[left] == wide[right], apart0, apart0 ^ apart1)
         apart1 = np.where(wide[left] & wide[right], apart1, U64(0))
         apart = np.bitwise_count(apart0).astype(np.int64) + np.bitwise_count(apart1)
-        good = (reach >= need) & (apart <= size[left] + size[right] - 2 * need)
+        good = apart <= differ
+        left, right, apart, differ = left[good], right[good], apart[good], differ[good]
         later = when[left] > when[right]
-        x, y = np.where(later, left, right)[good], np.where(later, right, left)[good]
-        apart = apart[good]
+        x, y = np.where(later, left, right), np.where(later, right, left)
         if wanted is not None:
             apart = np.bitwise_count(words[x] ^ words[y]).sum(axis=1)
-            good = wanted[x] & (apart <= size[x] + size[y] - 2 * required(size[x], size[y], similarity))
+            good = wanted[x] & (apart <= differ)
             x, y, apart = x[good], y[good], apart[good]
         fresh.append([x, y, apart, np.zeros(len(x), bool)])
         waiting += len(x)
-        if waiting > 200_000 or not len(left):
+        if waiting > 200_000:
             held = list(_nearest(*[np.concatenate([h, *[f[k] for f in fresh]]) for k, h in enumerate(held)], nearest))
             fresh, waiting = [], 0
-    b, a, _, more = held
+    b, a, _, more = _nearest(*[np.concatenate([h, *[f[k] for f in fresh]]) for k, h in enumerate(held)], nearest)
     return [x[k].astype(np.int64) for k in (a, b) for x in (ids, ties, lines)] + [more]
 
 

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from concordat.llm import line_dedup
 
 BLANK = "".join(map(chr, (9, 10, 11, 12, 13, 32)))
@@ -60,6 +62,51 @@ def test_exact_when_the_nearest_do_not_confirm(docs, monkeypatch):
     assert got(line_dedup.dedup(docs(*rows))) == brute(rows)
 
 
+def test_exact_by_pieces_of_parities(docs, monkeypatch):
+    """All pairs of runs meet by pieces of their parities."""
+    monkeypatch.setattr(line_dedup, "LARGE", 0)
+    rows = corpus(7, 120)
+    assert got(line_dedup.dedup(docs(*rows).repartition(3))) == brute(rows)
+
+
+def entries(spark, rows):
+    """What the lists of one bucket hold, over a single flush."""
+    lines = line_dedup._first_lines([(i, 0, t.encode()) for i, t in rows])
+    counted = np.bincount(line_dedup._cells(lines.tokens), minlength=1 << line_dedup.sketch.BITS).astype("<u4")
+    tokens, of, rank, used = line_dedup._prefixes(lines.tokens, lines.bounds, counted, 0.8)
+    return tokens[used], lines.sizes[of[used]], rank[used]
+
+
+def test_long_lists_are_not_walked(spark):
+    """Of 50 000 lines of one template that cannot be similar, no two meet."""
+    rows = [(i, f"u{i} posted by admin in news today") for i in range(50_000)]
+    token, size, rank = entries(spark, rows)
+    order = np.lexsort((rank, size, token))
+    bounds, left, right, _ = line_dedup._run_pairs(token[order], size[order], rank[order], 0.8)
+    assert len(token) >= 50_000 and int((np.diff(bounds)[left] * np.diff(bounds)[right]).sum()) < 10_000
+
+
+def test_pieces_of_parities_find_all():
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 1 << 62, 30).astype("u8")
+    bits = base[draw.integers(0, 30, 600)]
+    for _ in range(3):
+        bits ^= np.where(draw.random(600) < 0.7, np.uint64(1) << draw.integers(0, 64, 600).astype("u8"), np.uint64(0))
+    bounds = np.array([0, 350, 600])
+    for runs in ((0, 0), (0, 1), (1, 1)):
+        for d in (0, 1, 4, 8):
+            one = [np.array([x]) for x in (*runs, d)]
+            near = lambda i, j: {p for p in zip(i.tolist(), j.tolist()) if int(bits[p[0]] ^ bits[p[1]]).bit_count() <= d}  # noqa: B023, E731
+            found = []
+            for large in (0, 1 << 40):
+                line_dedup.LARGE, kept = large, line_dedup.LARGE
+                met = [x for i, j, _ in line_dedup._met(bounds, *one, bits, np.ones(600, bool)) for x in near(i, j)]
+                line_dedup.LARGE = kept
+                assert len(met) == len(set(met))
+                found.append(set(met))
+            assert found[0] == found[1] and (d == 0 or found[0])
+
+
 def test_edges(clashing):
     long = " ".join(f"t{k}" for k in range(5000))
     rows = [
