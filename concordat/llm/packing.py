@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import filterfalse
 
@@ -95,35 +96,26 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def cut(n: int, capacity: int) -> list[tuple[int, int]]:
-    """Cut ``n`` tokens into pieces ``(length, k)``, each exactly a ``k``-th of the capacity.
-
-    Full sequences come first.  A rest of ``r`` tokens gives the largest ``capacity // k`` that it
-    holds; what then remains is below ``capacity / (k * (k - 1))``, so few cuts are enough.
-    """
-    pieces = [(capacity, 1)] * (n // capacity)
-    rest = n % capacity
-    while rest:
-        k = -(-capacity // rest)
-        while capacity // k > rest:
-            k += 1
-        size = capacity // k
-        pieces.append((size, capacity // size))
-        rest -= size
-    return pieces
-
-
 class Packer:
     """The bins of one task.
 
-    A class ``k`` holds pieces of ``capacity // k`` tokens; its bin is complete with ``k`` of them.
-    At the end the pieces of all incomplete bins are laid end to end and cut at the capacity, so a
-    task pads one sequence at most, besides the few tokens of ``capacity - k * (capacity // k)``.
+    Full sequences of a document come first; its rest of ``n`` tokens is of class ``k`` where it
+    takes more than a ``k + 1``-th of the capacity and at most a ``k``-th, and a bin of class ``k`` is
+    complete with ``k`` rests.  What such a bin has left at its end is kept for a whole rest that fits
+    it within ``slack`` tokens; only when more than ``ENDS`` bins wait for one, or a task ends, are
+    rests cut to fill them.  Of each bin at most one rest is cut.
     """
 
+    #: Complete bins that wait for a rest that fits their end.
+    ENDS = 256
+
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.sequence = capacity, first_sequence
+        self.slack = capacity // 64
         self.open: dict[int, list[tuple]] = {}
+        # Room, order of arrival, pieces.
+        self.ends: list[tuple[int, int, list[tuple]]] = []
+        self.arrived = 0
         self.done: list[tuple] = []
 
     def _close(self, pieces: list[tuple]) -> None:
@@ -134,29 +126,68 @@ class Packer:
             offset += n
         self.sequence += 1
 
+    def _complete(self, pieces: list[tuple]) -> None:
+        room = self.capacity - sum(len(x[3]) for x in pieces) // 4
+        if room <= self.slack:
+            self._close(pieces)
+        else:
+            self.arrived += 1
+            insort(self.ends, (room, self.arrived, pieces))
+
+    def _place(self, piece: tuple) -> None:
+        n = len(piece[3]) // 4
+        i = bisect_left(self.ends, (n,))
+        if i < len(self.ends) and self.ends[i][0] <= n + self.slack:
+            self._close([*self.ends.pop(i)[2], piece])
+            return
+        k = self.capacity // n
+        waiting = self.open.setdefault(k, [])
+        waiting.append(piece)
+        if len(waiting) == k:
+            self._complete(self.open.pop(k))
+
+    def _fill(self) -> None:
+        """Fill the largest end with a rest that waits in a class, or else with one of the next bin."""
+        room, _, pieces = self.ends.pop()
+        if self.open:
+            k = min(self.open)
+            filler = self.open[k].pop()
+            if not self.open[k]:
+                del self.open[k]
+        else:
+            filler, *others = self.ends.pop()[2]
+            for piece in others:
+                self._place(piece)
+        doc_id, start, total, ids = filler
+        self._complete([*pieces, (doc_id, start, total, ids[: 4 * room])])
+        if len(ids) > 4 * room:
+            self._place((doc_id, start + room, total, ids[4 * room :]))
+
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        total, at = len(ids) // 4, 0
-        for size, k in cut(total, self.capacity):
-            waiting = self.open.setdefault(k, [])
-            waiting.append((doc_id, at, total, ids[4 * at : 4 * (at + size)]))
-            at += size
-            if len(waiting) == k:
-                self._close(self.open.pop(k))
+        total = len(ids) // 4
+        full = total - total % self.capacity
+        for at in range(0, full, self.capacity):
+            self._close([(doc_id, at, total, ids[4 * at : 4 * (at + self.capacity)])])
+        if full < total:
+            self._place((doc_id, full, total, ids[4 * full :]))
+        while len(self.ends) > self.ENDS:
+            self._fill()
 
     def finish(self) -> None:
+        """Lay what is in incomplete bins, and in those with an end to fill, end to end and cut it at the capacity."""
         room, pieces = self.capacity, []
-        for k in sorted(self.open):
-            for doc_id, start, total, ids in self.open[k]:
-                while ids:
-                    part = ids[: 4 * room]
-                    pieces.append((doc_id, start, total, part))
-                    room, start, ids = room - len(part) // 4, start + len(part) // 4, ids[4 * room :]
-                    if not room:
-                        self._close(pieces)
-                        room, pieces = self.capacity, []
+        left = [x for end in self.ends for x in end[2]] + [x for k in sorted(self.open) for x in self.open[k]]
+        for doc_id, start, total, ids in left:
+            while ids:
+                part = ids[: 4 * room]
+                pieces.append((doc_id, start, total, part))
+                room, start, ids = room - len(part) // 4, start + len(part) // 4, ids[4 * room :]
+                if room <= self.slack:
+                    self._close(pieces)
+                    room, pieces = self.capacity, []
         if pieces:
             self._close(pieces)
-        self.open = {}
+        self.open, self.ends = {}, []
 
     def take(self) -> pa.RecordBatch:
         columns = list(zip(*self.done, strict=True)) or [()] * len(PIECES)
@@ -173,7 +204,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
     little-endian unsigned 32-bit integers.
 
     Lengths fall into reciprocal-capacity classes, and every task fills the bins of each class with
-    a fixed number of pieces, so there is no shuffle and no state beyond one open bin per class.
+    a fixed number of documents, so there is no shuffle and no state beyond one open bin per class
+    and :attr:`Packer.ENDS` bins whose ends are still to be filled.
     Sequence ids start at ``2**32`` times the task's partition, so they never meet and a repeated
     task gives the same rows.
 

@@ -2,6 +2,7 @@ import random
 from array import array
 from collections import defaultdict
 
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from concordat.llm import packing
@@ -46,22 +47,43 @@ def test_whole_documents(docs, prose):
     assert len(sequences) * 1024 < 1.05 * total + 3 * 1024
 
 
-def test_cut_and_classes():
-    for n in range(1, 5000):
-        pieces = packing.cut(n, 1024)
-        assert sum(size for size, _ in pieces) == n and all(size * k <= 1024 for size, k in pieces)
-        assert len(pieces) <= n // 1024 + 6
+def packed(lengths):
+    packer = packing.Packer(1024, 0)
+    for i, n in enumerate(lengths):
+        packer.add(i, array("I", range(n)).tobytes())
+        assert len(packer.ends) <= packer.ENDS
+    packer.finish()
+    rows = packer.take().to_pylist()
+    docs, sequences = check([Row(**r) for r in rows])
+    for i, n in enumerate(lengths):
+        assert [x for _, ids, _ in sorted(docs[i]) for x in ids] == list(range(n))
+    return rows, sequences
 
 
-def test_padding_of_many():
-    packer = packing.Packer(1024, 0)
+def test_pieces_and_padding():
+    """Few cuts and little padding, whatever the lengths are."""
     draw = random.Random(9)
-    for i in range(3000):
-        packer.add(i, bytes(4 * draw.randrange(1, 2500)))
-    packer.finish()
-    rows = packer.take()
-    used = sum(rows.column("length").to_pylist())
-    assert len(set(rows.column("sequence_id").to_pylist())) * 1024 < 1.002 * used
+    kinds = {
+        "even": lambda: draw.randrange(1, 2500),
+        "short": lambda: 1 + int(draw.expovariate(1 / 80)),
+        "tail": lambda: min(200_000, int(20 * draw.paretovariate(0.9))),
+        "halves": lambda: draw.randrange(513, 800),
+        "equal": lambda: 700,
+        "tiny": lambda: 1,
+    }
+    for name, length in kinds.items():
+        lengths = [length() for _ in range(3000)]
+        rows, sequences = packed(lengths)
+        least = sum(-(-n // 1024) for n in lengths)
+        assert len(sequences) * 1024 < 1.02 * sum(lengths) + 1024, name
+        assert len(rows) < (1.3 if name not in ("halves", "equal") else 1.7) * least, (name, len(rows), least)
+
+
+def test_classes():
+    """A bin of a class holds its fixed number of rests."""
+    for n, k in ((1024, 1), (512, 2), (341, 3), (256, 4), (16, 64)):
+        rows, sequences = packed([n] * 10 * k)
+        assert {len(x) for x in sequences.values()} == {k} and len(rows) == 10 * k
 
 
 def test_edges(clashing, docs):
