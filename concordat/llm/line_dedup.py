@@ -22,7 +22,7 @@ FLUSH, BUCKET = 5 << 20, 4 << 20
 #: Bits of a token; the others of 64 number the lines of a chunk.
 TOKEN_BITS, CHUNK = 49, 1 << 15
 #: Pairs that are looked at in one go, and pairs of two runs from which on they are found by pieces of their parities.
-PAIRS, LARGE = 500_000, 1 << 16
+PAIRS, LARGE = 1 << 16, 1 << 16
 #: Partners that one token's list gives a line at first, nearest first.
 NEAREST = 2
 _PARTS = ("ids", "ties", "counts", "lines", "tokens", "sigs", "bits0", "bits1", "sizes", "ranks", "wide")
