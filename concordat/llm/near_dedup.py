@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm import sketch
@@ -396,9 +396,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class of near copies, the one with the smallest id; columns stay as they are."""
-    kept = saved(classes(docs, similarity).where("node = class_node").select(F.col("class_node").alias("key")).distinct())
-    keyed = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"))
-    order = Window.partitionBy("key").orderBy(F.col("row.doc_id").asc_nulls_last())
-    first = keyed.join(kept, "key", "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    """One document of each class of near copies, the one with the smallest id; columns stay as they are.
+
+    Copies are told apart by text and id together, so that those of one text spread over the tasks;
+    repeated rows of that text and id are one.
+    """
+    found = classes(docs, similarity).where("node = class_node")
+    kept = saved(found.select(F.col("class_node").alias("key"), F.coalesce("class_id", F.lit(int(LAST))).alias("id")).distinct())
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    keyed = docs.select(F.struct("*").alias("row"), digest.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("id"))
+    first = keyed.join(kept, ["key", "id"], "left_semi").groupBy("key", "id").agg(F.first("row").alias("row"))
     return first.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
