@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.llm import sketch
-from concordat.llm.shared import saved
-from concordat.llm.wordvec import LAST, U64, from_planes, mix, pack_places, planes, prime_from, unpack_places, word_hashes
+from concordat.llm.shared import saved, slot_column
+from concordat.llm.wordvec import LAST, U64, from_planes, mix, pack_places, planes, prime_from, slots_of, unpack_places, word_hashes
 
 SIMILARITY = 0.8
 FLUSH, BUCKET = 5 << 20, 4 << 20
@@ -224,9 +224,9 @@ def _places(parts: list[dict]) -> tuple[np.ndarray, ...]:
 
 def _slots(ids: np.ndarray, ties: np.ndarray, lines: np.ndarray, slots: int) -> list[tuple]:
     """Places by slot of their document."""
-    order = np.lexsort((lines, ties, ids, ids % slots))
-    ids, ties, lines = ids[order], ties[order], lines[order]
-    slot = ids % slots
+    slot = slots_of(ids, ties, slots)
+    order = np.lexsort((lines, ties, ids, slot))
+    ids, ties, lines, slot = ids[order], ties[order], lines[order], slot[order]
     row = np.cumsum(np.concatenate(([0], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))[: len(ids)]
     doc = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))[: len(ids)]
     found, at = np.unique(slot, return_index=True)
@@ -572,7 +572,7 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .unionByName(gone.distinct().mapInArrow(_slot_rows(slots), _PLACES).withColumn("first", F.lit(False)))
     )
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
-    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.pmod(key, F.lit(slots)).cast("int").alias("slot"))
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), slot_column(key, docs["text"], slots).alias("slot"))
     kind = T.StructType(
         [keyed.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())]
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.session import checkpoint_dir, materialize
+from concordat.session import materialize
 
 #: Separators of words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,11 +19,16 @@ def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Used where one intermediate result feeds several branches or a loop: the branches share one
-    computation, lineage ends at the files, and a lost executor costs nothing but a re-read.
+    computation, lineage ends at the files, and a lost executor costs nothing but a re-read.  The
+    files go when the session's Python exits.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize(df)
+
+
+def slot_column(key: Column, text: Column, slots: int) -> Column:
+    """The same as ``wordvec.slots_of`` for rows with a key and a text."""
+    tie = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.pmod(F.pmod(key, F.lit(slots)) + tie, F.lit(slots)).cast("int")
 
 
 def words_of(text: Column) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concordat.llm.wordvec import LAST, from_planes, pack_places, planes, prime_from, unpack_places, window_hashes, word_hashes
+from concordat.llm.shared import slot_column
+from concordat.llm.wordvec import LAST, from_planes, pack_places, planes, prime_from, slots_of, unpack_places, window_hashes, word_hashes
 
 WINDOW = 50
 #: Text bytes that a task hashes at once, and text bytes to a bucket of window hashes.
@@ -109,7 +110,7 @@ def _bucket_task(bits: int, slots: int):
             later[order] = owner > np.repeat(least, np.diff(np.append(first, len(keys))))
             repeated[np.flatnonzero(fresh)[later]] = True
         ids, ties, starts = ids[repeated], ties[repeated], starts[repeated]
-        slot = ids % slots
+        slot = slots_of(ids, ties, slots)
         order = np.lexsort((starts, ties, ids, slot))
         ids, ties, starts, slot = ids[order], ties[order], starts[order], slot[order]
         row = np.cumsum(np.concatenate(([0], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))[: len(ids)]
@@ -181,7 +182,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shipped = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_hash_tasks(bits, window), _SHIPPED)
     found = shipped.groupBy("bucket").applyInArrow(_bucket_task(bits, slots), _FOUND)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
-    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.pmod(key, F.lit(slots)).cast("int").alias("slot"))
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), slot_column(key, docs["text"], slots).alias("slot"))
     kind = T.StructType(
         [keyed.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     )

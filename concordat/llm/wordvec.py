@@ -128,3 +128,8 @@ def prime_from(n: int) -> int:
     while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
         n += 1
     return n
+
+
+def slots_of(ids: np.ndarray, ties: np.ndarray, slots: int) -> np.ndarray:
+    """Slot of documents by id and checksum, so that rows that share an id, null too, do not share a task."""
+    return (ids % slots + ties.astype(np.int64)) % slots

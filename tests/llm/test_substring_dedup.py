@@ -1,7 +1,13 @@
 import random
 import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from concordat.llm import substring_dedup
+from concordat.llm.shared import slot_column
+from concordat.llm.wordvec import LAST, slots_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -66,3 +72,14 @@ def test_empty_table_and_clean(docs, clashing, prose):
     found = {r.doc_id: r for r in substring_dedup.clean(df).collect()}
     assert substring_dedup.clean(df).columns == df.columns
     assert (found[1].text, found[2].text, found[2].n_chars, found[3].text) == (same + "\n\nand  more", "", 0, None)
+
+
+def test_rows_of_one_id_are_spread(spark, docs):
+    """Rows without an id, or of one id, do not share a slot, and both sides name the same one."""
+    texts = [f"text {k} é" if k else None for k in range(400)]
+    df = docs(*[(None, t) for t in texts], *[(-7, t) for t in texts])
+    key = F.coalesce("doc_id", F.lit(int(LAST)))
+    rows = df.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"), slot_column(key, df["text"], 101).alias("slot")).collect()
+    assert len({r.slot for r in rows if r.key != -7}) > 80 < len({r.slot for r in rows if r.key == -7})
+    ids, ties = np.array([r.key for r in rows]), np.array([zlib.crc32(r.text.encode()) for r in rows], "<u4")
+    assert slots_of(ids, ties, 101).tolist() == [r.slot for r in rows]
