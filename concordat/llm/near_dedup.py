@@ -27,6 +27,9 @@ FLUSH, CHUNK, TOKEN_BITS = 3 << 20, 1 << 15, 49
 BINS, DEVIATIONS = 128, 4
 #: Of 30 four-bit samples, those that texts of similarity 0.8 share with a chance of all but 0.00005.
 AGREE = 16
+#: Contested texts that share a shingle meet by it if they are at most this many.  Others can be alike only by
+#: shingles that more of them have, which bounds what they share.
+FEW = 64
 
 _TABLE = 1 << 16
 _random = np.random.default_rng(20100914)
@@ -261,10 +264,12 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, counted, n_do
     return saved(both.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary"))
 
 
-def _strength(docs: DataFrame, contested: DataFrame, counted, n_docs: int) -> DataFrame:
-    """Of each contested node: ``able``, the weight it can share with others, and ``single``, the rest.
+def _strength(docs: DataFrame, contested: DataFrame, counted, n_docs: int, few: int = FEW) -> tuple[DataFrame, DataFrame]:
+    """What contested nodes can share: weights by node, and lists of the nodes that share a rare shingle.
 
-    A shingle that no other contested node has counts for nothing in a pair of them.
+    Of each node: ``key``, ``able``, the weight of shingles that other contested nodes have too,
+    ``single``, the rest, and ``low``, the weight of shingles that at most ``few`` contested nodes
+    have, single ones included.  ``keys``: the nodes of each such shingle, equal lists once.
     """
 
     def mark(batches: Iterator[pa.RecordBatch], cells: np.ndarray) -> None:
@@ -285,13 +290,18 @@ def _strength(docs: DataFrame, contested: DataFrame, counted, n_docs: int) -> Da
             columns += [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (found.tokens.view("<i8"), weight)]
             yield pa.RecordBatch.from_arrays(columns, ["node", "key", "tokens", "weights"])
 
-    rows = saved(docs.mapInArrow(weighed, "node binary, key long, tokens array<long>, weights array<float>"))
+    rows = docs.mapInArrow(weighed, "node binary, key long, tokens array<long>, weights array<float>")
+    rows = saved(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("key", "tokens", "weights")]))
     each = rows.select("key", F.explode(F.arrays_zip("tokens", "weights")).alias("x")).select("key", F.col("x.tokens").alias("token"), F.col("x.weights").alias("w"))
-    owned = each.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("other"), F.max("w").alias("w")).where("key = other")
-    single = owned.groupBy("key").agg(F.sum("w").alias("single"))
+    rare = saved(each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.max("w").alias("w")).where(F.col("n") <= few))
+    single = rare.where("n = 1").groupBy("key").agg(F.sum("w").alias("single"))
+    shared = saved(each.join(rare.where("n > 1").select("token"), "token"))
+    low = shared.groupBy("key").agg(F.sum("w").alias("low"))
     total = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)
-    whole = rows.select("node", "key", total.alias("total")).distinct().join(single, "key", "left")
-    return whole.select("node", F.coalesce("single", F.lit(0.0)).alias("single"), (F.col("total") - F.coalesce("single", F.lit(0.0))).alias("able"))
+    own, rest = (F.coalesce(c, F.lit(0.0)) for c in ("single", "low"))
+    whole = rows.select("node", "key", total.alias("total")).join(single, "key", "left").join(low, "key", "left")
+    lists = shared.groupBy("token").agg(F.sort_array(F.collect_list("key")).alias("keys")).select("keys").distinct()
+    return whole.select("node", "key", own.alias("single"), (F.col("total") - own).alias("able"), (own + rest).alias("low")), lists
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -337,9 +347,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Every text is sampled by consistent weighted sampling, and the samples are banded.  In each band
     bucket all texts are first compared with one of them, never with each other, and those that are
-    left with the one in its middle; what then still lies in another component than most of its
-    bucket is compared with the rest of it, if samples,
-    sketches and the weight of shingles that only one of them has leave it possible.  Every pair that is not ruled out is verified on the whole texts.
+    left with the one in its middle.  What then still lies in another component than most of its
+    bucket meets the rest of it in two ways: texts that share a shingle of at most ``FEW`` of them
+    meet by it, and others only if samples and the weights of their rare and common shingles leave
+    it possible.  Every pair that is not ruled out is verified on the whole texts.
 
     Null texts are empty; blank texts have no shingles and are linked only by equality.  A null id
     is larger than every other and stays null.  Repeated rows are one text.  No rows give no rows;
@@ -362,27 +373,32 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     shared = placed.join(hubs.select("band"), "band").select("node", "band", "n0", "n1")
     contested = _contested(shared, roots)
-    strength = _strength(docs, contested.select("node").distinct(), counted, n_docs)
+    strength, lists = _strength(docs, contested.select("node").distinct(), counted, n_docs)
     # Texts with too much of their own are alike to no other.
     fit = saved(strength.where(F.col("able") >= similarity * (F.col("able") + F.col("single")) - 1e-3))
     contested = saved(contested.join(fit, "node"))
     # The text with the least of its own stands in the middle of a bucket: most others are linked to it.
-    middle = contested.groupBy("band").agg(F.max(F.struct((F.col("able") / (F.col("able") + F.col("single"))).alias("share"), "node", "root")).alias("x"))
+    middle = contested.groupBy("band").agg(F.min(F.struct((F.col("low") / (F.col("able") + F.col("single"))).alias("share"), "node", "root")).alias("x"))
     middle = saved(middle.select("band", F.col("x.node").alias("b"), F.col("x.root").alias("b_root")))
     spokes = contested.join(middle, "band").where("root != b_root").select(F.col("node").alias("a"), "b").distinct()
     links = links.unionByName(_links(docs, spokes, nodes, counted, n_docs, similarity))
     roots = components(links)
     contested = _contested(contested.drop("root", "main"), roots)
-    outside = contested.where("root != main").select(
-        F.col("node").alias("a"), "band", F.col("root").alias("a_root"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("able").alias("a_able"), F.col("single").alias("a_single")
-    )
-    most = F.least("able", "a_able")
-    # All of one text and what only the other has lie in their union.
-    single = F.col("single") + F.col("a_single")
-    possible = most >= similarity * (F.greatest("able", "a_able") + single) - 1e-3
-    agree = _agreement("n0", "m0") + _agreement("n1", "m1") >= AGREE
-    rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree)
-    again = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    known = ("node", "root", "n0", "n1", "able", "single", "low")
+    outside = contested.where("root != main").select("band", *[F.col(c).alias(f"a_{c}") for c in known])
+    agree = _agreement("n0", "a_n0") + _agreement("n1", "a_n1") >= AGREE
+    # Two texts that share no rare shingle share at most what the one with fewer common ones has of them,
+    # and all of one's common ones and both texts' rare ones lie in their union.
+    mine, other = F.col("able") + F.col("single") - F.col("low"), F.col("a_able") + F.col("a_single") - F.col("a_low")
+    possible = F.least(mine, other) >= similarity * (F.greatest(mine, other) + F.col("low") + F.col("a_low")) - 1e-3
+    rest = contested.join(outside, "band").where((F.col("root") != F.col("a_root")) & possible & agree).select("a_node", "node")
+    # Texts that share a rare one meet by it; what only one of them has lies in their union too.
+    lists = lists.select(F.posexplode("keys").alias("at", "a_key"), "keys").select("a_key", F.explode(F.slice("keys", F.col("at") + 2, FEW)).alias("key"))
+    least = F.least("able", "a_able") >= similarity * (F.greatest("able", "a_able") + F.col("single") + F.col("a_single")) - 1e-3
+    still = saved(contested.select("key", *known).distinct())
+    met = lists.distinct().join(still, "key").join(still.select(*[F.col(c).alias(f"a_{c}") for c in ("key", *known)]), "a_key")
+    rest = rest.unionByName(met.where((F.col("root") != F.col("a_root")) & least & agree).select("a_node", "node"))
+    again = rest.select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
     more = _links(docs, again, nodes, counted, n_docs, similarity)
     if more.limit(1).count():
         roots = components(links.unionByName(more))

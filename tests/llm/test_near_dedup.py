@@ -60,6 +60,24 @@ def test_against_all_pairs(docs, prose):
     assert got(n.classes(docs(*rows).repartition(4))) == brute(rows)
 
 
+def test_a_large_group_in_several_components(docs, prose):
+    """Copies edited too much for the text in the middle, some alike by edits that a few or many of them share."""
+    draw = random.Random(4)
+    base = prose(11, 120, 10**6).split()
+    drafts = [list(base) for _ in range(4)]
+    for g, draft in enumerate(drafts[1:]):
+        for k in range(6 + g):
+            draft[13 * k + g] = f"draft{g}-{k}"
+    rows = []
+    for k in range(160):
+        words = list(drafts[0] if k < 100 else drafts[1 + k % 3])
+        for _ in range(draw.choice((0, 1, 2, 3, 5))):
+            words[draw.randrange(120)] = f"edit{draw.randrange(40)}"
+        rows.append((k, " ".join(words)))
+    want = brute(rows)
+    assert got(n.classes(docs(*rows).repartition(4))) == want and len({c for _, c in want}) > 3
+
+
 def test_a_chain_of_edits(docs, prose):
     """Neighbours are alike, the ends are not: one class all the same."""
     draw = random.Random(2)
