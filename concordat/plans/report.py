@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.plans.supervision import KPI_PATHS
-from concordat.session import materialize
+from concordat.session import materialize_union
 
 FIELDS = ("section", "block", "indicator", "measure", "value")
 # The published documents and the sections each one holds.
@@ -117,12 +117,16 @@ def kpi_report(results: Mapping[str, DataFrame]) -> DataFrame:
 
     ``results`` holds the operators' results by name; every entry of ``BLOCKS``
     places the rows of one of them.  Each block is small: a row per indicator.
+    The blocks are written one after the other, since the plan of all of them
+    grows beyond a driver; a mapping that makes a result when it is asked for
+    keeps their plans apart too.
     """
-    out = None
-    for b in BLOCKS:
-        part = block(results[b.result].where(b.where), b.section, b.name, F.expr(b.indicator), b.measures)
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    def parts():
+        for b in BLOCKS:
+            yield block(results[b.result].where(b.where), b.section, b.name, F.expr(b.indicator), b.measures)
+
+    return materialize_union(parts())
 
 
 def highlights(facts: DataFrame) -> DataFrame:
@@ -134,8 +138,7 @@ def highlights(facts: DataFrame) -> DataFrame:
 
 
 def kpi_thematic(facts: DataFrame) -> DataFrame:
-    """Facts of each published document, tagged with its name."""
-    facts = materialize(facts)  # a few hundred rows, read by every theme
+    """Facts of each published document, tagged with its name; every theme reads ``facts``, so hand over a written frame."""
     every = facts.unionByName(highlights(facts))
     out = None
     for theme, sections in THEMES.items():

@@ -7,6 +7,7 @@ import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +64,24 @@ def materialize(df: DataFrame) -> DataFrame:
     branches share one computation and survive executor loss.  The files of a
     session are deleted when Python exits.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/concordat-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((df.sparkSession, path))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize_union([df])
+
+
+def materialize_union(parts: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all ``parts``, written one after the other to one folder as by :func:`materialize`.
+
+    The driver holds the plan of one part at a time, and only scans one folder
+    afterwards.  The parts have one schema, and come from an iterator where
+    building them all at once would be too much.
+    """
+    path = None
+    for df in parts:
+        if path is None:
+            spark, schema = df.sparkSession, df.schema
+            path = f"{checkpoint_dir(spark).rstrip('/')}/concordat-{uuid.uuid4().hex}"
+            _written.append((spark, path))
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 _written: list[tuple[SparkSession, str]] = []
