@@ -129,15 +129,23 @@ def _drop_bom(df: DataFrame) -> DataFrame:
 
 
 def read_wrapped_csv(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Read lines that are quoted as a whole, with inner quotes doubled."""
-    lines = spark.read.text(path)
-    inner = F.regexp_replace(F.regexp_replace("value", r'^\ufeff?"|"\s*$', ""), '""', '"')
-    plain = lines.select(inner.alias("value")).where("value <> ''")
-    head = spark.read.text(path).limit(1).collect()[0][0]
-    names = [n.strip().strip('"') for n in re.sub(r'^\ufeff?"|"\s*$', "", head).replace('""', '"').split(sep)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    parsed = plain.select(F.from_csv("value", F.lit(schema), {"sep": sep, "quote": '"'}).alias("r")).select("r.*")
-    return parsed.where(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")) != names[0])
+    """Read lines that are quoted as a whole, with inner quotes doubled.
+
+    The header is the first line of the first file by name; where another file
+    begins with it, it is dropped too.  Files are split over tasks as ever, and a
+    row elsewhere that resembles the header stays.
+    """
+    lines = _numbered(spark, path)
+    heads = _head_lines(lines, 1)
+    head = heads.agg(F.min_by("value", _FILE).alias("value")).collect()[0][0]
+    if head is None:
+        raise ValueError(f"no lines in {path}")
+    unwrap = r'^\ufeff?"|"\s*$'
+    body = lines.join(F.broadcast(heads.where(F.col("value") == head).select(_NO)), _NO, "left_anti")  # a number per file
+    inner = F.regexp_replace(F.regexp_replace("value", unwrap, ""), '""', '"')
+    names = [n.strip().strip('"') for n in re.sub(unwrap, "", head).replace('""', '"').split(sep)]
+    plain = body.select(inner.alias("value")).where("value <> ''")
+    return plain.select(F.from_csv("value", F.lit(_schema(names)), {"sep": sep, "quote": '"'}).alias("r")).select("r.*")
 
 
 def union_parts(spark: SparkSession, folder: str, pattern: str, exclude: str | None = None) -> DataFrame:

@@ -52,10 +52,11 @@ def read_csv_snapshot(f):
 @query("read_wrapped_csv", oracle(f"SELECT {', '.join(_CSV)} FROM member_base_raw"))
 def read_wrapped_csv(f):
     path = work_dir(f)
-    f.member_base_raw.select(*_CSV).write.option("header", "true").option("sep", ";").option("ignoreTrailingWhiteSpace", "false").csv(path + "/plain")
-    wrapped = F.concat(F.lit('"'), F.regexp_replace("value", '"', '""'), F.lit('"'))
-    f.spark.read.text(path + "/plain").select(wrapped.alias("value")).write.text(path + "/wrapped")
-    return fs.read_wrapped_csv(f.spark, path + "/wrapped")
+    # Every part begins with the header, as extracts come: one quoted cell a line.
+    line = F.to_csv(F.struct(*_CSV), {"sep": ";", "ignoreTrailingWhiteSpace": "false"}).alias(";".join(_CSV))
+    out = f.member_base_raw.select(line).write.option("header", "true").option("quoteAll", "true").option("escape", '"')
+    out.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return fs.read_wrapped_csv(f.spark, path)
 
 
 @query("resolve_columns", oracle(
