@@ -36,6 +36,33 @@ def build_session(app: str = "concordat", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+#: Bytes of Parquet that one task of a scan or shuffle is meant to stand for.  Rows of
+#: these tables take some forty times as much in a sort as in their files.
+TASK_BYTES = 4 << 20
+_LOWERED = {"spark.sql.files.maxPartitionBytes": TASK_BYTES, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 2 * TASK_BYTES}
+
+
+def fit_tasks(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Size the session's tasks to the files a job reads, so that more input makes more tasks, not larger ones.
+
+    Settings are tightened only: a session with more partitions or smaller splits keeps them.
+    """
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    files = [path_of(p) for p in paths]
+    total = sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in files if p.getFileSystem(conf).exists(p))
+    name = "spark.sql.shuffle.partitions"
+    spark.conf.set(name, str(max(int(spark.conf.get(name)), -(-total // TASK_BYTES))))
+    for name, most in _LOWERED.items():
+        if _bytes(spark.conf.get(name)) > most:
+            spark.conf.set(name, f"{most}b")
+
+
+def _bytes(text: str) -> int:
+    """Bytes of a size setting."""
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for shared intermediate results: the one that ``spark.checkpoint.dir`` names.
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from concordat.session import fit_tasks
 from concordat.workload import frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +28,11 @@ def query(key: str, sql: str | None = None):
     """Register ``fn(frames) -> DataFrame`` under ``key`` with its SQL twin."""
 
     def wrap(fn: Callable[[Frames], DataFrame]):
-        QUERIES[key] = lambda spark, sf_dir: fn(Frames(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            fit_tasks(spark, (f"{sf_dir}/{t}.parquet" for t in frames.TABLES))
+            return fn(Frames(spark, sf_dir))
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
         return fn
