@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions import squeeze
 from concordat.operators.common import lookup_join
@@ -19,8 +22,10 @@ LAST_NAME = r"(Nom)([A-ZÀÉÈÊËÏÎÔÙÛÜ]+)(?=Prénom|KPEP|Adresse|\s|$)"
 FIRST_NAME = r"(Prénom)([A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30}(?:-[A-ZÀÉÈÊËÏÎÔÙÛÜ][a-zàéèêëïîôùûü]{1,30})*)"
 KPEP = r"(KPEP)(\d{10,20})"
 MIN_NAME = 3
-#: Widths of grams, and 64-bit words of the table of bits that marks grams.
-_SHORT, _LONG, _WORDS = 3, 8, 1 << 14
+#: Widths of grams; characters cut into grams in one go.
+_SHORT, _LONG, _FLUSH = 3, 8, 1 << 20
+#: The table of bits that marks grams: bits for each gram, its least and largest size and its blocks, as powers of two.
+_PER_GRAM, _LEAST, _MOST, _BLOCK = 4, 20, 28, 19
 _SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
 
 
@@ -52,51 +57,148 @@ def redact_text(text: Column) -> Column:
     return F.regexp_replace(out, KPEP, "$1[CLE]")
 
 
-def _grams(text: Column, width: int) -> Column:
-    """Substrings of a fixed width at every place of the whole text, in one linear scan."""
-    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % width), F.lit(1))
+def _grams(codes: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of the substrings of a fixed width at every place."""
+    n = max(len(codes) - width + 1, 0)
+    h = np.full(n, width, np.uint64)
+    for i in range(width):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, lengths and code points of pieces of about ``_FLUSH`` characters; a longer text is dealt so that no gram is lost."""
+    rows, parts, size = [], [], 0
+
+    def piece() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.uint64)
+        return np.array(rows), np.array([len(p) for p in parts]), codes
+
+    for row, text in enumerate(texts):
+        for lo in range(0, len(text or ""), _FLUSH):
+            rows.append(row)
+            parts.append(text[lo : lo + _FLUSH + _LONG - 1])
+            size += len(parts[-1])
+            if size >= _FLUSH:
+                yield piece()
+                rows, parts, size = [], [], 0
+    if rows:
+        yield piece()
+
+
+def _placed(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of pieces that lie one after the other, and which piece each lies in."""
+    grams = _grams(codes, width)
+    owner = np.repeat(np.arange(len(lengths)), lengths)[: len(grams)]
+    inside = np.arange(width, len(grams) + width) <= np.cumsum(lengths)[owner]
+    return grams[inside], owner[inside]
+
+
+def _unlike(rows: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a row and a gram."""
+    order = np.lexsort((grams, rows))
+    rows, grams = rows[order], grams[order]
+    first = np.concatenate(([True], (rows[1:] != rows[:-1]) | (grams[1:] != grams[:-1]))) if len(rows) else np.zeros(0, bool)
+    return rows[first], grams[first]
 
 
 def _name_grams(names: DataFrame) -> DataFrame:
-    """``(name, width, gram)``: all grams of each name, of eight characters if it is that long, else of three."""
-    width = F.when(F.length("name") >= _LONG, _LONG).otherwise(_SHORT)
-    places = F.sequence(F.lit(1), F.length("name") - F.col("width") + 1)
-    rows = names.select("name", width.alias("width"))
-    return rows.select("name", "width", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr("name", i, F.col("width"))))).alias("gram"))
+    """``(name, gram)``: all grams of each name, of eight characters if it is that long, else of three."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, lengths, codes in _pieces(batch.column("name").to_pylist()):
+                found = []
+                for width, there in ((_SHORT, lengths < _LONG), (_LONG, lengths >= _LONG)):
+                    grams, owner = _placed(codes[np.repeat(there, lengths)], lengths[there], width)
+                    found.append((rows[there][owner], grams))
+                at, grams = _unlike(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield pa.RecordBatch.from_arrays([batch.column("name").take(pa.array(at)), pa.array(grams.view(np.int64))], ["name", "gram"])
 
-def _bit(gram: Column) -> tuple[Column, Column]:
-    """Word and bit of a gram in the table of bits."""
-    h = F.xxhash64(gram)
-    return F.shiftright(h, 6).bitwiseAND(_WORDS - 1), h.bitwiseAND(63).cast("int")
+    return names.select("name").mapInArrow(run, "name string, gram long")
 
 
-def _bits(grams: DataFrame) -> tuple[Column, list[int]]:
-    """A constant of fixed size (128 kB) that marks every ``gram``, and the widths there are."""
-    word, bit = _bit(F.col("gram"))
-    words = grams.select(word.cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"), F.length("gram").alias("width"))
-    filled = words.groupBy("word").agg(F.bit_or("b").alias("b"), F.collect_set("width").alias("widths")).collect()  # _WORDS rows at most
-    cells, widths = [0] * _WORDS, set()
-    for r in filled:
-        cells[r["word"]] = r["b"]
-        widths.update(r["widths"])
-    return F.from_json(F.lit(str(cells)), "array<bigint>"), sorted(widths)
+def _in_block(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each gram in its block of the table of bits."""
+    last = np.uint64((1 << _BLOCK) - 1)
+    return (grams & last).view(np.int64), (grams >> np.uint64(_BLOCK) & last).view(np.int64)
+
+
+def _has(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Places of the grams that the table may mark; marked ones are always found."""
+    block = (grams >> np.uint64(64 + _BLOCK - 3 - (len(bits).bit_length() - 1)) << np.uint64(_BLOCK)).view(np.int64)
+    there = np.arange(len(grams))
+    for place in _in_block(grams):
+        at = block[there] | place[there]
+        there = there[(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+    return there
 
 
-def _marked_grams(low: DataFrame, grams: DataFrame, text_id: str) -> DataFrame:
-    """``(text_id, gram)`` for the grams of each text that the table of bits marks.
+def _bits(grams: DataFrame, count: int) -> np.ndarray:
+    """A table that marks every ``gram`` twice, with at least 16 bits for each of about ``count`` of them (128 kB to 32 MB).
 
-    The arrays of a text are filtered before they are exploded, so what leaves a text is what some name may need, and
-    texts are only cut into grams of a width that some name has.
+    The leading bits of a gram name its block.  A block is filled in one group, and the driver gets one row a block.
     """
-    bits, widths = _bits(grams)
+    size = min(max(count.bit_length() + _PER_GRAM, _LEAST), _MOST)
+
+    def fill(table: pa.Table) -> pa.Table:
+        marks = np.zeros(1 << _BLOCK, bool)
+        for place in _in_block(table.column("gram").to_numpy().view(np.uint64)):
+            marks[place] = True
+        cells = np.packbits(marks, bitorder="little").tobytes()
+        return pa.table([table.column("block")[:1], pa.array([cells], pa.binary())], names=["block", "cells"])
+
+    block = F.shiftrightunsigned("gram", 64 - (size - _BLOCK)).cast("int")
+    filled = grams.select(block.alias("block"), "gram").groupBy("block").applyInArrow(fill, "block int, cells binary").collect()
+    cells, width = np.zeros(1 << (size - 3), np.uint8), 1 << (_BLOCK - 3)
+    for r in filled:
+        cells[r["block"] * width : (r["block"] + 1) * width] = np.frombuffer(bytes(r["cells"]), np.uint8)
+    return cells
+
+
+def _marked_pieces(bits: np.ndarray, widths: Sequence[int], texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct pairs of a row and a gram that the table of bits marks, piece by piece."""
+    for rows, lengths, codes in _pieces(texts):
+        found = []
+        for width in widths:
+            grams, owner = _placed(codes, lengths, width)
+            there = _has(bits, grams)
+            found.append((rows[owner[there]], grams[there]))
+        yield _unlike(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+
+def _marks(parts: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """The table of bits of the grams of ``(name, gram)``, and the widths they have."""
+    long = F.length("name") >= _LONG
+    seen = parts.agg(F.approx_count_distinct("gram").alias("n"), F.max(~long).alias("short"), F.max(long).alias("long")).first()
+    widths = [w for w, there in ((_SHORT, seen["short"]), (_LONG, seen["long"])) if there]
+    return _bits(parts.select("gram").distinct(), seen["n"]), widths or [_LONG]
+
+
+def _marked_grams(low: DataFrame, bits: np.ndarray, widths: Sequence[int], text_id: str) -> DataFrame:
+    """``(text_id, gram)`` for the grams of each text that the table of bits marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, grams in _marked_pieces(bits, widths, batch.column("__low").to_pylist()):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(grams.view(np.int64))], [text_id, "gram"])
+
+    schema = T.StructType([low.schema[text_id], T.StructField("gram", T.LongType())])
+    return low.select(text_id, "__low").mapInArrow(run, schema)
+
+
+def _gram_counts(low: DataFrame, bits: np.ndarray, widths: Sequence[int]) -> DataFrame:
+    """``(gram, n)``: in how many texts a marked gram lies, counted piece by piece before the shuffle."""
 
-    def marked(g: Column) -> Column:
-        word, bit = _bit(g)
-        return F.getbit(F.get(bits, word.cast("int")), bit) == 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, grams in _marked_pieces(bits, widths, batch.column("__low").to_pylist()):
+                found, n = np.unique(grams, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
-    parts = [F.filter(_grams(F.col("__low"), w), marked) for w in widths] or [F.array().cast("array<string>")]
-    return low.select(text_id, F.explode(F.array_distinct(F.concat(*parts))).alias("gram"))
+    return low.select("__low").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def name_keys(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
@@ -105,7 +207,7 @@ def name_keys(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
     A name with a gram that no text holds occurs nowhere and has no key.
     """
     parts = materialize(_name_grams(names))
-    counts = _marked_grams(low, parts.select("gram").distinct(), text_id).groupBy("gram").agg(F.count("*").alias("n"))
+    counts = _gram_counts(low, *_marks(parts))
     rated = lookup_join(parts, counts, ["gram"])
     best = rated.groupBy("name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k"))
     return best.where("k.n > 0").select("name", F.col("k.gram").alias("gram"))
@@ -114,7 +216,7 @@ def name_keys(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
 def known_name_candidates(low: DataFrame, names: DataFrame, text_id: str) -> DataFrame:
     """``(text_id, name)`` for the texts that hold the rarest gram of a name."""
     keys = materialize(name_keys(low, names, text_id))
-    marked = _marked_grams(low, keys.select("gram").distinct(), text_id)
+    marked = _marked_grams(low, *_marks(keys), text_id)
     return marked.join(keys, "gram").select(text_id, "name")
 
 
@@ -128,7 +230,8 @@ def known_name_hits(texts: DataFrame, names: DataFrame, text_id: str, text: str)
     """Known names occurring in each text, as ``(text_id, names)`` with the longest first.
 
     A name is looked up by its rarest gram (:func:`name_keys`): one pass counts the grams of names over all texts, a
-    second hands on only ids of texts with the rarest gram of some name.  The text is joined back for those, and the
+    second hands on only ids of texts with the rarest gram of some name.  Grams are hashes, and the table of bits that
+    tells whose they are grows with the names, so that more names do not let more of each text through.  The text is joined back for those, and the
     whole name is then checked.  How the sides are joined is left to adaptive execution.
     """
     clean = names.select(F.explode(F.array(*names.columns)).alias("name")).select(squeeze(F.col("name")).alias("name"))

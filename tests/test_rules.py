@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from concordat.operators import card as cd
@@ -132,6 +133,32 @@ def test_known_names_against_brute_force(rows):
         assert re.sub(r"P-[0-9a-f]{64}", "#", got[i]) == rx.sub("#", text)
 
 
+def test_many_names_do_not_let_more_of_a_text_through(spark):
+    """A table of a fixed size is full of the grams of half a million names."""
+    names = spark.range(500_000).select(F.md5(F.col("id").cast("string")).substr(1, 8).alias("name"))
+    low = spark.range(200).select("id", F.concat_ws("", *[F.md5(F.concat(F.lit(f"{k}-"), "id")) for k in range(8)]).alias("__low"))
+    marks = pv._marks(pv._name_grams(names))
+    assert marks[1] == [8]
+    grams = pv._marked_grams(low, *marks, "id").count()
+    assert grams < 0.05 * 200 * 249
+    own = names.select(F.monotonically_increasing_id().alias("id"), F.col("name").alias("__low"))
+    assert pv._marked_grams(own, *marks, "id").count() == 500_000
+
+
+def test_grams_of_a_text_that_is_dealt():
+    texts = ["", None, "ab", "abcdefgh", "é" * 20 + "𝄞" * 9, "xyz" * 500_000]
+    for width in (3, 8):
+        want = {(i, t[k : k + width]) for i, t in enumerate(texts) if t for k in range(len(t) - width + 1)}
+        name_of = {pv._grams(np.array([ord(c) for c in g], np.uint64), width).item(): g for _, g in want}
+        assert len(name_of) == len({g for _, g in want})
+        got = set()
+        for rows, lengths, codes in pv._pieces(texts):
+            assert len(codes) < 3 * pv._FLUSH
+            grams, owner = pv._placed(codes, lengths, width)
+            got |= {(int(r), name_of[g]) for r, g in zip(*pv._unlike(rows[owner], grams))}
+        assert got == want
+
+
 def test_known_names_are_looked_up_by_their_rarest_gram(spark, rows):
     """Names and texts share beginnings and common parts; only texts that hold a name leave the explode."""
     texts = [f"monsieur le directeur general no {i:06d} est absent, monsieur le directeur est la" for i in range(3000)]
