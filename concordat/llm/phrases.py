@@ -168,12 +168,14 @@ class Tiles:
     """Counts of pairs in one task.
 
     The table of all pairs of ranks is cut into tiles of 1024 by 1024.  Pairs of a tile that many pairs of a flush
-    fall into are counted by their place in it; all others are sorted and counted as coordinates.
+    fall into are counted by their place in it; all others are sorted and counted as coordinates.  A pair of ranks
+    is its place in the whole table, with the end as its second number, so that it is kept and sorted as one.
     """
 
     def __init__(self):
         self.dense: dict[int, np.ndarray] = {}
-        self.sparse: list[tuple[np.ndarray, ...]] = []
+        self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
+        self.others: list[tuple[np.ndarray, ...]] = []
         self.cells = 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
@@ -187,31 +189,37 @@ class Tiles:
                 here = tile == t
                 place = (a[here] & (TILE - 1)) << TILE_BITS | (b[here] & (TILE - 1))
                 counts = np.bincount(place, minlength=TILE * TILE)
-                self.dense[t] = self.dense[t] + counts if t in self.dense else counts
+                if t in self.dense:
+                    self.dense[t] += counts
+                else:
+                    self.dense[t] = counts
                 left &= ~here
+        del tile
         a, b = a[left], b[left]
         plain = (a < RANKS) & (b < RANKS)
-        places, counts = np.unique(a[plain] << np.int64(RANK_BITS) | b[plain], return_counts=True)
-        self._keep(places >> RANK_BITS, places & (RANKS - 1), counts)
+        self._keep(*np.unique(a[plain] << np.int64(RANK_BITS) | b[plain], return_counts=True))
         a, b = a[~plain], b[~plain]
         if len(a):
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-            self._keep(a[first], b[first], np.diff(np.append(first, len(a))))
+            self.others.append(_added(a, b, np.ones(len(a), np.int64)))
+            self.cells += len(self.others[-1][0])
 
-    def _keep(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> None:
-        if len(a):
-            self.sparse.append((a, b, n))
-            self.cells += len(a)
+    def _keep(self, places: np.ndarray, n: np.ndarray) -> None:
+        if len(places):
+            self.sparse.append((places, n))
+            self.cells += len(places)
 
     def _merge(self) -> None:
-        a, b, n = (np.concatenate(x) for x in zip(*self.sparse, strict=True))
-        order = np.lexsort((b, a))
-        a, b, n = a[order], b[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-        self.sparse = [(a[first], b[first], np.add.reduceat(n, first))]
-        self.cells = len(first)
+        if self.sparse:
+            places, n = (np.concatenate(x) for x in zip(*self.sparse, strict=True))
+            self.sparse = []
+            order = np.argsort(places)
+            places, n = places[order], n[order]
+            del order
+            first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
+            self.sparse = [(places[first], np.add.reduceat(n, first))]
+        if self.others:
+            self.others = [_added(*(np.concatenate(x) for x in zip(*self.others, strict=True)))]
+        self.cells = sum(len(x[0]) for x in self.sparse + self.others)
 
     def full(self) -> bool:
         """Whether the cells should go, after equal ones have been added up."""
@@ -221,21 +229,29 @@ class Tiles:
 
     def take(self) -> Iterator[pa.RecordBatch]:
         width = RANK_BITS - TILE_BITS
-        for t, counts in self.dense.items():
+        while self.dense:
+            t, counts = self.dense.popitem()
             place = np.flatnonzero(counts)
-            self._keep((t >> width << TILE_BITS) + (place >> TILE_BITS), ((t & ((1 << width) - 1)) << TILE_BITS) + (place & (TILE - 1)), counts[place])
-        if self.sparse:
-            self._merge()
-            a, b, n = self.sparse[0]
-            # A pair of ranks travels as its place in the table: one number for two, and small.
-            ranked = (a < RANKS) & (b < RANKS)
-            a, b = np.where(ranked, a << RANK_BITS | b, a), np.where(ranked, _END, b)
-            for lo in range(0, len(a), 100_000):
+            a = (t >> width << TILE_BITS) + (place >> TILE_BITS)
+            self._keep(a << RANK_BITS | ((t & ((1 << width) - 1)) << TILE_BITS) + (place & (TILE - 1)), counts[place])
+        self._merge()
+        # A pair of ranks travels as its place in the table: one number for two, and small.
+        rows = [(places, np.broadcast_to(np.int64(_END), len(places)), n) for places, n in self.sparse] + self.others
+        for columns in rows:
+            for lo in range(0, len(columns[0]), 100_000):
                 part = slice(lo, lo + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(x[part].astype(np.int64)) for x in (a, b, n)], ["a", "b", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[part])) for x in columns], ["a", "b", "n"])
         self.__init__()
 
 
+def _added(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Unlike pairs with the sums of their counts."""
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return a[first], b[first], np.add.reduceat(n, first)
+
+
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tiles = Tiles()
     for batch in batches:

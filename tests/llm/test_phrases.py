@@ -107,6 +107,13 @@ def test_tiles(spread):
     assert got == want and not tiles.sparse
 
 
+def test_a_pair_of_ranks_is_kept_as_two_numbers():
+    draw = np.random.default_rng(7)
+    tiles = phrases.Tiles()
+    tiles.add(*draw.integers(0, phrases.RANKS, (2, 300_000)))
+    assert tiles.cells > 290_000 and sum(x.nbytes for part in tiles.sparse for x in part) <= 16 * tiles.cells
+
+
 def test_units():
     draw = np.random.default_rng(1)
     a, b = draw.integers(0, 2 * phrases.RANKS, (2, 5000))
