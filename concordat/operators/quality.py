@@ -297,7 +297,7 @@ def match_method_by_company(match: DataFrame, insured: DataFrame) -> DataFrame:
 def unmatched_breakdown(insured: DataFrame, match: DataFrame, accounts: DataFrame) -> DataFrame:
     """Unmatched persons: no key at all, key present but not found, key or e-mail unknown to the directory."""
     lost = match.where(F.col("match_status") != MATCHED).select("person_id")
-    keys = candidate_keys(insured).join(lost, "person_id", "left_semi")
+    keys = candidate_keys(lookup_join(insured, lost, ["person_id"], "left_semi"))
     key = F.when(F.col("grp") == "KPEP", F.upper("key")).otherwise(F.col("key"))
     known = accounts.select(
         F.inline(

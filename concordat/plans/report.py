@@ -105,28 +105,31 @@ BLOCKS = (
 )
 
 
-def block(df: DataFrame, section: str, name: str, indicator: Column, measures: dict[str, str]) -> DataFrame:
-    """Long facts of one result: a row per indicator and measure."""
-    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(c).cast("double").alias("value")) for m, c in measures.items()])
-    rows = df.select(F.lit(section).alias("section"), F.lit(name).alias("block"), indicator.alias("indicator"), F.inline(cells))
-    return rows.where("value is not null")
+def block(df: DataFrame, *places: Block) -> DataFrame:
+    """Long facts of one result at all its places: a row per place, indicator and measure, from one pass over the result."""
+    cells = F.array(*[
+        F.struct(
+            F.lit(b.section).alias("section"), F.lit(b.name).alias("block"), F.expr(b.indicator).alias("indicator"), F.lit(m).alias("measure"),
+            F.when(F.expr(b.where), F.col(c).cast("double")).alias("value"),
+        )
+        for b in places for m, c in b.measures.items()
+    ])
+    return df.select(F.inline(cells)).where("value is not null")
 
 
 def kpi_report(results: Mapping[str, DataFrame]) -> DataFrame:
     """All blocks of a run as ``(section, block, indicator, measure, value)``.
 
     ``results`` holds the operators' results by name; every entry of ``BLOCKS``
-    places the rows of one of them.  Each block is small: a row per indicator.
-    The blocks are written one after the other, since the plan of all of them
-    grows beyond a driver; a mapping that makes a result when it is asked for
-    keeps their plans apart too.
+    places the rows of one of them, and a result is asked for once, whatever
+    the number of its blocks.  The results are written one after the other,
+    since the plan of all of them grows beyond a driver; a mapping that makes a
+    result when it is asked for keeps their plans apart too.
     """
-
-    def parts():
-        for b in BLOCKS:
-            yield block(results[b.result].where(b.where), b.section, b.name, F.expr(b.indicator), b.measures)
-
-    return materialize_union(parts())
+    places: dict[str, list[Block]] = {}
+    for b in BLOCKS:
+        places.setdefault(b.result, []).append(b)
+    return materialize_union(block(results[name], *found) for name, found in places.items())
 
 
 def highlights(facts: DataFrame) -> DataFrame:

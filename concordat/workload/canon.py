@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from concordat.workload.registry import Frames
 def _plan(fn):
     """Build each canonical plan once per data folder."""
 
+    @wraps(fn)
     def wrapped(f: Frames) -> DataFrame:
         key = "canon." + fn.__name__
         if key not in f.plans:

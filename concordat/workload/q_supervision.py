@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 
-from concordat.functions import pct2
+from concordat.functions import iso_date, pct2
 from concordat.operators import windows as wn
 from concordat.plans import report as rp
 from concordat.plans import supervision as sv
@@ -125,14 +125,14 @@ _REPORT = " UNION ALL ".join(_block_sql(b) for b in rp.BLOCKS)
 
 
 class _Results(Mapping):
-    """The queries' results by name, each made when it is asked for from frames of its own over the shared match."""
+    """The queries' results by name, each made when it is asked for from frames of its own over the written ones."""
 
-    def __init__(self, f):
-        self.f, self.made = f, vars(q_quality) | vars(q_matching) | vars(q_claims)
+    def __init__(self, f, written):
+        self.f, self.written, self.made = f, written, vars(q_quality) | vars(q_matching) | vars(q_claims)
 
     def __getitem__(self, name):
         own = Frames(self.f.spark, self.f.sf_dir)
-        own.plans |= {k: self.f.plans[k] for k in _SHARED}
+        own.plans |= self.written
         return self.made[name](own)
 
     def __iter__(self):
@@ -142,14 +142,29 @@ class _Results(Mapping):
         return len(set(self))
 
 
-_SHARED = ("canon.match", "canon.matched")
+# Frames that several blocks read, each after the ones it is made from.
+_SHARED = (canon.member, canon.accounts, canon.account_ref, canon.registry, canon.match, canon.matched, canon.person_card)
+
+
+def results(f, shared=_SHARED):
+    """The blocks' results; ``shared`` frames are written once and read by all of them."""
+    written = {}
+    for fn in shared:
+        frame = fn(f)
+        if fn in (canon.member, canon.member_base):
+            # Most blocks count per person: a person's contracts lie together, so partial sums leave one row of them to shuffle.
+            frame = frame.hint("rebalance", "person_id")
+        written[f"canon.{fn.__name__}"] = materialize(frame)
+        if fn is canon.member:
+            # The same contracts without their effect date.
+            written["canon.member_base"] = written["canon.member"].withColumn("effect_date", iso_date(F.lit(None).cast("string")))
+        f.plans |= written
+    return _Results(f, written)
 
 
 def report(f):
-    """The report on one snapshot: the match and its accounts are written once and shared by all blocks."""
-    f.plans["canon.match"] = materialize(canon.match(f))
-    f.plans["canon.matched"] = materialize(canon.matched(f))
-    return rp.kpi_report(_Results(f))
+    """The report on one snapshot."""
+    return rp.kpi_report(results(f))
 
 
 @query("kpi_report", _REPORT)
