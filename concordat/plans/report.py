@@ -117,21 +117,27 @@ def block(df: DataFrame, *places: Block) -> DataFrame:
     return df.select(F.inline(cells)).where("value is not null")
 
 
-def kpi_report(results: Mapping[str, DataFrame]) -> DataFrame:
+def kpi_report(results: Mapping[str, DataFrame], blocks: Sequence[Block] = BLOCKS) -> DataFrame:
     """All blocks of a run as ``(section, block, indicator, measure, value)``.
 
-    ``results`` holds the operators' results by name; every entry of ``BLOCKS``
+    ``results`` holds the operators' results by name; every entry of ``blocks``
     places the rows of one of them, and a result is asked for once, whatever
     the number of its blocks.  The results are written one after the other,
     since the plan of all of them grows beyond a driver; a mapping that makes a
     result when it is asked for keeps their plans apart too.
     """
     places: dict[str, list[Block]] = {}
-    for b in BLOCKS:
+    for b in blocks:
         places.setdefault(b.result, []).append(b)
     return materialize_union(block(results[name], *found) for name, found in places.items())
 
 
+def blocks_at(*paths: Sequence[str]) -> tuple[Block, ...]:
+    """The blocks that hold the facts below paths of the document that begin with section and block."""
+    wanted = {tuple(path[:2]) for path in paths}
+    return tuple(b for b in BLOCKS if (b.section, b.name) in wanted)
+
+
 def highlights(facts: DataFrame) -> DataFrame:
     """The head indicators as facts of their own section."""
     place = F.concat_ws("|", "section", "block", "indicator", "measure")

@@ -205,4 +205,6 @@ _AN = ", ".join("('" + k + "', '" + "', '".join(p) + "')" for k, p in sv.ANOMALI
       FROM rep JOIN (VALUES {_AN}) v(l, s, b, i) ON s = section AND b = block AND i = indicator WHERE measure IN ('Nombre', 'Pct', 'Manquants') GROUP BY 1) t
     WHERE nombre IS NOT NULL""", rep=_REPORT))
 def quality_anomalies(f):
-    return sv.quality_anomalies(report(f))
+    # Only the blocks that hold a followed anomaly are made.
+    made = results(f, (canon.member_base, canon.accounts, canon.account_ref))
+    return sv.quality_anomalies(rp.kpi_report(made, rp.blocks_at(*sv.ANOMALIES.values())))

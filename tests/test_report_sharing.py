@@ -7,7 +7,6 @@ import pytest
 import __spark_entry__ as entry
 from concordat.plans import report as rp
 from concordat.workload import q_claims, q_matching, q_quality
-from concordat.workload.q_supervision import results
 from concordat.workload.registry import Frames
 
 
@@ -27,6 +26,8 @@ def asked(monkeypatch):
 
 
 def test_blocks_read_written_contracts(spark):
+    from concordat.workload.q_supervision import results
+
     made = results(Frames(spark, entry.SMOKE_DIR))
     for name in ("volume_raw", "match_by_segment", "quality_score", "card_kpis", "card_registry_correlation", "lines_vs_persons", "document_kpis"):
         tables = {part for path in made[name].inputFiles() for part in path.split(os.sep)}
@@ -36,3 +37,8 @@ def test_blocks_read_written_contracts(spark):
 def test_report_makes_each_result_once(spark, asked):
     entry.queries()["kpi_report"](spark, entry.SMOKE_DIR)
     assert sorted(asked) == sorted({b.result for b in rp.BLOCKS})
+
+
+def test_anomalies_make_only_their_blocks(spark, asked):
+    assert entry.queries()["quality_anomalies"](spark, entry.SMOKE_DIR).count() > 0
+    assert sorted(asked) == ["account_quality", "quality_score", "registry_presence_by_type"]
