@@ -186,14 +186,15 @@ def kpi_thematic(f):
 @query("kpi_detail", f"SELECT label AS indicator, cast(total AS double) AS \"Total\", cast(rapproches AS double) AS \"Rapproches\", cast(non_rapproches AS double) AS \"Non_Rapproches\", taux AS \"Taux\" "
        f"FROM ({ORACLES['match_by_segment']}) s WHERE view = 'SOCIETE'")
 def kpi_detail(f):
-    # Through the published document: facts to nested JSON and back.
-    docs = rp.to_document(report(f))
+    # Through the published document: the facts of the block to nested JSON and back.  No other block can reach the table.
+    path = ("5_CIAM", "Matching_Par_Societe")
+    docs = rp.to_document(rp.kpi_report(results(f, ()), rp.blocks_at(path)))
     leaves = flatten(docs, "payload", [], sep="|")
     parts = F.split("path", r"\|")
     facts = leaves.select(
         parts[0].alias("section"), parts[1].alias("block"), parts[2].alias("indicator"), parts[3].alias("measure"), F.col("value").try_cast("double").alias("value")
     )
-    return sv.kpi_detail(facts, "5_CIAM", "Matching_Par_Societe", ("Total", "Rapproches", "Non_Rapproches", "Taux"))
+    return sv.kpi_detail(facts, *path, ("Total", "Rapproches", "Non_Rapproches", "Taux"))
 
 
 _AN = ", ".join("('" + k + "', '" + "', '".join(p) + "')" for k, p in sv.ANOMALIES.items())

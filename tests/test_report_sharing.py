@@ -42,3 +42,8 @@ def test_report_makes_each_result_once(spark, asked):
 def test_anomalies_make_only_their_blocks(spark, asked):
     assert entry.queries()["quality_anomalies"](spark, entry.SMOKE_DIR).count() > 0
     assert sorted(asked) == ["account_quality", "quality_score", "registry_presence_by_type"]
+
+
+def test_detail_makes_only_its_block(spark, asked):
+    assert entry.queries()["kpi_detail"](spark, entry.SMOKE_DIR).count() > 0
+    assert asked == ["match_by_segment"]
