@@ -39,6 +39,11 @@ def test_report_makes_each_result_once(spark, asked):
     assert sorted(asked) == sorted({b.result for b in rp.BLOCKS})
 
 
+def test_thematic_makes_each_result_once(spark, asked):
+    entry.queries()["kpi_thematic"](spark, entry.SMOKE_DIR)
+    assert sorted(asked) == sorted({b.result for b in rp.BLOCKS})
+
+
 def test_anomalies_make_only_their_blocks(spark, asked):
     assert entry.queries()["quality_anomalies"](spark, entry.SMOKE_DIR).count() > 0
     assert sorted(asked) == ["account_quality", "quality_score", "registry_presence_by_type"]
